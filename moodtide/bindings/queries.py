@@ -196,16 +196,18 @@ def _micros(day: str):
 
 @query(
     "warehouse_load",
-    "SELECT * FROM scored_posts",
+    """SELECT * REPLACE (round(sentiment_score, 6) AS sentiment_score, round(crisis_score, 6) AS crisis_score)
+       FROM scored_posts""",
 )
 def warehouse_load(spark, sf_dir):
     raw = V.scored_posts(spark, sf_dir).withColumns(
         {"created_date": _micros("created_date"), "week": _micros("week")}
     )
     days = {c: dates.micros_to_date(c) for c in ("created_date", "week")}
-    return layers.load_table(
+    loaded = layers.load_table(
         raw.withColumns(days), GOLD_POSTS, GOLD_POSTS_REQUIRED, scratch_dir(spark, "warehouse")
     )
+    return rounded(loaded)
 
 
 @query(
@@ -475,11 +477,11 @@ def window_filter(spark, sf_dir):
 
 @query(
     "field_dropna",
-    "SELECT post_id, sentiment_score FROM scored_posts WHERE sentiment_score IS NOT NULL",
+    "SELECT post_id, round(sentiment_score, 6) AS sentiment_score FROM scored_posts WHERE sentiment_score IS NOT NULL",
 )
 def field_dropna(spark, sf_dir):
     posts = V.scored_posts(spark, sf_dir).select("post_id", "sentiment_score")
-    return trends.scored_rows(posts, "sentiment_score")
+    return rounded(trends.scored_rows(posts, "sentiment_score"))
 
 
 @query("span_test", f"SELECT coalesce({CUT} BETWEEN min(week) AND max(week), false) AS spans_cutoff FROM weekly")
@@ -586,11 +588,21 @@ def leak_semijoin(spark, sf_dir):
     return sv.leaked_hashes(_leaky(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir)))
 
 
-_SIDES = ", ".join(
-    f"round(avg({m}) FILTER (week {op} {CUT}), {{places}}) AS {m}_{side}"
-    for m in ("sentiment", "crisis_rate")
-    for side, op in (("pre", "<"), ("post", ">="))
-)
+
+
+def _sides(places: int) -> str:
+    return ", ".join(
+        f"{S.round_even(f'avg({m}) FILTER (week {op} {CUT})', places)} AS {m}_{side}"
+        for m in ("sentiment", "crisis_rate")
+        for side, op in (("pre", "<"), ("post", ">="))
+    )
+
+
+def _delta(m: str) -> str:
+    difference = f"avg({m}) FILTER (week >= {CUT}) - avg({m}) FILTER (week < {CUT})"
+    return f"{S.round_even(difference, 4)} AS {m}_delta"
+
+
 _POSTS = ", ".join(
     f"CAST(sum(n_posts) FILTER (week {op} {CUT}) AS BIGINT) AS posts_{side}"
     for side, op in (("pre", "<"), ("post", ">="))
@@ -600,7 +612,7 @@ _BOTH = f"HAVING count(*) FILTER (week < {CUT}) > 0 AND count(*) FILTER (week >=
 
 @query(
     "pre_post_join",
-    f"SELECT subreddit, {_SIDES.format(places=6)}, {_POSTS} FROM weekly GROUP BY subreddit {_BOTH}",
+    f"SELECT subreddit, {_sides(6)}, {_POSTS} FROM weekly GROUP BY subreddit {_BOTH}",
 )
 def pre_post_join(spark, sf_dir):
     return rounded(trends.pre_post_join(V.weekly(spark, sf_dir), V.CUTOFF))
@@ -645,9 +657,8 @@ def community_overview(spark, sf_dir):
 
 @query(
     "event_impact_split",
-    f"""SELECT subreddit, {_SIDES.format(places=4)}, {_POSTS},
-               round(avg(sentiment) FILTER (week >= {CUT}) - avg(sentiment) FILTER (week < {CUT}), 4) AS sentiment_delta,
-               round(avg(crisis_rate) FILTER (week >= {CUT}) - avg(crisis_rate) FILTER (week < {CUT}), 4) AS crisis_rate_delta
+    f"""SELECT subreddit, {_sides(4)}, {_POSTS},
+               {_delta('sentiment')}, {_delta('crisis_rate')}
         FROM weekly GROUP BY subreddit {_BOTH}""",
 )
 def event_impact_split(spark, sf_dir):
@@ -783,7 +794,7 @@ _REVIEWED = f"""
 
 @query(
     "label_agreement",
-    f"""SELECT sentiment_label, review, count(*) AS n, round(avg(round(score, 4)), 6) AS mean_score,
+    f"""SELECT sentiment_label, review, count(*) AS n, round(avg({S.round_even('score', 4)}), 6) AS mean_score,
                round(sum(CASE WHEN sentiment_label = review THEN count(*) ELSE 0 END) OVER ()
                      / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS exact_agreement,
                round(sum(CASE WHEN replace(sentiment_label, 'neutral', 'mixed') = review THEN count(*) ELSE 0 END) OVER ()
@@ -1067,7 +1078,7 @@ _EVENT_P = """SELECT event_id, 1 / (1 + value / 100) AS a, (value / 100) / (1 +
 
 @query(
     "prob_to_label",
-    f"""SELECT event_id, round(p3 - p1, 4) AS sentiment_score,
+    f"""SELECT event_id, {S.round_even('p3 - p1', 4)} AS sentiment_score,
                CASE WHEN p1 >= p2 AND p1 >= p3 THEN 'negative' WHEN p2 >= p3 THEN 'neutral' ELSE 'positive' END AS sentiment_label
         FROM (SELECT event_id, a * m / 10 AS p1, b AS p2, a * (10 - m) / 10 AS p3 FROM ({_EVENT_P}))""",
 )

@@ -37,6 +37,10 @@ def strip(x: str) -> str:
     return f"regexp_replace({x}, '^[{SP}]+|[{SP}]+$', '', 'g')"
 
 
+def round_even(x: str, places: int) -> str:
+    return f"round_even(({x}) * 1e{places}, 0) / 1e{places} + 0.0"
+
+
 def words(x: str) -> str:
     return f"list_filter(regexp_split_to_array({x}, '[{SP}]+'), lambda w: w <> '')"
 
@@ -185,8 +189,8 @@ CTES: dict[str, str] = {
     "hits": f"""
         SELECT post_id, {count_hits('text', V.POSITIVE)} AS pos, {count_hits('text', V.NEGATIVE)} AS neg
         FROM silver""",
-    "lexicon_scores": """
-        SELECT post_id, round((pos - neg) / CAST(pos + neg + 1 AS DOUBLE), 4) AS sentiment_score,
+    "lexicon_scores": f"""
+        SELECT post_id, {round_even("pos / CAST(pos + neg + 1 AS DOUBLE) - neg / CAST(pos + neg + 1 AS DOUBLE)", 4)} AS sentiment_score,
                CASE WHEN neg >= pos AND neg >= 1 THEN 'negative' WHEN pos > 1 THEN 'positive'
                     ELSE 'neutral' END AS sentiment_label
         FROM hits""",
@@ -210,7 +214,7 @@ CTES: dict[str, str] = {
         terms=" + ".join(f"({w}) * {c}" for c, w in V.COEFFICIENTS.items()),
     ),
     "signal_scores": f"""
-        SELECT post_id, round(p, 4) AS crisis_score, p >= {V.THRESHOLD} AS crisis_flag, label
+        SELECT post_id, {round_even("p", 4)} AS crisis_score, p >= {V.THRESHOLD} AS crisis_flag, label
         FROM linear JOIN weak USING (post_id)""",
     "score_bins": """
         SELECT crisis_score AS score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg
@@ -222,7 +226,7 @@ CTES: dict[str, str] = {
         SELECT label, floor(exact) + CAST(row_number() OVER (ORDER BY exact - floor(exact) DESC, label)
                       <= target - sum(floor(exact)) OVER () AS INT) AS quota FROM split_shares""",
     "valued_orders": """
-        SELECT *, round((o_totalprice - 250000) / 250000, 4) AS s, CAST(o_orderdate AS DATE) AS day,
+        SELECT *, (o_totalprice - 250000) / 250009 AS s, CAST(o_orderdate AS DATE) AS day,
                o_orderkey % 11 <> 0 AS scored
         FROM orders""",
     "scored_posts": f"""
@@ -232,7 +236,7 @@ CTES: dict[str, str] = {
                CASE WHEN scored THEN s END AS sentiment_score,
                CASE WHEN scored AND s < -0.33 THEN 'negative' WHEN scored AND s > 0.33 THEN 'positive'
                     WHEN scored THEN 'neutral' END AS sentiment_label,
-               CASE WHEN scored THEN round(o_totalprice / 500000, 4) END AS crisis_score,
+               CASE WHEN scored THEN o_totalprice / 500009 END AS crisis_score,
                CASE WHEN scored THEN o_orderstatus = 'F' END AS crisis_flag
         FROM valued_orders""",
     "weekly": """
@@ -241,11 +245,11 @@ CTES: dict[str, str] = {
                CAST(sum(CAST(crisis_flag AS INT)) AS BIGINT) AS crisis_count,
                sum(CAST(crisis_flag AS INT)) / CAST(count(*) AS DOUBLE) AS crisis_rate
         FROM scored_posts GROUP BY subreddit, week""",
-    "overview": """
-        SELECT subreddit, CAST(sum(n_posts) AS BIGINT) AS posts, round(avg(sentiment), 3) AS avg_sentiment,
+    "overview": f"""
+        SELECT subreddit, CAST(sum(n_posts) AS BIGINT) AS posts, {round_even("avg(sentiment)", 3)} AS avg_sentiment,
                CAST(coalesce(sum(crisis_count), 0) AS BIGINT) AS crisis_signals,
                CASE WHEN sum(n_posts) > 0
-                    THEN round(coalesce(sum(crisis_count), 0) / CAST(sum(n_posts) AS DOUBLE), 4)
+                    THEN {round_even("coalesce(sum(crisis_count), 0) / CAST(sum(n_posts) AS DOUBLE)", 4)}
                     ELSE 0.0 END AS crisis_share
         FROM weekly GROUP BY subreddit""",
     "answer": """

@@ -123,7 +123,7 @@ def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-post Gold rows: community = priority, author = customer."""
     orders = table(spark, sf_dir, "orders")
     scored = ~_every("o_orderkey", 11)
-    sentiment = F.round((F.col("o_totalprice") - 250000) / 250000, 4)
+    sentiment = (F.col("o_totalprice") - 250000) / 250009
     day = F.col("o_orderdate").cast("date")
     return orders.select(
         F.col("o_orderkey").cast("string").alias("post_id"),
@@ -138,7 +138,7 @@ def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(scored & (sentiment > 0.33), "positive")
         .when(scored, "neutral")
         .alias("sentiment_label"),
-        F.when(scored, F.round(F.col("o_totalprice") / 500000, 4)).alias("crisis_score"),
+        F.when(scored, F.col("o_totalprice") / 500009).alias("crisis_score"),
         F.when(scored, F.col("o_orderstatus") == "F").alias("crisis_flag"),
     )
 

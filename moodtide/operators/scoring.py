@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from moodtide.functions.numbers import round_even
 from moodtide.functions.text import count_hits
 from moodtide.schemas import SENTIMENT_SCORES
 
@@ -31,7 +32,7 @@ def label_of(probabilities: Column | str) -> Column:
 def score_of(probabilities: Column | str) -> Column:
     """P(positive) - P(negative), 4 decimals."""
     p = F.col(probabilities) if isinstance(probabilities, str) else probabilities
-    return F.round(p[2] - p[0], 4)
+    return round_even(p[2] - p[0], 4)
 
 
 def score_probabilities(df: DataFrame, column: str = "probabilities") -> DataFrame:
@@ -68,7 +69,7 @@ def score_posts(
                 yield pd.DataFrame(
                     {
                         "post_id": part["post_id"].to_numpy(),
-                        "sentiment_score": np.round(p[:, 2] - p[:, 0], 4),
+                        "sentiment_score": np.round(p[:, 2] - p[:, 0], 4) + 0.0,
                         "sentiment_label": [LABELS[i] for i in p.argmax(axis=1)],
                     }
                 )

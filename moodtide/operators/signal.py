@@ -12,6 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from moodtide.functions import text as T
+from moodtide.functions.numbers import round_even
 from moodtide.session import materialize
 
 FEATURES = (
@@ -252,7 +253,7 @@ def flag_scores(predicted: DataFrame, threshold: float = FLAG_THRESHOLD) -> Data
     """Published score (4 decimals) and flag; the flag looks at the unrounded value."""
     return predicted.select(
         "post_id",
-        F.round("p", SCORE_DECIMALS).alias("crisis_score"),
+        round_even("p", SCORE_DECIMALS).alias("crisis_score"),
         (F.col("p") >= threshold).alias("crisis_flag"),
     )
 
@@ -324,7 +325,7 @@ def threshold_metrics(df: DataFrame, score: str, label: str, threshold: float) -
 
 def score_histogram(df: DataFrame, score: str, label: str) -> DataFrame:
     """Negatives and positives per published score: at most 10,001 rows."""
-    return df.groupBy(F.round(score, SCORE_DECIMALS).alias("score")).agg(
+    return df.groupBy(round_even(score, SCORE_DECIMALS).alias("score")).agg(
         F.count_if(F.col(label) == 1).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
     )

@@ -7,6 +7,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from moodtide.functions.numbers import round_even
 from moodtide.functions.text import targets_individual
 
 # --- fixed values ---------------------------------------------------------------
@@ -84,11 +85,11 @@ def community_overview(weekly: DataFrame) -> DataFrame:
     known = weekly.where(F.col("subreddit").isNotNull())
     totals = known.groupBy("subreddit").agg(
         F.sum("n_posts").alias("posts"),
-        F.round(F.avg("sentiment"), 3).alias("avg_sentiment"),
+        round_even(F.avg("sentiment"), 3).alias("avg_sentiment"),
         F.coalesce(F.sum("crisis_count"), F.lit(0)).alias("crisis_signals"),
     )
     share = F.when(F.col("posts") > 0, F.col("crisis_signals") / F.col("posts")).otherwise(0.0)
-    return totals.withColumn("crisis_share", F.round(share, 4))
+    return totals.withColumn("crisis_share", round_even(share, 4))
 
 
 def ranked_overview(weekly: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ def event_impact(weekly: DataFrame, cutoff: dt.date = EVENT_CUTOFF) -> DataFrame
         }
     )
     measures = [c for c in deltas.columns if c.startswith(("sentiment_", "crisis_rate_"))]
-    return deltas.withColumns({c: F.round(c, 4) for c in measures})
+    return deltas.withColumns({c: round_even(c, 4) for c in measures})
 
 
 def smooth(weekly: DataFrame, window: int = 3) -> DataFrame:

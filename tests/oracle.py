@@ -30,7 +30,7 @@ def _plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, (float, Decimal)):
-        return round(float(value), 6) + 0.0
+        return repr(round(float(value), 6))
     if isinstance(value, dt.datetime):
         return value.isoformat()
     if isinstance(value, dt.date):
