@@ -739,10 +739,8 @@ def active_authors_avg(spark, sf_dir):
 
 
 def _signal_scores(spark, sf_dir) -> DataFrame:
-    scores = signal.score_linear(
-        V.features(spark, sf_dir), V.COEFFICIENTS, V.INTERCEPT, V.THRESHOLD
-    )
-    return scores.join(V.labels(spark, sf_dir), "post_id")
+    rows = V.training_rows(spark, sf_dir)
+    return signal.score_linear(rows, V.COEFFICIENTS, V.INTERCEPT, V.THRESHOLD, keep=("label",))
 
 
 _RATIO = "coalesce({a} / CAST(nullif({b}, 0) AS DOUBLE), 0)"
@@ -899,8 +897,7 @@ def head_limit(spark, sf_dir):
     + ")",
 )
 def coef_rank(spark, sf_dir):
-    joined = V.features(spark, sf_dir).join(V.labels(spark, sf_dir), "post_id")
-    strength = joined.agg(*[F.round(F.corr(f, "label"), 4).alias(f) for f in signal.FEATURES])
+    strength = V.training_rows(spark, sf_dir).agg(*[F.round(F.corr(f, "label"), 4).alias(f) for f in signal.FEATURES])
     return signal.rank_coefficients(
         strength.unpivot([], list(signal.FEATURES), "feature", "coefficient")
     )
@@ -1028,16 +1025,14 @@ def standardize(spark, sf_dir):
 @query("train_logistic")
 def train_logistic(spark, sf_dir):
     """Scores of a model fitted on the spot; checked against a Newton solve in the tests."""
-    scores, _, _ = signal.train_and_score(
-        V.features(spark, sf_dir), V.labels(spark, sf_dir), V.THRESHOLD
-    )
+    scores, _, _ = signal.fit_and_score(V.training_rows(spark, sf_dir), V.THRESHOLD)
     return scores
 
 
 @query("importances")
 def importances(spark, sf_dir):
-    joined = V.features(spark, sf_dir).join(V.labels(spark, sf_dir), "post_id")
-    return signal.train_classifier(materialize(joined, "training")).importances()
+    rows = materialize(V.training_rows(spark, sf_dir), "training")
+    return signal.train_classifier(rows).importances()
 
 
 @query("score_flag", "SELECT post_id, crisis_score, crisis_flag FROM signal_scores")

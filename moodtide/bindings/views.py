@@ -103,15 +103,19 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_with_lexicon(silver(spark, sf_dir), POSITIVE, NEGATIVE)
 
 
-def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature rows: sentiment joined to densities of the same posts."""
-    posts = silver(spark, sf_dir)
-    scores = scoring.score_with_lexicon(posts, POSITIVE, NEGATIVE)
-    return signal.join_sentiment(signal.token_densities(posts, SEVERE), scores).select(
-        "post_id", *signal.FEATURES
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and label per post, all from one pass over the texts."""
+    posts = scoring.with_lexicon_score(silver(spark, sf_dir), POSITIVE, NEGATIVE)
+    labelled = posts.withColumn("label", signal.weak_label("text", ACUTE, SEVERE))
+    return signal.token_densities(labelled, SEVERE, keep=("sentiment_score", "label")).select(
+        "post_id", *signal.FEATURES, "label"
     )
 
 
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_rows(spark, sf_dir).drop("label")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signal.weak_labels(silver(spark, sf_dir), acute=ACUTE, severe=SEVERE)
 

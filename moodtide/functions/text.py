@@ -1,8 +1,8 @@
 """Text columns: whitespace, PII scrubbing, lexicons, markdown, URLs.
 
-Patterns are Java regular expressions. Character classes are spelled out so a
-word, digit or space means the same Unicode set everywhere instead of Java's
-ASCII defaults (an ASCII ``\\d`` would let Arabic-Indic phone digits through).
+Patterns are Java regular expressions. Character classes are spelled out so that
+a word, digit or space is the same Unicode set everywhere, not Java's ASCII
+default (which would let phone numbers in Arabic-Indic digits through).
 """
 
 from __future__ import annotations
@@ -13,9 +13,16 @@ from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# --- fixed values: character classes ------------------------------------------
-SPACE = r" \t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WORD = r"\p{L}\p{N}_"
+# --- fixed values: character classes (to be put between brackets) -------------
+# Frequent characters are listed one by one and the rest sits behind a range, so
+# that an ordinary letter is dismissed by a table look-up and one comparison.
+ODD_SPACE = (
+    r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0"
+    r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
+)
+SPACE = " " + ODD_SPACE
+DIGIT = r"0-9[\u0660-\x{10ffff}&&\p{Nd}]"
+WORD = r"A-Za-z0-9_[\xaa-\x{10ffff}&&[\p{L}\p{N}]]"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 # --- fixed values: placeholder bodies and redaction marker ---------------------
@@ -24,13 +31,16 @@ REDACTION = "[REDACTED:{kind}]"
 
 # --- fixed values: PII kinds, in the order they are applied --------------------
 # The local part of an address starts at the head of its run of legal characters
-# (or where the previous match ended), so a long run is scanned only once.
+# (or where the previous match ended), so a long run is scanned only once. The
+# other kinds look at the first character before anything dearer.
 PII_PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "url": rf"(?iu)(?:https?://|www\.)[^{SPACE}]+",
-    "handle": rf"(?iu)(?<![{WORD}/])/?u/[A-Za-z0-9_-]+",
-    "mention": rf"(?<![{WORD}])@[A-Za-z0-9_]{{2,}}",
-    "phone": rf"(?<![{WORD}])\+?\p{{Nd}}[\p{{Nd}}{SPACE}().-]{{5,}}\p{{Nd}}(?![{WORD}])",
+    "url": rf"(?=[hHwW])(?iu)(?:https?://|www\.)[^{SPACE}]+",
+    "handle": rf"(?=[/uU])(?iu)(?<![{WORD}/])/?u/[A-Za-z0-9_-]+",
+    "mention": rf"@(?<![{WORD}]@)[A-Za-z0-9_]{{2,}}",
+    "phone": (
+        rf"(?=[+{DIGIT}])(?<![{WORD}])\+?[{DIGIT}][{DIGIT}{SPACE}().-]{{5,}}[{DIGIT}](?![{WORD}])"
+    ),
 }
 
 # Substrings without which a kind cannot match; a plain byte search is far
@@ -121,7 +131,7 @@ def normalize_space(c: Column | str) -> Column:
     Lone spaces already are what they should be, so only longer runs and other
     whitespace characters are rewritten.
     """
-    pattern = rf"[{SPACE}]{{2,}}|[{SPACE}&&[^ ]]"
+    pattern = rf"[{SPACE}]{{2,}}|[{ODD_SPACE}]"
     return F.trim(F.regexp_replace(_col(c), pattern, " "))
 
 
@@ -228,23 +238,27 @@ def distinct_hits(c: Column | str, terms: Iterable[str]) -> Column:
 def count_hits(c: Column | str, terms: Iterable[str]) -> Column:
     """Non-overlapping occurrences, summed over the terms.
 
-    Counted by how much the text shrinks without the term: a byte search, where
-    a pattern would decode the whole text once per term.
+    Most texts hold few of the terms, so a byte search decides whether a term is
+    worth counting.
     """
     lowered = F.lower(_col(c))
-    size = F.octet_length(lowered)
 
     def count(term: str) -> Column:
-        rest = F.octet_length(F.replace(lowered, F.lit(term), F.lit("")))
-        return ((size - rest) / len(term.encode())).cast("int")
+        found = F.regexp_count(lowered, F.lit(rf"\Q{term}\E"))
+        return F.when(lowered.contains(term), found).otherwise(0)
 
     return reduce(add, [count(t) for t in terms], F.lit(0))
 
 
 def count_tokens(c: Column | str, tokens: Iterable[str]) -> Column:
     """Occurrences of whole tokens, any case, bounded by non-word characters."""
+    tokens = list(tokens)
+    heads = "".join(sorted({t[0].lower() + t[0].upper() for t in tokens}))
     choice = "|".join(tokens)
-    return F.regexp_count(_col(c), F.lit(rf"(?iu)(?<![{WORD}])(?:{choice})(?![{WORD}])"))
+    return F.regexp_count(
+        _col(c),
+        F.lit(rf"(?=[{heads}\u0130\u0131\u017f\u212a])(?iu)(?<![{WORD}])(?:{choice})(?![{WORD}])"),
+    )
 
 
 def targets_individual(question: Column | str) -> Column:

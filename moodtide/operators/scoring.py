@@ -78,21 +78,25 @@ def score_posts(
     return length_ordered(narrow).mapInPandas(run, SENTIMENT_SCORES)
 
 
-def score_with_lexicon(
+def with_lexicon_score(
     posts: DataFrame, positive: Iterable[str], negative: Iterable[str]
 ) -> DataFrame:
     """Default scorer: term counts with one pseudo-count for neutral, in the JVM."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    counted = posts.select(
-        "post_id",
-        count_hits(body, positive).alias("pos"),
-        count_hits(body, negative).alias("neg"),
-    )
-    total = F.col("pos") + F.col("neg") + 1
-    probabilities = F.array(F.col("neg") / total, 1 / total, F.col("pos") / total)
-    return score_probabilities(
-        counted.select("post_id", probabilities.alias("probabilities"))
+    counted = posts.withColumns(
+        {"_pos": count_hits(body, positive), "_neg": count_hits(body, negative)}
     )
+    total = F.col("_pos") + F.col("_neg") + 1
+    probabilities = F.array(F.col("_neg") / total, 1 / total, F.col("_pos") / total)
+    return score_probabilities(counted.withColumn("_p", probabilities), "_p").drop("_pos", "_neg")
+
+
+def score_with_lexicon(
+    posts: DataFrame, positive: Iterable[str], negative: Iterable[str]
+) -> DataFrame:
+    """Lexicon scores as a score table."""
+    scored = with_lexicon_score(posts.select("post_id", "text"), positive, negative)
+    return scored.drop("text")
 
 
 def first_posts(posts: DataFrame, n: int) -> DataFrame:

@@ -249,12 +249,15 @@ def holdout_auc(predicted: DataFrame, label: str = "label") -> float:
     return BinaryClassificationEvaluator(numBins=0).evaluate(ready)
 
 
-def flag_scores(predicted: DataFrame, threshold: float = FLAG_THRESHOLD) -> DataFrame:
+def flag_scores(
+    predicted: DataFrame, threshold: float = FLAG_THRESHOLD, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """Published score (4 decimals) and flag; the flag looks at the unrounded value."""
     return predicted.select(
         "post_id",
         round_even("p", SCORE_DECIMALS).alias("crisis_score"),
         (F.col("p") >= threshold).alias("crisis_flag"),
+        *keep,
     )
 
 
@@ -263,12 +266,13 @@ def score_linear(
     coefficients: Mapping[str, float],
     intercept: float,
     threshold: float = FLAG_THRESHOLD,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Score and flag from known coefficients, as a closed-form sigmoid."""
     z = F.lit(float(intercept))
     for name, weight in coefficients.items():
         z = z + F.lit(float(weight)) * F.col(name)
-    return flag_scores(features.withColumn("p", 1 / (1 + F.exp(-z))), threshold)
+    return flag_scores(features.withColumn("p", 1 / (1 + F.exp(-z))), threshold, keep)
 
 
 def fit_and_score(
@@ -284,7 +288,7 @@ def fit_and_score(
     split = stratified_split(narrow, "label", seed)
     fitted = train_classifier(split.where("is_train"))
     holdout = fitted.predict(split.where("NOT is_train"))
-    report = threshold_metrics(holdout, "p", "label", threshold).withColumn(
+    report = classifier_metrics(holdout, "p", "label", threshold).withColumn(
         "auc", F.lit(holdout_auc(holdout))
     )
     return flag_scores(fitted.predict(narrow), threshold), report, fitted.importances()
@@ -300,57 +304,48 @@ def train_and_score(
 # --- metrics ----------------------------------------------------------------------
 
 
-def threshold_metrics(df: DataFrame, score: str, label: str, threshold: float) -> DataFrame:
-    """Precision, recall, F1, label rate and flag rate; 0 where undefined."""
-    flagged, positive = F.col(score) >= threshold, F.col(label) == 1
-    counts = df.agg(
-        F.count_if(flagged & positive).alias("tp"),
-        F.count_if(flagged).alias("flagged"),
-        F.count_if(positive).alias("positive"),
-        F.count(F.lit(1)).alias("n"),
-    )
-
-    def ratio(a: Column, b: Column) -> Column:
-        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
-
-    tp, fl, po, n = (F.col(c) for c in ("tp", "flagged", "positive", "n"))
-    return counts.select(
-        ratio(tp, fl).alias("precision"),
-        ratio(tp, po).alias("recall"),
-        ratio(2 * tp, fl + po).alias("f1"),
-        ratio(po, n).alias("weak_label_rate"),
-        ratio(fl, n).alias("flag_rate"),
-    )
-
+def score_histogram(
+    df: DataFrame, score: str, label: str, threshold: float = FLAG_THRESHOLD
+) -> DataFrame:
+    """Negatives and positives per published score: at most 10,001 rows.
 
-def score_histogram(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Negatives and positives per published score: at most 10,001 rows."""
+    Flags are counted before the scores are rounded.
+    """
+    positive, flagged = F.col(label) == 1, F.col(score) >= threshold
     return df.groupBy(round_even(score, SCORE_DECIMALS).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"),
+        F.count_if(positive).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
+        F.count_if(flagged).alias("flagged"),
+        F.count_if(flagged & positive).alias("tp"),
+        F.count(F.lit(1)).alias("n"),
     )
 
 
-def auc(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Area under the curve of published scores, ties counted half.
+def classifier_metrics(
+    df: DataFrame, score: str, label: str, threshold: float = FLAG_THRESHOLD
+) -> DataFrame:
+    """Precision, recall, F1, rates and the area under the curve, in one row.
 
-    The running sum is over the histogram, never over data rows.
+    Data rows are read once, into the histogram; the running sum behind the area
+    (ties counted half) is over its rows. Undefined ratios are 0.
     """
     below = Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = score_histogram(df, score, label).withColumn(
+    ranked = score_histogram(df, score, label, threshold).withColumn(
         "neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0))
     )
-    wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
-    pairs = F.sum("pos").cast("double") * F.sum("neg")
-    return ranked.agg(F.try_divide(wins, pairs).alias("auc"))
 
+    def ratio(a: Column, b: Column) -> Column:
+        return F.coalesce(F.try_divide(a, b), F.lit(0.0))
 
-def classifier_metrics(
-    df: DataFrame, score: str, label: str, threshold: float = FLAG_THRESHOLD
-) -> DataFrame:
-    """Threshold metrics and AUC in one row."""
-    return threshold_metrics(df, score, label, threshold).withColumn(
-        "auc", auc(df, score, label).scalar()
+    tp, flagged, pos, n = (F.sum(c) for c in ("tp", "flagged", "pos", "n"))
+    wins = F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2))
+    return ranked.agg(
+        ratio(tp, flagged).alias("precision"),
+        ratio(tp, pos).alias("recall"),
+        ratio(2 * tp, flagged + pos).alias("f1"),
+        ratio(pos, n).alias("weak_label_rate"),
+        ratio(flagged, n).alias("flag_rate"),
+        F.try_divide(wins, pos.cast("double") * F.sum("neg")).alias("auc"),
     )
 
 
