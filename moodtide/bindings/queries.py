@@ -1006,7 +1006,8 @@ def build_features(spark, sf_dir):
        FROM weak JOIN split_quotas USING (label)""",
 )
 def stratified_split(spark, sf_dir):
-    return signal.stratified_split(V.labels(spark, sf_dir))
+    # The rows are passed over three times; written once, the texts are read once.
+    return signal.stratified_split(materialize(V.labels(spark, sf_dir), "labels"))
 
 
 @query(
@@ -1019,7 +1020,7 @@ def stratified_split(spark, sf_dir):
     + " FROM features",
 )
 def standardize(spark, sf_dir):
-    return rounded(signal.standardize(V.features(spark, sf_dir)))
+    return rounded(signal.standardize(materialize(V.features(spark, sf_dir), "features")))
 
 
 @query("train_logistic")

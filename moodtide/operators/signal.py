@@ -280,12 +280,13 @@ def fit_and_score(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(scores of all posts, one-row holdout report, importances).
 
-    ``rows`` holds post_id, the features and ``label``. They are written once to
-    the shared folder: the fit passes over them many times, and those passes
-    should read a few numbers per post, not derive them from text again.
+    ``rows`` holds post_id, the features and ``label``. They are written to the
+    shared folder, with and without the split: the fit passes over them many
+    times, and those passes should read a few numbers per post, not derive them
+    from text or look for the cut again.
     """
     narrow = materialize(rows.select("post_id", *FEATURES, "label"), "training")
-    split = stratified_split(narrow, "label", seed)
+    split = materialize(stratified_split(narrow, "label", seed), "split")
     fitted = train_classifier(split.where("is_train"))
     holdout = fitted.predict(split.where("NOT is_train"))
     report = classifier_metrics(holdout, "p", "label", threshold).withColumn(

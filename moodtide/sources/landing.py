@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from typing import Iterator, Sequence
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -16,6 +18,11 @@ FILE_SUFFIX = "_posts.csv"
 _READ_BYTES = 1 << 20
 
 
+def file_path() -> Column:
+    """Path of the file a row was read from (the metadata column is URL-encoded)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def source_name(path: Column) -> Column:
     """Name of the corpus file: the first path component ending in ``.csv``.
 
@@ -66,7 +73,7 @@ def land_csv(spark: SparkSession, *paths: str, ingested_at: Column | None = None
     so write Bronze out (``write_bronze``) before working on it.
     """
     raw = csv_reader(spark.read).csv(list(paths))
-    return to_bronze(raw, F.col("_metadata.file_path"), ingested_at)
+    return to_bronze(raw, file_path(), ingested_at)
 
 
 # --- catalog --------------------------------------------------------------------
@@ -103,7 +110,7 @@ def select_files(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """Path, name, size and time of files; contents are not read."""
+    """Path, name, size and time of non-empty files; contents are not read."""
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     )
@@ -146,8 +153,8 @@ def file_digests(listing: DataFrame) -> DataFrame:
         for batch in batches:
             sums = []
             for path in batch["path"]:
-                # file:/x and file:///x name the same local file
-                uri = path.replace("file:/", "file:///", 1) if path[:6] == "file:/" and path[:8] != "file:///" else path
+                # Listed paths are neither URL-encoded nor, for local files, full URIs.
+                uri = re.sub(r"^file:/+", "file:///", quote(path, safe=":/@?&=+"))
                 system, inner = fs.FileSystem.from_uri(uri)
                 md5 = hashlib.md5()
                 with system.open_input_stream(inner) as stream:

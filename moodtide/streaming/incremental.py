@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from moodtide.schemas import SILVER
-from moodtide.sources.landing import csv_reader, to_bronze
+from moodtide.sources.landing import csv_reader, file_path, to_bronze
 
 
 def land_new_files(
@@ -22,7 +22,7 @@ def land_new_files(
 ) -> StreamingQuery:
     """Append corpus files not landed before; ``raw_schema`` is their header, in order."""
     raw = csv_reader(spark.readStream).schema(raw_schema).csv(landing)
-    rows = to_bronze(raw, F.col("_metadata.file_path"))
+    rows = to_bronze(raw, file_path())
     return (
         rows.writeStream.format("parquet")
         .partitionBy("subreddit", "period")
