@@ -20,6 +20,7 @@ from moodtide.operators import (
     silver as sv,
     trends,
 )
+from moodtide.plans import guidance
 from moodtide.schemas import GOLD_POSTS, GOLD_POSTS_REQUIRED, GOLD_WEEKLY, SILVER
 from moodtide.session import materialize, scratch_dir
 from moodtide.sources import landing, layers, payloads as cache
@@ -723,9 +724,15 @@ def run_report(spark, sf_dir):
         FROM docs""",
 )
 def corpus_report(spark, sf_dir):
-    crawled = V.crawled(spark, sf_dir)
-    docs = corpus.documents(crawled)
-    return corpus.corpus_report(crawled, docs, corpus.chunk_documents(docs))
+    """The whole build: crawl, de-duplicate, chunk, publish, report."""
+    report, _ = guidance.build(
+        V.seeds(spark, sf_dir),
+        V.payloads(spark, sf_dir),
+        scratch_dir(spark, "corpus"),
+        V.allowed_hosts(spark, sf_dir),
+        retrieved_at=F.lit(V.RETRIEVED_AT),
+    )
+    return report
 
 
 @query(
@@ -955,7 +962,7 @@ def lexicon_distinct_hits(spark, sf_dir):
 
 @query(
     "lexicon_count_hits",
-    f"SELECT doc_id, {S.count_hits('text', V.SEVERE + V.POSITIVE)} AS hits FROM documents",
+    f"SELECT doc_id, CAST({S.count_hits('text', V.SEVERE + V.POSITIVE)} AS INT) AS hits FROM documents",
 )
 def lexicon_count_hits(spark, sf_dir):
     return V.table(spark, sf_dir, "documents").select(
@@ -1086,7 +1093,7 @@ def prob_to_label(spark, sf_dir):
     return scoring.score_probabilities(events)
 
 
-@query("length_batching", "SELECT post_id, length(text) AS n_chars FROM silver")
+@query("length_batching", "SELECT post_id, CAST(length(text) AS INT) AS n_chars FROM silver")
 def length_batching(spark, sf_dir):
     ordered = scoring.length_ordered(V.silver(spark, sf_dir).select("post_id", "text"))
     return ordered.select("post_id", F.length("text").alias("n_chars"))
@@ -1325,8 +1332,12 @@ def leak_report(spark, sf_dir):
 
 @query(
     "assert_anonymized",
-    """SELECT count(*) AS rows, 0 AS text_email, 0 AS text_url, 0 AS text_handle, 0 AS text_mention,
-              0 AS text_phone, 0 AS author_collisions FROM silver""",
+    "SELECT count(*) AS rows, "
+    + ", ".join(
+        f"CAST(0 AS BIGINT) AS {c}"
+        for c in (*(f"text_{kind}" for kind in T.PII_PATTERNS), "author_collisions")
+    )
+    + " FROM silver",
 )
 def assert_anonymized(spark, sf_dir):
     """A clean layer: every count is zero."""

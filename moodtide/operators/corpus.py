@@ -28,6 +28,8 @@ DEFAULT_TOPIC = "general"
 CACHE_KEY_LENGTH = 20
 HASH_LENGTH = 16
 
+INLINE_HOSTS = 10_000  # hosts of an allowlist that fit into an expression
+
 # Why a page was left out.
 NON_HTTPS = "non-https url"
 HOST_NOT_ALLOWED = "host not on the allowlist"
@@ -40,18 +42,21 @@ THIN = "too little prose after cleaning"
 def check_urls(df: DataFrame, allowed: Iterable[str] | DataFrame = ALLOWED_HOSTS) -> DataFrame:
     """Add ``url_reason``: NULL for https URLs on an allowed host.
 
-    The allowlist may be a list of names or a frame with a ``host`` column.
+    The allowlist may be a list of names or a frame with a ``host`` column. A
+    frame of up to ``INLINE_HOSTS`` names is put into the expression, so that no
+    page is shuffled; a longer one is joined.
     """
     hosted = df.withColumn("_host", T.url_host("url"))
     if isinstance(allowed, DataFrame):
-        known = allowed.select(F.col("host").alias("_host")).distinct().withColumn(
-            "_known", F.lit(True)
-        )
-        hosted = hosted.join(known, "_host", "left")
-        on_list = F.col("_known").isNotNull()
-    else:
-        on_list = F.col("_host").isin(*allowed)
-        hosted = hosted.withColumn("_known", on_list)
+        names = allowed.select(F.col("host").alias("_host")).where("_host IS NOT NULL").distinct()
+        found = names.limit(INLINE_HOSTS + 1).collect()
+        if len(found) > INLINE_HOSTS:
+            hosted = hosted.join(names.withColumn("_known", F.lit(True)), "_host", "left")
+        else:
+            allowed = [r["_host"] for r in found]
+    if not isinstance(allowed, DataFrame):
+        hosted = hosted.withColumn("_known", F.col("_host").isin(list(allowed)))
+    on_list = F.coalesce("_known", F.lit(False))
     reason = F.when(T.url_scheme("url") != "https", NON_HTTPS).when(~on_list, HOST_NOT_ALLOWED)
     return hosted.withColumn("url_reason", reason).select(*df.columns, "url_reason")
 

@@ -43,21 +43,25 @@ def score_probabilities(df: DataFrame, column: str = "probabilities") -> DataFra
 
 
 def length_ordered(posts: DataFrame, partitions: int | None = None, text: str = "text") -> DataFrame:
-    """Spread posts evenly and order each task's rows by text length.
+    """Order each task's rows by text length, over ``partitions`` tasks if given.
 
     Batches of like length pad alike; rows keep their post_id, so nothing has to
-    be put back in order afterwards.
+    be put back in order afterwards. Without a number of tasks no text is moved.
     """
-    spread = posts.repartition(partitions, "post_id") if partitions else posts.repartition("post_id")
+    spread = posts.repartition(partitions, "post_id") if partitions else posts
     return spread.sortWithinPartitions(F.length(F.coalesce(F.col(text), F.lit(""))), "post_id")
 
 
 def score_posts(
-    posts: DataFrame, scorer_factory: Callable[[], Scorer], batch_rows: int = 1280
+    posts: DataFrame,
+    scorer_factory: Callable[[], Scorer],
+    batch_rows: int = 1280,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Score every post; the scorer is built once per task, not per batch.
 
-    Only ids and texts are sent to Python, in Arrow batches.
+    Only ids and texts are sent to Python, in Arrow batches. ``partitions``
+    spreads the posts anew, for slow scorers on few or uneven input files.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -75,7 +79,7 @@ def score_posts(
                 )
 
     narrow = posts.select("post_id", F.coalesce("text", F.lit("")).alias("text"))
-    return length_ordered(narrow).mapInPandas(run, SENTIMENT_SCORES)
+    return length_ordered(narrow, partitions).mapInPandas(run, SENTIMENT_SCORES)
 
 
 def with_lexicon_score(

@@ -143,11 +143,19 @@ def stratified_split(df: DataFrame, label: str = "label", seed: int = 7) -> Data
         .select(label, "_p", (F.col("_quota") - F.col("_upto") + F.col("_c")).alias("_nth"))
     )
     nth = F.row_number().over(Window.partitionBy(label).orderBy("_h"))
+
+    def by_label(rows: DataFrame, value: str) -> Column:
+        """A look-up with one entry per label, instead of a join on so few keys."""
+        return rows.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
+
+    edge = last_prefix.withColumn("_e", F.struct("_p", "_nth"))
     last_rows = (
-        prefixed.join(last_prefix, [label, "_p"]).withColumn("_n", nth).where("_n = _nth")
+        prefixed.withColumn("_e", F.try_element_at(by_label(edge, "_e"), F.col(label)))
+        .where(F.col("_p") == F.col("_e._p"))
+        .withColumn("_n", nth)
+        .where(F.col("_n") == F.col("_e._nth"))
     )
-    # One entry per label.
-    cuts = last_rows.agg(F.map_from_entries(F.collect_list(F.struct(label, "_h")))).scalar()
+    cuts = by_label(last_rows, "_h")
     is_train = F.col("_h") <= F.try_element_at(F.col("_cuts"), F.col(label))
     return (
         hashed.withColumn("_cuts", cuts)

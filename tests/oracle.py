@@ -42,11 +42,7 @@ def _plain(value):
 
 def _kind(name: str) -> str:
     name = name.lower()
-    if name.startswith(("int", "bigint", "hugeint", "smallint", "tinyint", "long")):
-        return "integer"
-    if name.startswith(("double", "float", "decimal")):
-        return "float"
-    return {"varchar": "string"}.get(name, name)
+    return {"varchar": "string", "integer": "int"}.get(name, name)
 
 
 def compare(df, con, sql: str) -> list[str]:

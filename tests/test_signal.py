@@ -114,7 +114,8 @@ def test_split_is_exact_per_label(spark, sizes):
 
 def test_split_of_text_never_ranks_a_whole_label(spark, plan_of):
     rows = spark.range(1000).select(F.col("id").cast("string").alias("post_id"), (F.col("id") % 2).alias("label"))
-    top = plan_of(signal.stratified_split(rows)).split("Subquery")[0]
+    plan = plan_of(signal.stratified_split(rows))
+    top = plan.split("Subquery")[0]
     assert "Window" not in top and "Exchange" not in top and "Join" not in top
 
 
