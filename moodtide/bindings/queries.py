@@ -549,8 +549,10 @@ def _earlier_scores(posts: DataFrame) -> DataFrame:
        FROM gold_posts g LEFT JOIN (SELECT * FROM lexicon_scores WHERE post_id IN ({_DONE})) s USING (post_id)""",
 )
 def apply_scores(spark, sf_dir):
-    known = _earlier_scores(V.silver(spark, sf_dir))
-    merged = gold.apply_scores(V.gold_posts(spark, sf_dir), known, gold.SENTIMENT_COLUMNS)
+    posts = V.stored_silver(spark, sf_dir)
+    merged = gold.apply_scores(
+        gold.gold_posts(posts), _earlier_scores(posts), gold.SENTIMENT_COLUMNS
+    )
     return merged.select(
         "post_id", "subreddit", "week", "n_words", "sentiment_score", "sentiment_label"
     )
@@ -562,13 +564,13 @@ def apply_scores(spark, sf_dir):
        FROM gold_posts g LEFT JOIN (SELECT * FROM lexicon_scores WHERE post_id IN ({_DONE})) s USING (post_id)""",
 )
 def features_join(spark, sf_dir):
-    known = _earlier_scores(V.silver(spark, sf_dir))
-    return signal.join_sentiment(V.gold_posts(spark, sf_dir).select("post_id"), known)
+    posts = V.stored_silver(spark, sf_dir)
+    return signal.join_sentiment(posts.select("post_id"), _earlier_scores(posts))
 
 
 @query("todo_antijoin", f"SELECT post_id, text FROM silver WHERE post_id NOT IN ({_DONE})")
 def todo_antijoin(spark, sf_dir):
-    posts = V.silver(spark, sf_dir)
+    posts = V.stored_silver(spark, sf_dir)
     return scoring.unscored(posts.select("post_id", "text"), _done(posts))
 
 
@@ -1000,10 +1002,10 @@ _FEATURE_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in signal.FEATURES)
 
 @query("build_features", f"SELECT post_id, {_FEATURE_SQL} FROM features")
 def build_features(spark, sf_dir):
-    posts = gold.apply_scores(
-        V.gold_posts(spark, sf_dir), V.lexicon_scores(spark, sf_dir), gold.SENTIMENT_COLUMNS
-    )
-    return rounded(signal.build_features(V.silver(spark, sf_dir), posts, V.SEVERE))
+    silver = V.stored_silver(spark, sf_dir)
+    scores = materialize(_score(silver), "scores")
+    posts = gold.apply_scores(gold.gold_posts(silver), scores, gold.SENTIMENT_COLUMNS)
+    return rounded(signal.build_features(silver, posts, V.SEVERE))
 
 
 @query(
@@ -1101,7 +1103,7 @@ def length_batching(spark, sf_dir):
 
 @query("incremental_scoring", "SELECT * FROM lexicon_scores")
 def incremental_scoring(spark, sf_dir):
-    posts = V.silver(spark, sf_dir)
+    posts = V.stored_silver(spark, sf_dir)
     table = scratch_dir(spark, "scores")
     _earlier_scores(posts).write.parquet(table)
     return scoring.resume_scoring(posts, spark.read.parquet(table), _score)
@@ -1117,11 +1119,11 @@ def incremental_scoring(spark, sf_dir):
        GROUP BY subreddit, week""",
 )
 def refresh_gold(spark, sf_dir):
-    posts = V.gold_posts(spark, sf_dir)
-    scored, _ = gold.refresh(posts, V.lexicon_scores(spark, sf_dir), gold.SENTIMENT_COLUMNS)
-    _, weekly = gold.refresh(
-        scored, _signal_scores(spark, sf_dir).drop("label"), gold.CRISIS_COLUMNS
-    )
+    silver = V.stored_silver(spark, sf_dir)
+    rows = V.training_rows_of(silver)
+    flags = signal.score_linear(rows, V.COEFFICIENTS, V.INTERCEPT, V.THRESHOLD)
+    scored, _ = gold.refresh(gold.gold_posts(silver), _score(silver), gold.SENTIMENT_COLUMNS)
+    _, weekly = gold.refresh(scored, flags, gold.CRISIS_COLUMNS)
     return rounded(weekly)
 
 
@@ -1341,7 +1343,9 @@ def leak_report(spark, sf_dir):
 )
 def assert_anonymized(spark, sf_dir):
     """A clean layer: every count is zero."""
-    return sv.leak_report(V.silver(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir)))
+    return sv.leak_report(
+        V.stored_silver(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir))
+    )
 
 
 @query(

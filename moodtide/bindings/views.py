@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from moodtide.functions.text import derive_post_id, hash_author, url_host
 from moodtide.operators import corpus, gold, scoring, signal, silver as sv
+from moodtide.session import materialize
 from moodtide.sources.landing import FILE_SUFFIX
 
 SALT = "fixture-salt"
@@ -95,6 +96,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.bronze_to_silver(bronze(spark, sf_dir), SALT)
 
 
+def stored_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver as a written layer, for queries that read it more than once."""
+    return materialize(silver(spark, sf_dir), "silver")
+
+
 def gold_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.gold_posts(silver(spark, sf_dir))
 
@@ -104,8 +110,12 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_rows_of(silver(spark, sf_dir))
+
+
+def training_rows_of(clean: DataFrame) -> DataFrame:
     """Features and label per post, all from one pass over the texts."""
-    posts = scoring.with_lexicon_score(silver(spark, sf_dir), POSITIVE, NEGATIVE)
+    posts = scoring.with_lexicon_score(clean, POSITIVE, NEGATIVE)
     labelled = posts.withColumn("label", signal.weak_label("text", ACUTE, SEVERE))
     return signal.token_densities(labelled, SEVERE, keep=("sentiment_score", "label")).select(
         "post_id", *signal.FEATURES, "label"

@@ -6,7 +6,7 @@ from typing import Callable, Iterable, Iterator, Protocol
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from moodtide.functions.numbers import round_even
 from moodtide.functions.text import count_hits
@@ -125,26 +125,27 @@ def resume_scoring(
     return append_scores(done, score(unscored(posts, done)))
 
 
+def _total(value: Column) -> Column:
+    """Total over a frame of one row per label or pair of labels."""
+    return F.sum(value).over(Window.partitionBy())
+
+
 def label_shares(posts: DataFrame) -> DataFrame:
-    """Share of each label among scored posts, with their number and mean score."""
+    """Share of each label among scored posts, with their number and mean score.
+
+    Totals are windows over the few label rows, so posts are read once.
+    """
     scored = posts.where(F.col("sentiment_score").isNotNull())
     per_label = scored.groupBy("sentiment_label").agg(
         F.count(F.lit(1)).alias("n"), F.sum("sentiment_score").alias("total")
     )
-    # One row per label from here on.
-    overall = per_label.agg(
-        F.struct(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    ).scalar()
-    return (
-        per_label.where(F.col("sentiment_label").isNotNull())
-        .withColumn("all", overall)
-        .select(
-            "sentiment_label",
-            (F.col("n") / F.col("all.n")).alias("share"),
-            F.col("all.n").alias("n_scored"),
-            (F.col("all.total") / F.col("all.n")).alias("mean_sentiment"),
-        )
-    )
+    everything = _total(F.col("n"))
+    return per_label.select(
+        "sentiment_label",
+        (F.col("n") / everything).alias("share"),
+        everything.alias("n_scored"),
+        (_total(F.col("total")) / everything).alias("mean_sentiment"),
+    ).where(F.col("sentiment_label").isNotNull())
 
 
 def label_agreement(df: DataFrame, left: str, right: str, score: str) -> DataFrame:
@@ -157,22 +158,18 @@ def label_agreement(df: DataFrame, left: str, right: str, score: str) -> DataFra
     def merged(c: str) -> Column:
         return F.when(F.col(c).isin("neutral", "mixed"), "neutral/mixed").otherwise(F.col(c))
 
+    def share(same: Column) -> Column:
+        return _total(F.when(same, F.col("n")).otherwise(0)) / _total(F.col("n"))
+
     both = df.where(F.col(left).isNotNull() & F.col(right).isNotNull())
     cells = both.groupBy(left, right).agg(
         F.count(F.lit(1)).alias("n"), F.avg(score).alias("mean_score")
     )
-    totals = cells.agg(
-        F.struct(
-            F.sum("n").alias("n"),
-            F.sum(F.when(F.col(left) == F.col(right), F.col("n")).otherwise(0)).alias("same"),
-            F.sum(F.when(merged(left) == merged(right), F.col("n")).otherwise(0)).alias("near"),
-        )
-    ).scalar()
-    return cells.withColumn("all", totals).select(
+    return cells.select(
         left,
         right,
         "n",
         "mean_score",
-        (F.col("all.same") / F.col("all.n")).alias("exact_agreement"),
-        (F.col("all.near") / F.col("all.n")).alias("compatible_agreement"),
+        share(F.col(left) == F.col(right)).alias("exact_agreement"),
+        share(merged(left) == merged(right)).alias("compatible_agreement"),
     )
