@@ -6,6 +6,7 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 HITS = "query_id bigint, doc_id bigint, score double"
@@ -28,6 +29,22 @@ def _similarity(queries: np.ndarray, docs: np.ndarray, kind: str) -> np.ndarray:
     return queries @ docs.T
 
 
+def _first(scores: np.ndarray, k: int) -> np.ndarray:
+    """Positions of the k best scores per row, the lower position first on ties.
+
+    Only rows with a tie at the k-th place need a whole sort.
+    """
+    if scores.shape[1] <= k:
+        return np.argsort(-scores, axis=1, kind="stable")
+    best = np.sort(np.argpartition(-scores, k - 1, axis=1)[:, :k], axis=1)
+    values = np.take_along_axis(scores, best, axis=1)
+    order = np.take_along_axis(best, np.argsort(-values, axis=1, kind="stable"), axis=1)
+    lowest = values.min(axis=1, keepdims=True)
+    tied = np.flatnonzero((scores >= lowest).sum(axis=1) > k)
+    order[tied] = np.argsort(-scores[tied], axis=1, kind="stable")[:, :k]
+    return order
+
+
 def _best(query_ids, query_vectors, doc_ids, doc_vectors, k: int, kind: str) -> pd.DataFrame:
     """Top-k documents of one block per query, by score then id."""
     by_id = np.argsort(doc_ids, kind="stable")
@@ -37,7 +54,7 @@ def _best(query_ids, query_vectors, doc_ids, doc_vectors, k: int, kind: str) ->
     for start in range(0, len(query_ids), step):
         ids = query_ids[start : start + step]
         scores = _similarity(query_vectors[start : start + step], doc_vectors, kind)
-        order = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        order = _first(scores, k)
         parts.append(
             pd.DataFrame(
                 {
@@ -116,22 +133,25 @@ def _broadcast_top_k(queries, docs, k, kind, by_topic) -> DataFrame:
     qtopics = rows["topic"].to_numpy() if by_topic else None
     shared = queries.sparkSession.sparkContext.broadcast((qids, qvecs, qtopics))
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors, topics = shared.value
         best = None
         for batch in batches:
-            if batch.empty:
+            if not batch.num_rows:
                 continue
-            dids, dvecs = batch["doc_id"].to_numpy(), _matrix(batch["embedding"])
-            dtopics = batch["topic"].to_numpy() if by_topic else None
+            dids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            # The vectors of a batch lie one after the other in a single buffer.
+            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
+            dvecs = flat.astype("float64").reshape(len(dids), -1)
+            dtopics = batch.column("topic").to_numpy(zero_copy_only=False) if by_topic else None
             found = list(_block_hits(ids, vectors, topics, dids, dvecs, dtopics, k, kind))
             best = pd.concat(found if best is None else [best, *found])
             best = best.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
             best = best.groupby("query_id", sort=False).head(k)
         if best is not None:
-            yield best
+            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    return _keep_best(docs.mapInPandas(scan, HITS), k)
+    return _keep_best(docs.mapInArrow(scan, HITS), k)
 
 
 def _blocked_top_k(queries, docs, k, kind, by_topic, size, block_bytes) -> DataFrame:

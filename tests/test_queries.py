@@ -44,4 +44,4 @@ def test_plans_stay_in_the_jvm(spark, plan_of, name):
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in batches:
-        assert "Python" not in plan and "MapInPandas" not in plan
+        assert "Python" not in plan and "MapIn" not in plan
