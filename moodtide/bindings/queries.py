@@ -404,6 +404,12 @@ def scrub_text(spark, sf_dir):
     return T.scrub_columns(posts, "text")
 
 
+@query("scrub_sql_function", f"SELECT doc_id, period, {S.scrub('post')} AS text FROM raw_posts")
+def scrub_sql_function(spark, sf_dir):
+    T.register_scrub(spark)
+    return V.raw_posts(spark, sf_dir).selectExpr("doc_id", "period", "scrub_pii(post) AS text")
+
+
 @query(
     "anonymize_frame",
     f"""SELECT doc_id, period, {S.scrub('post')} AS post,
@@ -1003,9 +1009,8 @@ _FEATURE_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in signal.FEATURES)
 @query("build_features", f"SELECT post_id, {_FEATURE_SQL} FROM features")
 def build_features(spark, sf_dir):
     silver = V.stored_silver(spark, sf_dir)
-    scores = materialize(_score(silver), "scores")
-    posts = gold.apply_scores(gold.gold_posts(silver), scores, gold.SENTIMENT_COLUMNS)
-    return rounded(signal.build_features(silver, posts, V.SEVERE))
+    posts = gold.apply_scores(gold.gold_posts(silver), _score(silver), gold.SENTIMENT_COLUMNS)
+    return rounded(signal.build_features(silver, materialize(posts, "gold"), V.SEVERE))
 
 
 @query(
@@ -1166,8 +1171,10 @@ def chunk_documents(spark, sf_dir):
 
 
 def _topic_queries(spark, sf_dir) -> DataFrame:
+    """One query per topic, written once: the search measures them, then sends them along."""
     centroids = retrieval.topic_centroids(V.passages(spark, sf_dir))
-    return centroids.select(F.col("topic").cast("bigint").alias("query_id"), "topic", "embedding")
+    queries = centroids.select(F.col("topic").cast("bigint").alias("query_id"), "topic", "embedding")
+    return materialize(queries, "queries")
 
 
 _RANK = "row_number() OVER (PARTITION BY query_id ORDER BY {s} DESC, doc_id)"

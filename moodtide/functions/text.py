@@ -11,7 +11,7 @@ from functools import reduce
 from operator import add
 from typing import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # --- fixed values: character classes (to be put between brackets) -------------
 # Frequent characters are listed one by one and the rest sits behind a range, so
@@ -226,6 +226,14 @@ def scrub_columns(df: DataFrame, *columns: str) -> DataFrame:
     return df
 
 
+def register_scrub(spark: SparkSession, name: str = "scrub_pii") -> None:
+    """``scrub_text`` as a SQL function, for models written in SQL."""
+    body = "t"
+    for kind, pattern in PII_PATTERNS.items():
+        body = f"regexp_replace({body}, r'{pattern}', '{REDACTION.format(kind=kind)}')"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(t STRING) RETURNS STRING RETURN {body}")
+
+
 # --- lexicons -------------------------------------------------------------------
 
 

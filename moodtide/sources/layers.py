@@ -79,12 +79,9 @@ def publish(df: DataFrame, root: str) -> str:
     The plan may read the current version: nothing is overwritten, and a failed
     job leaves the pointer where it was.
     """
-    spark = df.sparkSession
-    current = current_version(spark, root)
-    target = f"v{int(current[1:]) + 1 if current else 1:06d}"
-    df.write.mode("overwrite").parquet(f"{root}/{target}")
-    point_to(spark, root, target)
-    return target
+    version, _ = stage(df, root)
+    point_to(df.sparkSession, root, version)
+    return version
 
 
 def stage(df: DataFrame, root: str) -> tuple[str, DataFrame]:

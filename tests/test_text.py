@@ -92,6 +92,12 @@ def test_guarded_scrub_equals_plain_scrub(spark):
     assert got == evaluate(spark, texts, T.scrub_text("t"))
 
 
+def test_sql_function_equals_column(spark):
+    texts = [t for t, _ in LEAKS] + EDGES + noise(500, 13) + [None]
+    T.register_scrub(spark)
+    assert evaluate(spark, texts, F.expr("scrub_pii(t)")) == evaluate(spark, texts, T.scrub_text("t"))
+
+
 def test_character_classes_are_pythons(spark):
     # Up to the end of the letters that both Unicode versions know.
     points = [c for c in range(0x3100) if not 0x860 <= c < 0x900]
