@@ -109,8 +109,8 @@ def first_posts(posts: DataFrame, n: int) -> DataFrame:
 
 
 def unscored(posts: DataFrame, done: DataFrame) -> DataFrame:
-    """Posts without a score yet."""
-    return posts.join(done.select("post_id"), "post_id", "left_anti")
+    """Posts without a score yet; repeated scores are merged before the shuffle."""
+    return posts.join(done.select("post_id").distinct(), "post_id", "left_anti")
 
 
 def append_scores(done: DataFrame, fresh: DataFrame) -> DataFrame:

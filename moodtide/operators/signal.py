@@ -318,10 +318,15 @@ def score_histogram(
 ) -> DataFrame:
     """Negatives and positives per published score: at most 10,001 rows.
 
-    Flags are counted before the scores are rounded.
+    Flags are counted before the scores are rounded. A score that is no
+    probability is an error, for it would break the bound.
     """
     positive, flagged = F.col(label) == 1, F.col(score) >= threshold
-    return df.groupBy(round_even(score, SCORE_DECIMALS).alias("score")).agg(
+    stop = F.raise_error(F.lit("scores must lie between 0 and 1")).cast("double")
+    published = F.when(
+        F.col(score).isNull() | F.col(score).between(0, 1), round_even(score, SCORE_DECIMALS)
+    ).otherwise(stop)
+    return df.groupBy(published.alias("score")).agg(
         F.count_if(positive).alias("pos"),
         F.count_if(F.col(label) == 0).alias("neg"),
         F.count_if(flagged).alias("flagged"),

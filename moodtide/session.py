@@ -21,6 +21,10 @@ SETTINGS = {
 }
 
 
+# Where a local session keeps its fallback; core settings cannot be changed later.
+LOCAL_ROOT = "moodtide.local.root"
+
+
 def build_session(app: str = "moodtide", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -35,15 +39,13 @@ def shared_root(spark: SparkSession) -> str:
 
     Only a local session may fall back to a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_ROOT, None)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="moodtide-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.conf.set(LOCAL_ROOT, root)
     return root
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from moodtide.operators import scoring, signal
@@ -193,6 +194,12 @@ def test_metrics_equal_brute_force(spark):
     assert none["precision"] == none["recall"] == none["f1"] == 0.0
 
 
+def test_scores_must_be_probabilities(spark):
+    df = spark.createDataFrame([(0.2, 0), (1.5, 1)], "s double, y int")
+    with pytest.raises(PySparkException, match="between 0 and 1"):
+        signal.classifier_metrics(df, "s", "y").collect()
+
+
 def test_threshold_matches_prevalence(spark):
     df = spark.createDataFrame([(i / 100, int(i % 4 == 0)) for i in range(100)], "s double, y int")
     row = signal.calibrate_threshold(df, "s", "y").first()
