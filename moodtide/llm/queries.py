@@ -6,12 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import simhash, substrings
+from moodtide.llm import bpe, simhash, substrings, token_counts
 from moodtide.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path() -> str:
+    """The public byte-level BPE vocabulary of the queries."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_near_copies(read_table(spark, sf_dir, "documents"))
 
@@ -21,9 +32,15 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 QUERIES: dict[str, Query] = {
+    "op2_bpe": op2_bpe,
     "op6_simhash": op6_simhash,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
