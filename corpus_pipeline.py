@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import simhash, substrings
+from moodtide.llm import langid, simhash, substrings
 from moodtide.llm.frames import materialize, read_table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+# A text keeps its place if one language has this mean probability over its bytes; a share
+# for each of two languages is enough, noise in no known language is not.
+MIN_SCORE = 0.35
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; ``und`` and those it is not sure of go."""
+    marked = langid.identify(docs.withColumn("__row", F.struct(*docs.columns)), langid.learn(docs))
+    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
+    return marked.where(sure).select("__row.*")
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
     return simhash.keep_one_of_each(docs)
@@ -26,6 +38,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
     ("simhash_near_dedup", near_copies),
     ("substring_dedup", repeated_passages),
 ]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import bpe, simhash, substrings, token_counts
+from moodtide.llm import bpe, langid, simhash, substrings, token_counts
 from moodtide.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_near_copies(read_table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    marked = docs.select("doc_id", "text", langid.held_out("doc_id").alias("held_out"))
+    return langid.identify(marked, langid.learn(docs)).drop("text")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -39,6 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op6_simhash": op6_simhash,
+    "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
