@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import langid, simhash, substrings
+from moodtide.llm import bpe, decontaminate, langid, simhash, substrings
 from moodtide.llm.frames import materialize, read_table
+from moodtide.llm.queries import vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -37,10 +38,25 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return done.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
 
 
+def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item, nor one with a few words changed."""
+    return decontaminate.without_benchmarks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with token_ids, their number, and whether decoding gives the text back."""
+    coded = bpe.encode(docs, vocabulary_path(), ids="token_ids")
+    back = bpe.decode(coded, vocabulary_path(), "token_ids", "decoded")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return back.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("round_trip", same).drop("decoded")
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
     ("simhash_near_dedup", near_copies),
     ("substring_dedup", repeated_passages),
+    ("benchmark_decontamination", no_benchmark),
+    ("bpe_encoding", encoded),
 ]
 
 # No stage but the third can be said in SQL; tests/llm/test_pipeline.py compares all with brute force.
