@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import bpe, decontaminate, langid, simhash, substrings, token_counts
+from moodtide.llm import bpe, decontaminate, embeddings, langid, simhash, substrings, token_counts
 from moodtide.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.benchmark_matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.link_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_near_copies(read_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
     "op9_substring_dedup": op9_substring_dedup,

@@ -65,9 +65,11 @@ def dedup_substrings(
     holding = texts.join(by_row, met).select("__id", "__h", "__text", "runs")
     pieces = map_batches(holding, lambda b: _pieces(b, window), PIECES.format(id=kind), "__text")
     strings = pieces.groupBy("key", "packed").agg(F.count("*").alias("copies"))
-    buckets = strings.repartition("key").sortWithinPartitions("key")
-    covers = buckets.mapInArrow(lambda it: _sorted_buckets(it, window), "mark string, cover array<int>")
-    places = pieces.select("__id", "__h", "start", F.md5("packed").alias("mark")).join(covers, "mark")
+    # 128 bits name a string: two hashes of different seeds.
+    mark = F.xxhash64("packed").alias("mark"), F.xxhash64(F.lit(1), "packed").alias("more")
+    buckets = strings.repartition("key").sortWithinPartitions("key").select("key", "packed", "copies", *mark)
+    covers = buckets.mapInArrow(lambda it: _sorted_buckets(it, window), "mark long, more long, cover array<int>")
+    places = pieces.select("__id", "__h", "start", *mark).join(covers, ["mark", "more"])
     repeats = places.groupBy(F.col("__id").alias("i"), F.col("__h").alias("h")).agg(
         F.collect_set(F.struct("start", "cover")).alias("covers")
     )
@@ -186,8 +188,6 @@ def _pieces(batch: pa.RecordBatch, window: int) -> pa.RecordBatch:
 
 
 def _sorted_buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
-    import hashlib
-
     for table in whole_keys(batches, "key", BUCKET_ROWS):
         packed = table.column("packed").to_pylist()
         copies = table.column("copies").to_numpy()
@@ -208,14 +208,11 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[
         group = np.cumsum(~np.concatenate([[False], same])) - 1
         total = np.bincount(group, copies[owner[order]])
         twice[order] = total[group] > 1
-        out = [(k, _ranges(twice[a : a + m], window)) for k, (a, m) in enumerate(zip((np.cumsum(held) - held).tolist(), held.tolist())) if twice[a : a + m].any()]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([hashlib.md5(packed[k].encode(), usedforsecurity=False).hexdigest() for k, _ in out], pa.string()),
-                pa.array([r for _, r in out], pa.list_(pa.int32())),
-            ],
-            ["mark", "cover"],
-        )
+        ends = np.cumsum(held)
+        some = np.unique(owner[twice])
+        spans = [_ranges(twice[a:b], window) for a, b in zip((ends - held)[some].tolist(), ends[some].tolist())]
+        marks = table.select(["mark", "more"]).take(pa.array(some))
+        yield from marks.append_column("cover", pa.array(spans, pa.list_(pa.int32()))).to_batches()
 
 
 def _equal_neighbours(ids, begin, order, names, keys, window) -> np.ndarray:
