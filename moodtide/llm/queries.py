@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import bpe, decontaminate, embeddings, langid, simhash, substrings, token_counts
+from moodtide.llm import bpe, chat, decontaminate, embeddings, langid, simhash, substrings, token_counts, urls
 from moodtide.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.filter_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
@@ -41,6 +45,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(marked, langid.learn(docs)).drop("text")
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["conv_id", "turn", "role", "text"]
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)], "conv_id long, turn long, role string, text string")
+    turns = read_table(spark, sf_dir, "conversations").select(fields).union(extra)
+    return chat.digest(chat.format_conversations(turns))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -51,16 +63,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
+    "op8_chat_format": op8_chat_format,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
+    "op8_chat_format": r"""
+        WITH m AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+        e AS (
+            SELECT *, regexp_replace(
+                text, '([<\[])(\\*(?:/?s>|/?INST\]|IMG\]|AUD\]|DOC\]))', '\1\\\2', 'g') AS body FROM m),
+        a AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, body) AS turns,
+                   coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, body) FILTER (role = 'assistant'), '') AS loss,
+                   3 + sum(7 + length(url_encode(role)) + 9 + length(body) + 4) AS formatted_chars
+            FROM e GROUP BY conv_id)
+        SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
+               sha256(loss) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
+        FROM a""",
     "op9_substring_dedup": r"""
         WITH w AS (
             SELECT row_number() OVER () AS r, doc_id,
