@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import bpe, chat, decontaminate, embeddings, langid, simhash, substrings, token_counts, urls
+from moodtide.llm import bpe, chat, decontaminate, embeddings, langid, licenses, simhash, substrings, token_counts, urls
 from moodtide.llm.frames import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.link_embeddings(read_table(spark, sf_dir, "embeddings"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"), licenses.source_path())
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.group_near_copies(read_table(spark, sf_dir, "documents"))
 
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_decontamination": op3_decontamination,
     "op4_embedding_dedup": op4_embedding_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_simhash": op6_simhash,
     "op7_language_id": op7_language_id,
     "op8_chat_format": op8_chat_format,
@@ -74,7 +79,57 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
 }
 
+def license_twin() -> str:
+    known = licenses.Templates.of(licenses.TEMPLATES, licenses.COSINE)
+    idf = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in sorted(known.idf.items()))
+    vectors = ", ".join(f"('{n}', '{t}', {x!r}::DOUBLE)" for n, v in known.vectors.items() for t, x in v.items())
+    return rf"""
+        WITH vocabulary(token, idf) AS (VALUES {idf}),
+        vectors(license, token, weight) AS (VALUES {vectors}),
+        d AS (
+            SELECT doc_id, text, coalesce(source, '_') || '/' || coalesce(lang, '_') || '/' ||
+                   coalesce(floor(doc_id / 64.0)::BIGINT::VARCHAR, '_') || '/' || coalesce(doc_id::VARCHAR, '_') AS path
+            FROM documents),
+        units AS (
+            SELECT doc_id, unnest(range(len(x))) AS line, unnest(x) AS unit
+            FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM d)
+            UNION ALL SELECT doc_id, -1, text FROM d),
+        tokens AS (
+            SELECT doc_id, line, token, count(*) AS n
+            FROM (SELECT doc_id, line, unnest(regexp_split_to_array(lower(unit), '[^a-z0-9]+')) AS token FROM units)
+            WHERE token <> '' GROUP BY ALL),
+        weighed AS (
+            SELECT t.*, n * coalesce(idf, {known.unseen!r}::DOUBLE) AS x FROM tokens t LEFT JOIN vocabulary USING (token)),
+        norms AS (SELECT doc_id, line, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL),
+        scores AS (
+            SELECT doc_id, line, license, round(sum(x * weight) / any_value(norm), 6) AS cosine
+            FROM weighed JOIN vectors USING (token) JOIN norms USING (doc_id, line) GROUP BY ALL),
+        top AS (
+            SELECT doc_id, line = -1 AS whole, cosine, license FROM scores WHERE cosine >= {licenses.COSINE}
+            QUALIFY row_number() OVER (PARTITION BY doc_id, line = -1 ORDER BY cosine DESC, license DESC) = 1),
+        dirs AS (
+            SELECT doc_id, unnest(range(4)) AS up, path FROM d),
+        above AS (
+            SELECT doc_id, up, CASE up WHEN 3 THEN '/' ELSE
+                '/' || array_to_string(string_split(path, '/')[1:3 - up], '/') || '/' END AS dir FROM dirs),
+        licensed AS (
+            SELECT dir, cosine, license FROM top JOIN above USING (doc_id) WHERE whole AND up = 0
+            QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, license DESC) = 1),
+        nearest AS (
+            SELECT doc_id, up, cosine, license FROM above JOIN licensed USING (dir)
+            QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY up) = 1)
+        SELECT d.doc_id, path, coalesce(f.license, h.license, i.license) AS license,
+               coalesce(f.cosine, h.cosine, i.cosine) AS cosine,
+               CASE WHEN f.doc_id IS NOT NULL THEN 'file' WHEN h.doc_id IS NOT NULL THEN 'header'
+                    WHEN i.doc_id IS NOT NULL THEN 'inherited' END AS found,
+               CASE WHEN f.doc_id IS NULL AND h.doc_id IS NULL THEN i.up::INT END AS distance
+        FROM d LEFT JOIN (SELECT * FROM top WHERE whole) f ON f.doc_id = d.doc_id
+        LEFT JOIN (SELECT * FROM top WHERE NOT whole) h ON h.doc_id = d.doc_id
+        LEFT JOIN nearest i ON i.doc_id = d.doc_id"""
+
+
 ORACLE: dict[str, str] = {
+    "op5_license_scan": license_twin(),
     "op8_chat_format": r"""
         WITH m AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
