@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moodtide.llm.frames import materialize
@@ -49,3 +50,14 @@ def _contracted(edges: DataFrame, step: DataFrame) -> DataFrame:
     right = step.select(F.col("node").alias("b"), F.col("root").alias("y"))
     drawn = edges.join(left, "a").join(right, "b").where("x <> y")
     return drawn.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the trees of a[k] and b[k]; root names the least node of each tree."""
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        if (low == high).all():
+            return
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root[:] = root[root]

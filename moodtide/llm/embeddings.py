@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from moodtide.llm.components import components
+from moodtide.llm.components import components, unite
 from moodtide.llm.frames import map_batches, materialize
 
 COSINE = 0.93
@@ -126,7 +126,7 @@ def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> p
         keep &= q_node[rows] != m_node[cols]
         rows, cols = rows[keep], cols[keep]
         np.add.at(n_links, rows, copies[cols])
-        _unite(root, q_node[rows], m_node[cols])
+        unite(root, q_node[rows], m_node[cols])
     names = list(number)
     linked = np.flatnonzero(root != np.arange(len(root)))
     counted = np.flatnonzero(n_links)
@@ -143,17 +143,6 @@ def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> p
     )
 
 
-def _unite(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    """Joins the trees of a[k] and b[k]; root names the least node of each tree."""
-    while True:
-        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-        if (low == high).all():
-            return
-        np.minimum.at(root, high, low)
-        while (root[root] != root).any():
-            root[:] = root[root]
-
-
 def usable(vec: Column) -> Column:
     """Not null, no null or non-finite component, not zero."""
     inner = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
