@@ -20,9 +20,9 @@ MIN_SCORE = 0.35
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; ``und`` and those it is not sure of go."""
-    marked = langid.identify(docs.withColumn("__row", F.struct(*docs.columns)), langid.learn(docs))
-    sure = (F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)
-    return marked.where(sure).select("__row.*")
+    marked = langid.identify(docs, langid.learn(docs), names=("__lang", "__score", "__positions"))
+    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_SCORE)
+    return marked.where(sure).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

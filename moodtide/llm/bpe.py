@@ -16,7 +16,7 @@ from moodtide.llm.frames import map_batches
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED = 600_000  # pre-tokens that a worker remembers
+CACHED = 200_000  # pre-tokens that a worker remembers, about 50 MB
 LONG = 32  # bytes beyond which a pre-token has a tree of its own and is not remembered
 TREES = 16_384  # pre-tokens whose trees are worked on side by side
 NONE = np.iinfo(np.int64).max
@@ -102,8 +102,12 @@ class Bpe:
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [self._split(t) for t in texts]
-        known = self._learned({p for parts in split for p in parts})
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        long = self._learn({p for parts in split for p in parts})
+        known = self.known
+        out = [b"".join(map(known.__getitem__, parts)) for parts in split]
+        for p in long:
+            del known[p]
+        return out
 
     def _split(self, text: str) -> list[str]:
         if self.cut is None or not any(s in text for s in self.special):
@@ -113,27 +117,29 @@ class Bpe:
             out += [part] if k % 2 else self.find(part)
         return out
 
-    def _learned(self, wanted: set[str]) -> dict[str, bytes]:
+    def _learn(self, wanted: set[str]) -> list[str]:
+        """Makes ``known`` hold all of ``wanted``; returns those too long to stay."""
         new = [p for p in wanted if p not in self.known]
         if len(self.known) + len(new) > CACHED:
             # What was met first is mostly what is met often.
             self.known = dict(itertools.islice(self.known.items(), CACHED // 2))
             new = [p for p in wanted if p not in self.known]
         coded = [p.encode("utf-8", "surrogatepass") for p in new]
-        long = {}
+        long: list[str] = []
         short: dict[int, list[int]] = {}
         for k, (p, b) in enumerate(zip(new, coded)):
             if p in self.special:
                 self.known[p] = np.array([self.special[p]], "<u4").tobytes()
             elif len(b) > LONG:
-                long[p] = np.array(self.encode_one(b), "<u4").tobytes()
+                long.append(p)
+                self.known[p] = np.array(self.encode_one(b), "<u4").tobytes()
             else:
                 short.setdefault(max(2, 1 << (len(b) - 1).bit_length()), []).append(k)
         for width, rows in short.items():
             for a in range(0, len(rows), TREES):
                 part = rows[a : a + TREES]
                 self.known.update(zip([new[k] for k in part], self._encode_many([coded[k] for k in part], width)))
-        return self.known | long if long else self.known
+        return long
 
     def encode_one(self, word: bytes) -> list[int]:
         """Ids of one pre-token. The tree's root holds the lowest rank of a pair, then the leftmost place."""

@@ -240,8 +240,11 @@ def _pooled(net: Network, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndar
     return total, count
 
 
-def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs``, lang_pred (string), score (double), n_positions (array<bigint>).
+NAMES = ("lang_pred", "score", "n_positions")
+
+
+def identify(docs: DataFrame, net: Network | None, text_col: str = "text", names: tuple[str, str, str] = NAMES) -> DataFrame:
+    """All rows and columns of ``docs``, lang_pred (string), score (double), n_positions (array<bigint>), or so under ``names``.
 
     The network labels every byte of the whole text, in blocks of BLOCK bytes;
     score is the mean over all positions of the probability of the language that
@@ -250,26 +253,26 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> Da
     text if nothing was learned, is ``und`` with score 0 and null n_positions.
     Columns with those names are replaced. No shuffle.
     """
-    new = ["lang_pred", "score", "n_positions"]
+    new = list(names)
     kept = [c for c in docs.columns if c not in new]
     fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     small = net.compact() if net else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lettered = batch.column("__letters")
-        names, scores, counts = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [None] * batch.num_rows
+        langs, scores, counts = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [None] * batch.num_rows
         at = np.flatnonzero(lettered.to_numpy(zero_copy_only=False))
         if small and len(at):
             raw, offsets = text_buffers(batch.column(text_col).take(pa.array(at)))
             total, count = _pooled(small, raw, offsets)
             mean = total / np.diff(offsets)[:, None]
             for k, j, m, n in zip(at.tolist(), mean.argmax(1).tolist(), mean.max(1).tolist(), count.tolist()):
-                names[k], scores[k], counts[k] = small.labels[j], min(max(m, 0.0), 1.0), n
-        columns = [pa.array(names), pa.array(scores), pa.array(counts, pa.list_(pa.int64()))]
+                langs[k], scores[k], counts[k] = small.labels[j], min(max(m, 0.0), 1.0), n
+        columns = [pa.array(langs), pa.array(scores), pa.array(counts, pa.list_(pa.int64()))]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, *new])
 
     source = docs.select(*kept, has_letter(text_col).alias("__letters"))
-    return map_batches(source, run, ", ".join([*fields, "lang_pred string, score double, n_positions array<bigint>"]), text_col)
+    return map_batches(source, run, ", ".join([*fields, f"`{new[0]}` string, `{new[1]}` double, `{new[2]}` array<bigint>"]), text_col)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from moodtide.llm import bpe
 from moodtide.llm.frames import map_batches, text_buffers
 
 LIMIT = 512
-CACHED = 500_000  # lengths of rarer pre-tokens that a worker remembers
+CACHED = 250_000  # lengths of rarer pre-tokens that a worker remembers
 
 
 def frequent_lengths(path: str) -> bytes:
@@ -44,6 +45,7 @@ class Counter:
     """Lengths of pre-tokens: the table of frequent ones, then this worker's cache."""
 
     def __init__(self, table: bytes, vocabulary: bytes):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         rows = pa.ipc.open_stream(table).read_all()
