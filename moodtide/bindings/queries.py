@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from moodtide.bindings import sql as S, views as V
 from moodtide.functions import dates, text as T
@@ -21,7 +22,7 @@ from moodtide.operators import (
     trends,
 )
 from moodtide.plans import guidance
-from moodtide.schemas import GOLD_POSTS, GOLD_POSTS_REQUIRED, GOLD_WEEKLY, SILVER
+from moodtide.schemas import GOLD_POSTS, GOLD_POSTS_REQUIRED, GOLD_WEEKLY, GOLD_WEEKLY_REQUIRED, SILVER
 from moodtide.session import materialize, scratch_dir
 from moodtide.sources import landing, layers, payloads as cache
 
@@ -49,6 +50,18 @@ SOURCES = tuple(f"src{i}" for i in range(20))
 PERIODS = ("pre", "post", "2018")
 
 
+WEEKLY_SQL = """SELECT subreddit, week, n_posts, n_active_authors, avg_word_count,
+    round(sentiment, 6) AS sentiment, crisis_count, round(crisis_rate, 6) AS crisis_rate FROM weekly"""
+
+_PLACE = "CAST(row_number() OVER (ORDER BY {o}) AS INT) AS position"
+
+
+def positioned(df: DataFrame) -> DataFrame:
+    """Adds the place at which a small sorted result puts each row; ids grow in the order of its partitions."""
+    order = Window.orderBy("_at")
+    return df.withColumn("_at", F.monotonically_increasing_id()).withColumn("position", F.row_number().over(order)).drop("_at")
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Averages differ in the last bits with the order of addition."""
     doubles = [c for c, kind in df.dtypes if kind == "double"]
@@ -58,8 +71,8 @@ def rounded(df: DataFrame, places: int = 6) -> DataFrame:
 # --- scans, sources, sinks --------------------------------------------------------
 
 
-def _write_corpus(spark: SparkSession, sf_dir: str) -> str:
-    """The raw posts as corpus files, one folder of parts per file name."""
+def _write_corpus(spark: SparkSession, sf_dir: str, single: bool = False) -> str:
+    """The raw posts as corpus files, one folder per file name, with one part file if ``single``."""
     path = scratch_dir(spark, "corpus")
     raw = V.raw_posts(spark, sf_dir).select(
         (F.col("doc_id") % 10).alias("feature_a"),
@@ -70,7 +83,8 @@ def _write_corpus(spark: SparkSession, sf_dir: str) -> str:
         F.length("post").alias("feature_b"),
         "source_file",
     )
-    writer = raw.hint("rebalance", "source_file").write.partitionBy("source_file")
+    spread = raw.repartition("source_file") if single else raw.hint("rebalance", "source_file")
+    writer = spread.write.partitionBy("source_file")
     for key in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
         writer = writer.option(key, False)
     writer.option("header", True).option("escape", '"').csv(path)
@@ -158,19 +172,22 @@ def offline_expand(spark, sf_dir):
 
 @query(
     "manifest_verify",
-    """SELECT url AS key, CASE WHEN page_id % 7 = 0 THEN 'mismatch' WHEN page_id % 19 = 0 THEN 'missing'
-                               ELSE 'verified' END AS status FROM pages""",
+    """SELECT CASE WHEN n % 5 = 3 THEN 'lost_' || key ELSE key END AS key,
+              CASE WHEN n % 5 = 3 THEN 'missing' WHEN n % 7 = 0 THEN 'mismatch' ELSE 'verified' END AS status
+       FROM (SELECT DISTINCT source_file AS key, CAST(regexp_extract(source_file, '[0-9]+') AS INT) AS n FROM bronze)""",
 )
 def manifest_verify(spark, sf_dir):
-    pages = V.table(spark, sf_dir, "pages")
-    files = pages.select(
-        F.when((F.col("page_id") % 19 == 0) & (F.col("page_id") % 7 != 0), F.concat(F.lit("x"), "url"))
-        .otherwise(F.col("url"))
-        .alias("key"),
-        F.md5("html").alias("md5"),
+    """Written corpus files against a manifest taken from their text, some entries of which are altered."""
+    path = _write_corpus(spark, sf_dir, single=True)
+    files = landing.file_digests(spark, path).where("name LIKE '%.csv'")
+    files = files.select(landing.source_name(F.col("path")).alias("key"), "md5")
+    texts = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    named = texts.select("value", landing.source_name(landing.file_path()).alias("key"))
+    n = F.regexp_extract("key", "[0-9]+", 0).cast("int")
+    manifest = named.select(
+        F.when(n % 5 == 3, F.concat(F.lit("lost_"), "key")).otherwise(F.col("key")).alias("key"),
+        F.md5(F.when(n % 7 == 0, F.concat("value", F.lit("x"))).otherwise(F.col("value"))).alias("md5"),
     )
-    published = F.when(F.col("page_id") % 7 == 0, F.concat("html", F.lit("x"))).otherwise(F.col("html"))
-    manifest = pages.select(F.col("url").alias("key"), F.md5(published).alias("md5"))
     return landing.verify_checksums(files, manifest).select("key", "status")
 
 
@@ -211,6 +228,14 @@ def warehouse_load(spark, sf_dir):
     return rounded(loaded)
 
 
+@query("warehouse_load_weekly", WEEKLY_SQL)
+def warehouse_load_weekly(spark, sf_dir):
+    """The second table of the load: weekly figures, days as micros on the way."""
+    raw = V.weekly(spark, sf_dir).withColumn("week", _micros("week"))
+    typed = raw.withColumn("week", dates.micros_to_date("week"))
+    return rounded(layers.load_table(typed, GOLD_WEEKLY, GOLD_WEEKLY_REQUIRED, scratch_dir(spark, "warehouse")))
+
+
 @query(
     "warehouse_counts",
     "SELECT count(*) AS source_rows, count(*) AS target_rows, true AS matches FROM scored_posts",
@@ -234,12 +259,12 @@ def micros_to_date(spark, sf_dir):
 
 @query(
     "weekly_contract",
-    f"SELECT {WEEKLY_COLUMNS}, n_active_authors, avg_word_count FROM weekly".replace(
+    f"SELECT {WEEKLY_COLUMNS}, n_active_authors, avg_word_count, {_PLACE.format(o='subreddit, week')} FROM weekly".replace(
         "sentiment, crisis_rate", "round(sentiment, 6) AS sentiment, round(crisis_rate, 6) AS crisis_rate"
     ),
 )
 def weekly_contract(spark, sf_dir):
-    return rounded(trends.weekly_view(V.weekly(spark, sf_dir)))
+    return positioned(rounded(trends.weekly_view(V.weekly(spark, sf_dir))))
 
 
 @query(
@@ -287,13 +312,14 @@ _SENTIMENT_PIVOT = _pivot_sql("round(avg(sentiment) FILTER (subreddit = {c}), 6)
 
 @query(
     "trend_artifact",
-    f"""SELECT * FROM (SELECT week, {_SENTIMENT_PIVOT} FROM weekly GROUP BY week ORDER BY week DESC LIMIT 6)""",
+    f"""SELECT *, {_PLACE.format(o='week')}
+        FROM (SELECT week, {_SENTIMENT_PIVOT} FROM weekly GROUP BY week ORDER BY week DESC LIMIT 6)""",
 )
 def trend_artifact(spark, sf_dir):
     path = scratch_dir(spark, "trend")
     matrix = trends.sentiment_pivot(V.weekly(spark, sf_dir), V.COMMUNITIES)
     layers.export_csv(matrix, path)
-    return rounded(trends.trend_tail(layers.read_export(spark, path, matrix.schema)))
+    return positioned(rounded(trends.trend_tail(layers.read_export(spark, path, matrix.schema))))
 
 
 @query(
@@ -629,10 +655,6 @@ def pre_post_join(spark, sf_dir):
 
 # --- aggregations -----------------------------------------------------------------
 
-WEEKLY_SQL = """SELECT subreddit, week, n_posts, n_active_authors, avg_word_count,
-    round(sentiment, 6) AS sentiment, crisis_count, round(crisis_rate, 6) AS crisis_rate FROM weekly"""
-
-
 @query("weekly_rollup", WEEKLY_SQL)
 def weekly_rollup(spark, sf_dir):
     return rounded(V.weekly(spark, sf_dir))
@@ -640,8 +662,8 @@ def weekly_rollup(spark, sf_dir):
 
 @query(
     "weekly_from_documents",
-    """SELECT subreddit, week, count(*) AS n_posts, count(DISTINCT author_hash) AS n_active_authors,
-              round(avg(n_words), 2) AS avg_word_count, CAST(NULL AS DOUBLE) AS sentiment,
+    f"""SELECT subreddit, week, count(*) AS n_posts, count(DISTINCT author_hash) AS n_active_authors,
+              {S.round_even('avg(n_words)', 2)} AS avg_word_count, CAST(NULL AS DOUBLE) AS sentiment,
               CAST(NULL AS BIGINT) AS crisis_count, CAST(NULL AS DOUBLE) AS crisis_rate
        FROM gold_posts GROUP BY subreddit, week""",
 )
@@ -724,10 +746,9 @@ def run_report(spark, sf_dir):
 @query(
     "corpus_report",
     f"""SELECT (SELECT count(*) FROM crawled) AS seeds, count(*) AS documents,
-               (SELECT count(*) FROM chunks) AS chunks,
+               (SELECT count(*) FROM chunks SEMI JOIN docs USING (content_hash)) AS chunks,
                CAST(sum({S.word_count('text')}) AS BIGINT) AS words,
-               array_to_string(list_sort(list(DISTINCT source)), ', ') AS sources,
-               array_to_string(list_sort(list(DISTINCT topic)), ', ') AS topics,
+               count(DISTINCT source) AS sources, count(DISTINCT topic) AS topics,
                (SELECT count(reason) FROM crawled) AS failures
         FROM docs""",
 )
@@ -743,6 +764,15 @@ def corpus_report(spark, sf_dir):
     return report
 
 
+@query(
+    "corpus_names",
+    """SELECT 'source' AS kind, source AS name, count(*) AS documents FROM docs GROUP BY source
+       UNION ALL SELECT 'topic', topic, count(*) FROM docs GROUP BY topic""",
+)
+def corpus_names(spark, sf_dir):
+    return corpus.corpus_names(corpus.documents(V.crawled(spark, sf_dir)))
+
+
 @query(
     "active_authors_avg",
     """SELECT round(avg(n_active_authors), 6) AS avg_active_authors, count(DISTINCT week) AS weeks,
@@ -861,25 +891,24 @@ def smooth(spark, sf_dir):
     return rounded(smoothed.select("subreddit", "week", "sentiment", "crisis_rate"))
 
 
-@query("content_dedupe", "SELECT content_hash, url, title, source, topic FROM docs")
+@query("content_dedupe", "SELECT content_hash, url, title, source, topic FROM all_docs")
 def content_dedupe(spark, sf_dir):
-    return corpus.documents(V.crawled(spark, sf_dir)).select(
+    return V.all_documents(spark, sf_dir).select(
         "content_hash", "url", "title", "source", "topic"
     )
 
 
 @query("chunk_index", "SELECT format('{}-{:03d}', content_hash, chunk_index) AS chunk_id, CAST(chunk_index AS INT) AS chunk_index FROM chunks")
 def chunk_index(spark, sf_dir):
-    docs = corpus.documents(V.crawled(spark, sf_dir))
-    return corpus.chunk_documents(docs).select("chunk_id", "chunk_index")
+    return corpus.chunk_documents(V.all_documents(spark, sf_dir)).select("chunk_id", "chunk_index")
 
 
 # --- order and limits -------------------------------------------------------------
 
 
-@query("ordered_weekly", WEEKLY_SQL)
+@query("ordered_weekly", f"SELECT *, {_PLACE.format(o='subreddit, week')} FROM ({WEEKLY_SQL})")
 def ordered_weekly(spark, sf_dir):
-    return gold.ordered_weekly(rounded(V.weekly(spark, sf_dir)))
+    return positioned(gold.ordered_weekly(rounded(V.weekly(spark, sf_dir))))
 
 
 @query(
@@ -892,9 +921,9 @@ def extreme_communities(spark, sf_dir):
     return trends.extremes(V.weekly(spark, sf_dir))
 
 
-@query("overview_rank", "SELECT * FROM overview")
+@query("overview_rank", f"SELECT *, {_PLACE.format(o='posts DESC, subreddit')} FROM overview")
 def overview_rank(spark, sf_dir):
-    return trends.ranked_overview(V.weekly(spark, sf_dir))
+    return positioned(trends.ranked_overview(V.weekly(spark, sf_dir)))
 
 
 @query("head_limit", "SELECT post_id, text FROM silver ORDER BY post_id LIMIT 100")
@@ -904,18 +933,12 @@ def head_limit(spark, sf_dir):
 
 @query(
     "coef_rank",
-    "SELECT * FROM ("
-    + " UNION ALL ".join(
-        f"SELECT '{f}' AS feature, round(corr({f}, label), 4) AS coefficient FROM features JOIN weak USING (post_id)"
-        for f in signal.FEATURES
-    )
-    + ")",
+    "SELECT feature, abs(coefficient) AS size, " + _PLACE.format(o="abs(coefficient) DESC, feature") + " FROM fitted_weights",
 )
 def coef_rank(spark, sf_dir):
-    strength = V.training_rows(spark, sf_dir).agg(*[F.round(F.corr(f, "label"), 4).alias(f) for f in signal.FEATURES])
-    return signal.rank_coefficients(
-        strength.unpivot([], list(signal.FEATURES), "feature", "coefficient")
-    )
+    """Features in the order in which the fitted model's coefficients put them."""
+    _, _, ranked = signal.fit_and_score(V.training_rows(spark, sf_dir), V.THRESHOLD)
+    return positioned(ranked.select("feature", F.abs("coefficient").alias("size")))
 
 
 # --- set operations ---------------------------------------------------------------
@@ -1008,9 +1031,9 @@ _FEATURE_SQL = ", ".join(f"round({f}, 6) AS {f}" for f in signal.FEATURES)
 
 @query("build_features", f"SELECT post_id, {_FEATURE_SQL} FROM features")
 def build_features(spark, sf_dir):
+    """Scores join the features once, and are derived in the same stage as those."""
     silver = V.stored_silver(spark, sf_dir)
-    posts = gold.apply_scores(gold.gold_posts(silver), _score(silver), gold.SENTIMENT_COLUMNS)
-    return rounded(signal.build_features(silver, materialize(posts, "gold"), V.SEVERE))
+    return rounded(signal.build_features(silver, gold.unique_scores(_score(silver), "sentiment_score"), V.SEVERE))
 
 
 @query(
@@ -1037,17 +1060,38 @@ def standardize(spark, sf_dir):
     return rounded(signal.standardize(materialize(V.features(spark, sf_dir), "features")))
 
 
-@query("train_logistic")
+@query("train_logistic", "SELECT post_id, crisis_score, p >= 0.5 AS crisis_flag FROM fitted")
 def train_logistic(spark, sf_dir):
-    """Scores of a model fitted on the spot; checked against a Newton solve in the tests."""
+    """Scores of a model fitted on the spot; the twin takes its own Newton steps."""
     scores, _, _ = signal.fit_and_score(V.training_rows(spark, sf_dir), V.THRESHOLD)
     return scores
 
 
-@query("importances")
+@query(
+    "holdout_report",
+    """SELECT round(tp / flagged, 6) AS precision, round(tp / pos, 6) AS recall, round(2 * tp / (flagged + pos), 6) AS f1,
+              round(pos / n, 6) AS weak_label_rate, round(flagged / n, 6) AS flag_rate, round(wins / (pos * neg), 6) AS auc
+       FROM (SELECT count(*) FILTER (p >= 0.5) AS flagged, count(*) FILTER (p >= 0.5 AND label = 1) AS tp,
+                    count(*) FILTER (label = 1) AS pos, count(*) FILTER (label = 0) AS neg, count(*) AS n,
+                    sum(CASE WHEN label = 1 THEN below + alike / 2 END) AS wins
+             FROM (SELECT p, label, coalesce(sum(CAST(label = 0 AS INT)) OVER (ORDER BY p RANGE UNBOUNDED PRECEDING EXCLUDE GROUP), 0) AS below,
+                          sum(CAST(label = 0 AS INT)) OVER (PARTITION BY p) AS alike
+                   FROM fitted WHERE NOT is_train))""",
+)
+def holdout_report(spark, sf_dir):
+    """How the fitted model does on the fifth of posts that it has not seen."""
+    _, report, _ = signal.fit_and_score(V.training_rows(spark, sf_dir), V.THRESHOLD)
+    return rounded(report)
+
+
+@query(
+    "importances",
+    "SELECT feature, coefficient, " + _PLACE.format(o="abs(coefficient) DESC, feature") + " FROM fitted_weights",
+)
 def importances(spark, sf_dir):
-    rows = materialize(V.training_rows(spark, sf_dir), "training")
-    return signal.train_classifier(rows).importances()
+    """Coefficients of the fitted model, in the order of their size."""
+    _, _, ranked = signal.fit_and_score(V.training_rows(spark, sf_dir), V.THRESHOLD)
+    return positioned(ranked)
 
 
 @query("score_flag", "SELECT post_id, crisis_score, crisis_flag FROM signal_scores")
@@ -1067,15 +1111,16 @@ class LexiconScorer:
 
     def score_texts(self, texts):
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        low = pc.utf8_lower(pa.array(texts, pa.large_string()))
 
-        rows = []
-        for text in texts:
-            low = text.lower()
-            pos = sum(low.count(t) for t in V.POSITIVE)
-            neg = sum(low.count(t) for t in V.NEGATIVE)
-            total = pos + neg + 1
-            rows.append([neg / total, 1 / total, pos / total])
-        return np.array(rows).reshape(-1, 3)
+        def hits(terms):
+            return sum(pc.count_substring(low, t).to_numpy() for t in terms)
+
+        pos, neg = hits(V.POSITIVE), hits(V.NEGATIVE)
+        return np.stack([neg, np.ones(len(low)), pos], 1) / (pos + neg + 1)[:, None]
 
 
 @query("score_posts_batched", "SELECT * FROM lexicon_scores")
@@ -1116,8 +1161,8 @@ def incremental_scoring(spark, sf_dir):
 
 @query(
     "refresh_gold",
-    """SELECT subreddit, week, count(*) AS n_posts, count(DISTINCT author_hash) AS n_active_authors,
-              round(avg(n_words), 2) AS avg_word_count, round(avg(sentiment_score), 6) AS sentiment,
+    f"""SELECT subreddit, week, count(*) AS n_posts, count(DISTINCT author_hash) AS n_active_authors,
+              {S.round_even('avg(n_words)', 2)} AS avg_word_count, round(avg(sentiment_score), 6) AS sentiment,
               CAST(sum(CAST(crisis_flag AS INT)) AS BIGINT) AS crisis_count,
               round(sum(CAST(crisis_flag AS INT)) / CAST(count(*) AS DOUBLE), 6) AS crisis_rate
        FROM gold_posts LEFT JOIN lexicon_scores USING (post_id) LEFT JOIN signal_scores USING (post_id)
@@ -1161,10 +1206,10 @@ def crawl_sources(spark, sf_dir):
     "chunk_documents",
     """SELECT format('{}-{:03d}', c.content_hash, c.chunk_index) AS chunk_id, c.text, d.url, d.title, d.source, d.topic,
               d.retrieved_at, CAST(c.chunk_index AS INT) AS chunk_index
-       FROM chunks c JOIN docs d USING (content_hash)""",
+       FROM chunks c JOIN all_docs d USING (content_hash)""",
 )
 def chunk_documents(spark, sf_dir):
-    return corpus.chunk_documents(corpus.documents(V.crawled(spark, sf_dir)))
+    return corpus.chunk_documents(V.all_documents(spark, sf_dir))
 
 
 # --- retrieval, metric templates, questions ---------------------------------------
@@ -1204,6 +1249,22 @@ def topk_by_topic(spark, sf_dir):
     )
 
 
+@query(
+    "retrieval_passages",
+    f"""SELECT CAST(query_id AS BIGINT) AS query_id, CAST(rank AS INT) AS rank, d.text, round(cosine, 6) AS score, a.url, d.source, d.lang AS topic
+        FROM (SELECT *, {_RANK.format(s='cosine')} AS rank FROM similarities QUALIFY rank <= 5) h
+        JOIN documents d USING (doc_id) JOIN addresses a ON a.position = doc_id""",
+)
+def retrieval_passages(spark, sf_dir):
+    """The best passages of each query with text, score and where they come from."""
+    hits = retrieval.top_k(_topic_queries(spark, sf_dir), V.passages(spark, sf_dir), 5)
+    pages = V.addresses(spark, sf_dir).select(F.col("position").alias("doc_id"), "url")
+    texts = V.table(spark, sf_dir, "documents").select("doc_id", "text", "source", F.col("lang").alias("topic"))
+    found = retrieval.passages(hits, texts.join(pages, "doc_id"))
+    cited = [F.col("metadata")[c].alias(c) for c in ("url", "source", "topic")]
+    return rounded(found.select("query_id", "rank", "text", "score", *cited))
+
+
 @query(
     "metric_templates",
     f"""SELECT 'largest_rise' AS metric, subreddit, round(arg_max(crisis_rate, week) - arg_min(crisis_rate, week), 6) AS value
@@ -1270,14 +1331,14 @@ def retrieval_eval(spark, sf_dir):
 
 @query(
     "question_router",
-    f"""SELECT conv_id, turn,
+    f"""SELECT conv_id, turn, role,
                CASE WHEN trim(coalesce(question, '')) = '' THEN {S.quote(trends.HINT)}
                     WHEN {_individual("trim(question)")} THEN {S.quote(trends.REFUSAL)}
                     ELSE (SELECT answer FROM answer) END AS answer FROM questions""",
 )
 def question_router(spark, sf_dir):
     routed = trends.route_questions(V.questions(spark, sf_dir), V.weekly(spark, sf_dir))
-    return routed.select("conv_id", "turn", "answer")
+    return routed.select("conv_id", "turn", "role", "answer")
 
 
 # --- data quality -----------------------------------------------------------------
@@ -1295,6 +1356,42 @@ def dq_not_null(spark, sf_dir):
     return quality.null_counts(V.bronze(spark, sf_dir), _CHECKED)
 
 
+_LAYERS = {"silver": ("post_id",), "gold_posts": ("post_id",), "weekly": ("subreddit", "week")}
+_NEVER_NULL = {
+    "silver": ("post_id", "subreddit", "created_date", "text"),
+    "gold_posts": ("post_id", "subreddit", "week", "n_words"),
+    "weekly": ("subreddit", "week", "n_posts", "avg_word_count"),
+}
+
+
+@query(
+    "dq_layers",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{t}' AS layer, '{c}' AS \"column\", 'not_null' AS test, count(*) FILTER ({c} IS NULL) AS failures FROM {t}"
+            for t, columns in _NEVER_NULL.items()
+            for c in columns
+        ]
+        + [
+            f"SELECT '{t}', '{', '.join(key)}', 'unique', count(*) FROM (SELECT 1 FROM {t} GROUP BY {', '.join(key)} HAVING count(*) > 1)"
+            for t, key in _LAYERS.items()
+        ]
+    ),
+)
+def dq_layers(spark, sf_dir):
+    """not_null and unique on Silver and both Gold tables."""
+    silver = V.stored_silver(spark, sf_dir)
+    tables = {"silver": silver, "gold_posts": gold.gold_posts(silver), "weekly": V.weekly(spark, sf_dir)}
+    parts = []
+    for name, df in tables.items():
+        nulls = quality.null_counts(df, _NEVER_NULL[name])
+        parts.append(nulls.select(F.lit(name).alias("layer"), "column", F.lit("not_null").alias("test"), "failures"))
+        key = _LAYERS[name]
+        twice = quality.duplicate_keys(df, *key).agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(twice.select(F.lit(name).alias("layer"), F.lit(", ".join(key)).alias("column"), F.lit("unique").alias("test"), "failures"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("dq_unique", "SELECT post_id, count(*) AS n FROM bronze GROUP BY post_id HAVING count(*) > 1")
 def dq_unique(spark, sf_dir):
     return quality.duplicate_keys(V.bronze(spark, sf_dir), "post_id")
@@ -1349,10 +1446,9 @@ def leak_report(spark, sf_dir):
     + " FROM silver",
 )
 def assert_anonymized(spark, sf_dir):
-    """A clean layer: every count is zero."""
-    return sv.leak_report(
-        V.stored_silver(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir))
-    )
+    """The guard lets a clean layer pass, with every count zero."""
+    counts = sv.assert_anonymized(V.stored_silver(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir)))
+    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
 
 
 @query(

@@ -11,6 +11,7 @@ import re
 
 from moodtide.bindings import views as V
 from moodtide.functions import text as T
+from moodtide.operators import signal
 
 SP = (
     r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -129,23 +130,65 @@ _CASES = """
     CASE WHEN doc_id % 41 = 0 THEN '[deleted]'
          WHEN doc_id % 43 = 0 THEN '   '
          WHEN doc_id % 47 = 0 THEN NULL
-         WHEN doc_id % 7 = 1 THEN text || ' mail me at jane.doe+' || doc_id || '@example.co.uk please'
-         WHEN doc_id % 7 = 2 THEN 'see HTTPS://example.com/profile/' || doc_id || ' for more or www.example.com/x ' || text
-         WHEN doc_id % 7 = 3 THEN 'thanks u/some_user' || doc_id || ' for this.' || chr(9) || chr(10) || ' ' || text
-         WHEN doc_id % 7 = 4 THEN text || ' thanks /u/Some-User!'
-         WHEN doc_id % 7 = 5 THEN text || ' ping @jane' || doc_id || ' about it'
-         WHEN doc_id % 7 = 6 THEN 'call me on +1 (555) 123-4567, ' || text
+         WHEN doc_id % 7 = 1 THEN text || ' write to kim.w+' || doc_id || '@post.example.org today'
+         WHEN doc_id % 7 = 2 THEN 'look at HTTPS://pages.example.net/p/' || doc_id || ' and www.example.net/y too ' || text
+         WHEN doc_id % 7 = 3 THEN 'as u/kim_' || doc_id || ' put it.' || chr(9) || chr(10) || ' ' || text
+         WHEN doc_id % 7 = 4 THEN text || ' credit to /u/Lee-Park.'
+         WHEN doc_id % 7 = 5 THEN text || ' cc @lee' || doc_id || ' as well'
+         WHEN doc_id % 7 = 6 THEN 'my number is +44 (20) 7946-0018, ' || text
          ELSE text END
 """
 
 _INTRO = (
-    "'# Guidance' || chr(10) || '![banner](https://img.example.net/x.png)' || chr(10)"
-    " || '- [Home](https://a.example.net/) [Topics](https://a.example.net/t/)' || chr(10)"
+    "'# Notes' || chr(10) || '![logo](https://cdn.example.net/logo.png)' || chr(10)"
+    " || '- [Start](https://b.example.net/) [All notes](https://b.example.net/all/)' || chr(10)"
     " || chr(10) || chr(10) || chr(10)"
-    " || 'See the [guidance page](https://a.example.net/g/) for details.' || chr(10) || chr(10)"
+    " || 'More in the [full notes](https://b.example.net/full/) on this.' || chr(10) || chr(10)"
 )
 
 
+NEWTON_STEPS = 12
+
+
+def newton() -> str:
+    """Weights b0..b5 of the penalised logistic regression on ``scaled``, by Newton steps spelled out.
+
+    Each step sums gradient and Hessian over the training rows and eliminates one
+    unknown after the other.
+    """
+    k = len(signal.FEATURES) + 1
+    x = [f"x{i}" for i in range(k - 1)] + ["1.0"]
+    margin = " + ".join(f"b{i} * {x[i]}" for i in range(k))
+    steps = [
+        """z AS MATERIALIZED (
+            SELECT *, CASE WHEN label = 1 THEN n / (2.0 * n1) ELSE n / (2.0 * (n - n1)) END AS w
+            FROM scaled, (SELECT count(*) AS n, sum(label) AS n1 FROM scaled WHERE is_train) WHERE is_train)""",
+        f"w0 AS (SELECT {', '.join(f'0.0::DOUBLE AS b{i}' for i in range(k))})",
+    ]
+    for it in range(1, NEWTON_STEPS + 1):
+        ridge = [1.0] * (k - 1) + [0.0]
+        cells = [f"sum(c * {x[i]} * {x[j]}) + {ridge[i] if i == j else 0.0} AS a{i}{j}" for i in range(k) for j in range(k)]
+        cells += [f"sum(r * {x[i]}) + {ridge[i]} * any_value(b{i}) AS a{i}{k}" for i in range(k)]
+        kept = ", ".join(f"any_value(b{i}) AS b{i}" for i in range(k))
+        steps.append(
+            f"""s{it} AS MATERIALIZED (SELECT {kept}, {', '.join(cells)} FROM (
+                SELECT *, w * (p - label) AS r, w * p * (1 - p) AS c
+                FROM (SELECT *, 1 / (1 + exp(-({margin}))) AS p FROM z, w{it - 1})))"""
+        )
+        below = f"s{it}"
+        for m in range(k):
+            rows = [
+                f"a{i}{j} - a{i}{m} * a{m}{j} / a{m}{m} AS a{i}{j}" if i != m else f"a{m}{j} / a{m}{m} AS a{m}{j}"
+                for i in range(k)
+                for j in range(m + 1, k + 1)
+            ]
+            weights = ", ".join(f"b{i}" for i in range(k))
+            steps.append(f"e{it}_{m} AS MATERIALIZED (SELECT {weights}, {', '.join(rows)} FROM {below})")
+            below = f"e{it}_{m}"
+        steps.append(f"w{it} AS (SELECT {', '.join(f'b{i} - a{i}{k} AS b{i}' for i in range(k))} FROM {below})")
+    return f"WITH {', '.join(steps)} SELECT * FROM w{NEWTON_STEPS}"
+
+
 def _week(day: str) -> str:
     return f"CAST(date_trunc('week', {day}) AS DATE)"
 
@@ -225,6 +268,22 @@ CTES: dict[str, str] = {
     "split_quotas": """
         SELECT label, floor(exact) + CAST(row_number() OVER (ORDER BY exact - floor(exact) DESC, label)
                       <= target - sum(floor(exact)) OVER () AS INT) AS quota FROM split_shares""",
+    "scaled": "SELECT post_id, label, is_train, "
+    + ", ".join(
+        f"({f} - avg({f}) FILTER (is_train) OVER ()) / coalesce(nullif(stddev_pop({f}) FILTER (is_train) OVER (), 0), 1) AS x{i}"
+        for i, f in enumerate(signal.FEATURES)
+    )
+    + """
+        FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(post_id || ':7'), post_id) <= quota AS is_train
+              FROM features JOIN weak USING (post_id) JOIN split_quotas USING (label))""",
+    "weights": newton(),
+    "fitted": f"""
+        SELECT post_id, label, is_train, p, {round_even("p", 4)} AS crisis_score
+        FROM (SELECT s.*, 1 / (1 + exp(-({" + ".join(f"b{i} * x{i}" for i in range(len(signal.FEATURES)))} + b{len(signal.FEATURES)}))) AS p
+              FROM scaled s, weights)""",
+    "fitted_weights": " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, round(b{i}, 4) AS coefficient FROM weights" for i, f in enumerate(signal.FEATURES)
+    ),
     "valued_orders": """
         SELECT *, (o_totalprice - 250000) / 250009 AS s, CAST(o_orderdate AS DATE) AS day,
                o_orderkey % 11 <> 0 AS scored
@@ -239,9 +298,9 @@ CTES: dict[str, str] = {
                CASE WHEN scored THEN o_totalprice / 500009 END AS crisis_score,
                CASE WHEN scored THEN o_orderstatus = 'F' END AS crisis_flag
         FROM valued_orders""",
-    "weekly": """
+    "weekly": f"""
         SELECT subreddit, week, count(*) AS n_posts, count(DISTINCT author_hash) AS n_active_authors,
-               round(avg(n_words), 2) AS avg_word_count, avg(sentiment_score) AS sentiment,
+               {round_even('avg(n_words)', 2)} AS avg_word_count, avg(sentiment_score) AS sentiment,
                CAST(sum(CAST(crisis_flag AS INT)) AS BIGINT) AS crisis_count,
                sum(CAST(crisis_flag AS INT)) / CAST(count(*) AS DOUBLE) AS crisis_rate
         FROM scored_posts GROUP BY subreddit, week""",
@@ -253,23 +312,27 @@ CTES: dict[str, str] = {
                     ELSE 0.0 END AS crisis_share
         FROM weekly GROUP BY subreddit""",
     "answer": """
-        SELECT 'Across the sample period, **r/' || (SELECT subreddit FROM overview ORDER BY avg_sentiment, subreddit LIMIT 1)
-               || '** shows the most negative average sentiment ('
+        SELECT 'Lowest mean sentiment over all weeks: **r/' || (SELECT subreddit FROM overview ORDER BY avg_sentiment, subreddit LIMIT 1)
+               || '** ('
                || (SELECT printf('%+.3f', avg_sentiment) FROM overview ORDER BY avg_sentiment, subreddit LIMIT 1)
-               || '), and **r/' || (SELECT subreddit FROM overview ORDER BY crisis_share DESC, subreddit LIMIT 1)
-               || '** has the highest aggregate crisis-signal share ('
+               || '). Largest share of flagged posts: **r/' || (SELECT subreddit FROM overview ORDER BY crisis_share DESC, subreddit LIMIT 1)
+               || '** ('
                || (SELECT CAST(round(CAST(crisis_share AS DECIMAL(9, 4)) * 100, 1) AS DECIMAL(9, 1))
                    FROM overview ORDER BY crisis_share DESC, subreddit LIMIT 1)
-               || '%). These are aggregate, anonymized cohort trends only.' AS answer""",
+               || '%). Both are aggregate figures of whole communities.' AS answer""",
+    "addresses": """
+        SELECT doc_id AS position, text,
+               coalesce(p.url, 'https://docs.example.org/en/') || '#d' || doc_id AS url
+        FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id % (SELECT count(*) FROM pages)""",
     "seeds": """
-        SELECT page_id AS position, url,
-               CASE WHEN page_id % 17 <> 0 THEN 'topic' || (page_id % 6) END AS topic FROM pages""",
+        SELECT position, url,
+               CASE WHEN position % 17 <> 0 THEN 'topic' || (position % 6) END AS topic FROM addresses""",
     "allowed": f"SELECT DISTINCT {host('url')} AS host FROM pages WHERE {host('url')} LIKE '%.example.org'",
     "page_markdown": f"""
-        SELECT page_id, url,
-               CASE WHEN page_id % 13 = 6 THEN ''
+        SELECT position AS page_id, url,
+               CASE WHEN position % 13 = 6 THEN ''
                     ELSE {_INTRO} || replace(text, chr(10), chr(10) || chr(10)) END AS markdown
-        FROM pages JOIN documents ON page_id = doc_id""",
+        FROM addresses""",
     "checked_urls": f"""
         SELECT position, url, coalesce(topic, 'general') AS topic,
                CASE WHEN lower(split_part(url, ':', 1)) <> 'https' THEN 'non-https url'
@@ -295,15 +358,21 @@ CTES: dict[str, str] = {
         SELECT url, title, source, topic, text, '{V.RETRIEVED_AT}' AS retrieved_at, content_hash
         FROM crawled WHERE reason IS NULL
         QUALIFY row_number() OVER (PARTITION BY content_hash ORDER BY position) = 1""",
+    "all_docs": f"""
+        SELECT s.url, regexp_extract(regexp_replace(s.url, '/+$', ''), '[^/]*$') AS title, {host('s.url')} AS source,
+               coalesce(s.topic, 'general') AS topic, {clean_markdown('m.markdown')} AS text,
+               '{V.RETRIEVED_AT}' AS retrieved_at, substr(sha256({clean_markdown('m.markdown')}), 1, 16) AS content_hash
+        FROM seeds s JOIN page_markdown m ON m.page_id = s.position
+        QUALIFY row_number() OVER (PARTITION BY substr(sha256({clean_markdown('m.markdown')}), 1, 16) ORDER BY s.position) = 1""",
     "paragraphs": f"""
         SELECT content_hash, p, {word_count('p')} AS n, CAST(i AS INT) AS i
         FROM (SELECT content_hash, unnest(ps) AS p, generate_subscripts(ps, 1) AS i
               FROM (SELECT content_hash,
                            list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {strip('x')}),
                                        lambda x: x <> '') AS ps
-                    FROM docs))""",
+                    FROM all_docs))""",
     "packing": f"""
-        SELECT content_hash, 0 AS i, CAST([] AS VARCHAR[]) AS buf, 0 AS idx, CAST(NULL AS VARCHAR) AS out FROM docs
+        SELECT content_hash, 0 AS i, CAST([] AS VARCHAR[]) AS buf, 0 AS idx, CAST(NULL AS VARCHAR) AS out FROM all_docs
         UNION ALL
         SELECT s.content_hash, s.i + 1,
                CASE WHEN full_buf
@@ -329,11 +398,11 @@ CTES: dict[str, str] = {
                -list_distance(CAST(e.embedding AS DOUBLE[]), c.q) AS euclidean
         FROM embeddings e, centroids c""",
     "questions": """
-        SELECT conv_id, turn,
+        SELECT conv_id, turn, role,
                CASE WHEN (conv_id + turn) % 5 = 1 THEN 'Who wrote this? ' || text
-                    WHEN (conv_id + turn) % 5 = 2 THEN 'which community trended most negative this quarter?'
+                    WHEN (conv_id + turn) % 5 = 2 THEN 'how did the mood of the communities change in spring?'
                     WHEN (conv_id + turn) % 5 = 3 THEN '  ' ELSE text END AS question
-        FROM conversations WHERE role = 'user'""",
+        FROM conversations""",
 }
 
 

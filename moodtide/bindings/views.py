@@ -58,12 +58,12 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(_every("doc_id", 41), "[deleted]")
         .when(_every("doc_id", 43), "   ")
         .when(_every("doc_id", 47), F.lit(None).cast("string"))
-        .when(_every("doc_id", 7, 1), F.concat(body, F.lit(" mail me at jane.doe+"), doc_id, F.lit("@example.co.uk please")))
-        .when(_every("doc_id", 7, 2), F.concat(F.lit("see HTTPS://example.com/profile/"), doc_id, F.lit(" for more or www.example.com/x "), body))
-        .when(_every("doc_id", 7, 3), F.concat(F.lit("thanks u/some_user"), doc_id, F.lit(" for this.\t\n "), body))
-        .when(_every("doc_id", 7, 4), F.concat(body, F.lit(" thanks /u/Some-User!")))
-        .when(_every("doc_id", 7, 5), F.concat(body, F.lit(" ping @jane"), doc_id, F.lit(" about it")))
-        .when(_every("doc_id", 7, 6), F.concat(F.lit("call me on +1 (555) 123-4567, "), body))
+        .when(_every("doc_id", 7, 1), F.concat(body, F.lit(" write to kim.w+"), doc_id, F.lit("@post.example.org today")))
+        .when(_every("doc_id", 7, 2), F.concat(F.lit("look at HTTPS://pages.example.net/p/"), doc_id, F.lit(" and www.example.net/y too "), body))
+        .when(_every("doc_id", 7, 3), F.concat(F.lit("as u/kim_"), doc_id, F.lit(" put it.\t\n "), body))
+        .when(_every("doc_id", 7, 4), F.concat(body, F.lit(" credit to /u/Lee-Park.")))
+        .when(_every("doc_id", 7, 5), F.concat(body, F.lit(" cc @lee"), doc_id, F.lit(" as well")))
+        .when(_every("doc_id", 7, 6), F.concat(F.lit("my number is +44 (20) 7946-0018, "), body))
         .otherwise(body)
     )
     period = F.when(day < F.lit(dt.date(2020, 3, 11)), "pre").otherwise("post")
@@ -135,6 +135,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-post Gold rows: community = priority, author = customer."""
+    salt = sv.secret_column(spark, SALT)
     orders = table(spark, sf_dir, "orders")
     scored = ~_every("o_orderkey", 11)
     sentiment = (F.col("o_totalprice") - 250000) / 250009
@@ -144,7 +145,7 @@ def scored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("subreddit"),
         day.alias("created_date"),
         F.date_sub(day, F.weekday(day)).alias("week"),
-        hash_author(F.col("o_custkey").cast("string"), F.lit(SALT)).alias("author_hash"),
+        hash_author(F.col("o_custkey").cast("string"), salt).alias("author_hash"),
         (F.col("o_orderkey") % 900 + 40).alias("n_chars"),
         (F.col("o_orderkey") % 180 + 8).alias("n_words"),
         F.when(scored, sentiment).alias("sentiment_score"),
@@ -164,11 +165,20 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pages ------------------------------------------------------------------------
 
 
+def addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page for each document: the address of a row of ``pages`` in turn, made unique by the document's number."""
+    pages = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("base"))
+    n_pages = pages.agg(F.count(F.lit(1))).scalar()
+    docs = table(spark, sf_dir, "documents").withColumn("page_id", F.col("doc_id") % n_pages)
+    address = F.concat(F.coalesce("base", F.lit("https://docs.example.org/en/")), F.lit("#d"), "doc_id")
+    return docs.join(pages, "page_id", "left").select(F.col("doc_id").alias("position"), address.alias("url"), "text")
+
+
 def seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
-        F.col("page_id").alias("position"),
+    return addresses(spark, sf_dir).select(
+        "position",
         "url",
-        F.when(~_every("page_id", 17), F.concat(F.lit("topic"), F.col("page_id") % 6)).alias("topic"),
+        F.when(~_every("position", 17), F.concat(F.lit("topic"), F.col("position") % 6)).alias("topic"),
     )
 
 
@@ -183,20 +193,19 @@ def allowed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markdown per page: scaffolding around the document of the same number."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("page_id"), "text")
+    """Markdown per page: scaffolding around the whole text of its document."""
     intro = (
-        "# Guidance\n"
-        "![banner](https://img.example.net/x.png)\n"
-        "- [Home](https://a.example.net/) [Topics](https://a.example.net/t/)\n"
+        "# Notes\n"
+        "![logo](https://cdn.example.net/logo.png)\n"
+        "- [Start](https://b.example.net/) [All notes](https://b.example.net/all/)\n"
         "\n\n\n"
-        "See the [guidance page](https://a.example.net/g/) for details.\n\n"
+        "More in the [full notes](https://b.example.net/full/) on this.\n\n"
     )
     markdown = F.concat(F.lit(intro), F.replace("text", F.lit("\n"), F.lit("\n\n")))
-    return table(spark, sf_dir, "pages").select("page_id", "url").join(docs, "page_id").select(
-        "page_id",
+    return addresses(spark, sf_dir).select(
+        F.col("position").alias("page_id"),
         "url",
-        F.when(_every("page_id", 13, 6), "").otherwise(markdown).alias("markdown"),
+        F.when(_every("position", 13, 6), "").otherwise(markdown).alias("markdown"),
     )
 
 
@@ -223,6 +232,15 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a document, refused by nothing, the first of those with the same content."""
+    pages = page_markdown(spark, sf_dir).join(seeds(spark, sf_dir).drop("url"), F.col("page_id") == F.col("position"))
+    metadata = F.struct(F.lit(None).cast("variant").alias("title"), F.lit(None).cast("string").alias("sourceURL"), F.lit(None).cast("string").alias("url"))
+    rows = pages.select("position", "url", F.coalesce("topic", F.lit(corpus.DEFAULT_TOPIC)).alias("topic"), F.struct("markdown", metadata.alias("metadata")).alias("data"))
+    built = corpus.to_documents(rows, F.lit(RETRIEVED_AT))
+    return corpus.documents(built.withColumn("reason", F.lit(None).cast("string")))
+
+
 def crawled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.crawl(
         seeds(spark, sf_dir),
@@ -242,13 +260,12 @@ def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What users wrote in conversations, with asks about trends and people mixed in."""
+    """Every turn of a conversation as a question, with asks about trends and people mixed in."""
     conv = F.col("conv_id") + F.col("turn")
     text = (
         F.when(conv % 5 == 1, F.concat(F.lit("Who wrote this? "), F.col("text")))
-        .when(conv % 5 == 2, F.lit("which community trended most negative this quarter?"))
+        .when(conv % 5 == 2, F.lit("how did the mood of the communities change in spring?"))
         .when(conv % 5 == 3, F.lit("  "))
         .otherwise(F.col("text"))
     )
-    users = table(spark, sf_dir, "conversations").where("role = 'user'")
-    return users.select("conv_id", "turn", text.alias("question"))
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", text.alias("question"))

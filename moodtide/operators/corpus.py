@@ -28,8 +28,6 @@ DEFAULT_TOPIC = "general"
 CACHE_KEY_LENGTH = 20
 HASH_LENGTH = 16
 
-INLINE_HOSTS = 10_000  # hosts of an allowlist that fit into an expression
-
 # Why a page was left out.
 NON_HTTPS = "non-https url"
 HOST_NOT_ALLOWED = "host not on the allowlist"
@@ -42,19 +40,14 @@ THIN = "too little prose after cleaning"
 def check_urls(df: DataFrame, allowed: Iterable[str] | DataFrame = ALLOWED_HOSTS) -> DataFrame:
     """Add ``url_reason``: NULL for https URLs on an allowed host.
 
-    The allowlist may be a list of names or a frame with a ``host`` column. A
-    frame of up to ``INLINE_HOSTS`` names is put into the expression, so that no
-    page is shuffled; a longer one is joined.
+    A list of names is put into the expression. A frame with a ``host`` column is
+    joined; whether it is sent to the pages or both are shuffled is Spark's choice.
     """
     hosted = df.withColumn("_host", T.url_host("url"))
     if isinstance(allowed, DataFrame):
         names = allowed.select(F.col("host").alias("_host")).where("_host IS NOT NULL").distinct()
-        found = names.limit(INLINE_HOSTS + 1).collect()
-        if len(found) > INLINE_HOSTS:
-            hosted = hosted.join(names.withColumn("_known", F.lit(True)), "_host", "left")
-        else:
-            allowed = [r["_host"] for r in found]
-    if not isinstance(allowed, DataFrame):
+        hosted = hosted.join(names.withColumn("_known", F.lit(True)), "_host", "left")
+    else:
         hosted = hosted.withColumn("_known", F.col("_host").isin(list(allowed)))
     on_list = F.coalesce("_known", F.lit(False))
     reason = F.when(T.url_scheme("url") != "https", NON_HTTPS).when(~on_list, HOST_NOT_ALLOWED)
@@ -156,51 +149,69 @@ def documents(crawled: DataFrame) -> DataFrame:
     return first_per_key(good, "content_hash", "position", "seed_url").select(*conform(DOCUMENTS))
 
 
+def chunk_spans(counts: Column, chunk_words: int, overlap_words: int) -> Column:
+    """Chunks as array<struct<first, last, words, carried>> from the word counts of paragraphs.
+
+    first and last are paragraph numbers, words the words before paragraph
+    ``first``, carried how many of them the chunk begins with. The fold carries
+    numbers only, whatever the length of the texts.
+    """
+    span = "array<struct<first:int,last:int,words:int,carried:int>>"
+    start = F.struct(
+        F.array().cast(span).alias("done"), F.lit(0).alias("i"), F.lit(0).alias("first"), F.lit(0).alias("seen"),
+        F.lit(0).alias("words"), F.lit(0).alias("carried"), F.lit(0).alias("n"),
+    )
+
+    def closed(acc: Column) -> Column:
+        one = F.struct(acc["first"].alias("first"), (acc["i"] - 1).alias("last"), acc["words"].alias("words"), acc["carried"].alias("carried"))
+        return F.concat(acc["done"], F.array(one))
+
+    def step(acc: Column, count: Column) -> Column:
+        full = (acc["i"] > 0) & (acc["n"] + count > chunk_words)
+        carried = F.least(acc["n"], F.lit(overlap_words))
+        pick = lambda new, old: F.when(full, new).otherwise(old)
+        return F.struct(
+            pick(closed(acc), acc["done"]).alias("done"),
+            (acc["i"] + 1).alias("i"),
+            pick(acc["i"], acc["first"]).alias("first"),
+            (acc["seen"] + count).alias("seen"),
+            pick(acc["seen"], acc["words"]).alias("words"),
+            pick(carried, acc["carried"]).alias("carried"),
+            (pick(carried, acc["n"]) + count).alias("n"),
+        )
+
+    return F.aggregate(counts, start, step, lambda acc: F.when(acc["i"] > 0, closed(acc)).otherwise(acc["done"]))
+
+
 def chunk_texts(
     text: Column, chunk_words: int = CHUNK_WORDS, overlap_words: int = OVERLAP_WORDS
 ) -> Column:
-    """Greedy paragraph packing as a fold over one document's paragraphs.
+    """Greedy packing of one document's paragraphs into chunks.
 
-    The buffer is emitted when the next paragraph would overfill it; its last
-    words start the next buffer, and that paragraph is added unchecked, so a
-    paragraph is never split.
+    A chunk is closed when the next paragraph would overfill it; its last words
+    start the next chunk, and that paragraph is added unchecked, so a paragraph is
+    never split. A chunk is thus a range of paragraphs after some words that stand
+    before it, and its text is cut out once, when all ranges are known.
     """
     if overlap_words >= chunk_words:
         raise ValueError("overlap_words must be smaller than chunk_words")
-    paragraphs = F.transform(F.split(text, "\n\n"), T.strip)
-    items = F.transform(
-        F.filter(paragraphs, lambda p: p != ""),
-        lambda p: F.struct(p.alias("p"), T.word_count(p).alias("n")),
-    )
-    none = F.array().cast("array<string>")
-    start = F.struct(none.alias("done"), none.alias("buf"), F.lit(0).alias("n"))
-
-    def emitted(acc: Column) -> Column:
-        return F.concat(acc["done"], F.array(F.array_join(acc["buf"], "\n\n")))
-
-    def step(acc: Column, item: Column) -> Column:
-        full = (F.size(acc["buf"]) > 0) & (acc["n"] + item["n"] > chunk_words)
-        if overlap_words:
-            spoken = F.split(F.array_join(acc["buf"], " "), rf"[{T.SPACE}]+")
-            first = F.greatest(F.size(spoken) - (overlap_words - 1), F.lit(1))
-            tail = F.array_join(F.slice(spoken, first, F.lit(overlap_words)), " ")
-            buffer, carried = F.array(tail, item["p"]), F.least(acc["n"], F.lit(overlap_words))
-        else:
-            buffer, carried = F.array(item["p"]), F.lit(0)
-        flushed = F.struct(
-            emitted(acc).alias("done"), buffer.alias("buf"), (carried + item["n"]).alias("n")
-        )
-        grown = F.struct(
-            acc["done"].alias("done"),
-            F.concat(acc["buf"], F.array(item["p"])).alias("buf"),
-            (acc["n"] + item["n"]).alias("n"),
-        )
-        return F.when(full, flushed).otherwise(grown)
+    paragraphs = F.filter(F.transform(F.split(text, "\n\n"), T.strip), lambda p: p != "")
+    counted = F.transform(paragraphs, lambda p: F.struct(p.alias("p"), T.word_count(p).alias("n")))
+    words = F.filter(F.split(text, rf"[{T.SPACE}]+"), lambda w: w != "")
 
-    def finish(acc: Column) -> Column:
-        return F.when(F.size(acc["buf"]) > 0, emitted(acc)).otherwise(acc["done"])
+    def cut(whole: Column, span: Column) -> Column:
+        tail = F.slice(whole["words"], span["words"] - span["carried"] + 1, span["carried"])
+        body = F.transform(F.slice(whole["items"], span["first"] + 1, span["last"] - span["first"] + 1), lambda x: x["p"])
+        parts = F.when(span["carried"] > 0, F.concat(F.array(F.array_join(tail, " ")), body)).otherwise(body)
+        return F.array_join(parts, "\n\n")
 
-    return F.aggregate(items, start, step, finish)
+    def packed(whole: Column) -> Column:
+        counts = F.transform(whole["items"], lambda x: x["n"].cast("int"))
+        return F.transform(chunk_spans(counts, chunk_words, overlap_words), lambda span: cut(whole, span))
+
+    # Bound as a lambda's variable, paragraphs and words are made once for all chunks.
+    whole = F.array(F.struct(counted.alias("items"), words.alias("words")))
+    return F.transform(whole, packed)[0]
 
 
 def chunk_documents(
@@ -216,19 +227,16 @@ def chunk_documents(
 
 
 def corpus_report(crawled: DataFrame, docs: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Build totals in one row; the name lists are bounded by the configuration."""
+    """Build totals in one row."""
     seeds = crawled.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.count("reason").alias("failed"))
     ).scalar()
     pieces = chunks.agg(F.count(F.lit(1))).scalar()
-    names = [
-        F.array_join(F.array_sort(F.collect_set(c)), ", ").alias(f"{c}s")
-        for c in ("source", "topic")
-    ]
     totals = docs.agg(
         F.count(F.lit(1)).alias("documents"),
         F.coalesce(F.sum(T.word_count("text")), F.lit(0)).alias("words"),
-        *names,
+        F.count_distinct("source").alias("sources"),
+        F.count_distinct("topic").alias("topics"),
     )
     return totals.withColumn("_s", seeds).select(
         F.col("_s.n").alias("seeds"),
@@ -239,3 +247,9 @@ def corpus_report(crawled: DataFrame, docs: DataFrame, chunks: DataFrame) -> Dat
         "topics",
         F.col("_s.failed").alias("failures"),
     )
+
+
+def corpus_names(docs: DataFrame) -> DataFrame:
+    """(kind, name, documents): every source and topic; as many rows as there are names."""
+    named = docs.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.col(k).alias("name")) for k in ("source", "topic")))).alias("x"))
+    return named.groupBy("x.kind", "x.name").agg(F.count(F.lit(1)).alias("documents"))

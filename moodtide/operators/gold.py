@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from moodtide.functions.dates import week_start
+from moodtide.functions.numbers import round_even
 from moodtide.functions.text import word_count
 from moodtide.schemas import GOLD_POSTS, GOLD_WEEKLY, conform
 
@@ -44,7 +45,7 @@ def weekly_rollup(posts: DataFrame) -> DataFrame:
     rolled = known.groupBy("subreddit", "week").agg(
         F.count("post_id").alias("n_posts"),
         F.count_distinct("author_hash").alias("n_active_authors"),
-        F.round(F.avg("n_words"), 2).alias("avg_word_count"),
+        round_even(F.avg("n_words"), 2).alias("avg_word_count"),
         F.avg("sentiment_score").alias("sentiment"),
         F.sum(F.col("crisis_flag").cast("bigint")).alias("crisis_count"),
     )

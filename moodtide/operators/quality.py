@@ -15,11 +15,11 @@ def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return counted.unpivot([], columns, "column", "failures")
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+def duplicate_keys(df: DataFrame, *key: str) -> DataFrame:
     """Keys that occur more than once, with their number."""
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key)
+        df.dropna(subset=list(key))
+        .groupBy(*key)
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
     )

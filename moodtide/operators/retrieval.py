@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 HITS = "query_id bigint, doc_id bigint, score double"
 SIMILARITIES = ("cosine", "dot", "euclidean")
 
-# Query vectors sent along with every task; a larger set is split into blocks.
-BROADCAST_BYTES = 32 << 20
-SLICE_BYTES = 32 << 20
+QUERIES_AT_ONCE = 4096  # query vectors that travel with the tasks; more queries take more passes
 SCORE_CELLS = 4 << 20  # scores held at once by a task
 
 
@@ -45,52 +43,36 @@ def _first(scores: np.ndarray, k: int) -> np.ndarray:
     return order
 
 
-def _best(query_ids, query_vectors, doc_ids, doc_vectors, k: int, kind: str) -> pd.DataFrame:
-    """Top-k documents of one block per query, by score then id."""
+def _best(query_vectors, doc_ids, doc_vectors, k: int, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, ids) of the top-k documents of one batch for each query, by score then id."""
     by_id = np.argsort(doc_ids, kind="stable")
     doc_ids, doc_vectors = doc_ids[by_id], doc_vectors[by_id]
     step = max(1, SCORE_CELLS // max(len(doc_ids), 1))
-    parts = []
-    for start in range(0, len(query_ids), step):
-        ids = query_ids[start : start + step]
-        scores = _similarity(query_vectors[start : start + step], doc_vectors, kind)
-        order = _first(scores, k)
-        parts.append(
-            pd.DataFrame(
-                {
-                    "query_id": np.repeat(ids, order.shape[1]),
-                    "doc_id": doc_ids[order].ravel(),
-                    "score": np.take_along_axis(scores, order, axis=1).ravel(),
-                }
-            )
-        )
-    return pd.concat(parts)
+    scores, ids = [], []
+    for start in range(0, len(query_vectors), step):
+        found = _similarity(query_vectors[start : start + step], doc_vectors, kind)
+        order = _first(found, k)
+        scores.append(np.take_along_axis(found, order, axis=1))
+        ids.append(doc_ids[order])
+    return np.concatenate(scores), np.concatenate(ids)
 
 
-def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype("float64")
+def _merged(scores: np.ndarray, ids: np.ndarray, more_scores: np.ndarray, more_ids: np.ndarray):
+    """The best of both for each query, in the order of ``_best``; as many as ``scores`` has."""
+    k = scores.shape[1]
+    scores, ids = np.concatenate([scores, more_scores], 1), np.concatenate([ids, more_ids], 1)
+    order = np.lexsort((ids, -scores), axis=-1)[:, :k]
+    return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def _topic_match(best, query_topics, doc_topics):
-    """``best`` per topic, so that only documents of the query's topic compete."""
-    for topic in pd.unique(query_topics):
-        q, d = query_topics == topic, doc_topics == topic
-        if d.any():
-            yield best(q, d)
-
-
-def _block_hits(qids, qvecs, qtopics, dids, dvecs, dtopics, k, kind) -> Iterator[pd.DataFrame]:
-    def best(q, d):
-        return _best(qids[q], qvecs[q], dids[d], dvecs[d], k, kind)
-
-    if qtopics is None:
-        yield best(slice(None), slice(None))
-    else:
-        yield from _topic_match(best, qtopics, dtopics)
+def _matrix(column: pa.Array) -> np.ndarray:
+    """The vectors of a batch lie one after the other in a single buffer."""
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype("float64").reshape(len(column), -1)
 
 
 def _keep_best(hits: DataFrame, k: int) -> DataFrame:
-    """Merge partial top-k lists; already limited to k per block and query."""
+    """Merge partial top-k lists; already limited to k per task and query."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
@@ -101,95 +83,59 @@ def top_k(
     k: int = 5,
     kind: str = "cosine",
     by_topic: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    at_once: int = QUERIES_AT_ONCE,
 ) -> DataFrame:
     """The k most similar documents of every query, exactly.
 
     ``queries`` holds (query_id, embedding), ``docs`` holds (doc_id, embedding),
-    both also ``topic`` when only documents of the query's topic may match. Each
-    task compares its documents with the queries by matrix product and emits k
-    rows per query. The queries travel with the tasks while their measured size
-    fits ``broadcast_bytes``; beyond that blocks of queries meet slices of
-    documents in groups of bounded size.
+    both also ``topic`` when only documents of the query's topic may match.
+    Documents stay where they are, none is copied or shuffled: queries travel to
+    them in blocks of ``at_once``, one pass over the documents for each block. A
+    task keeps the k best of each query and compares by matrix product.
     """
     if kind not in SIMILARITIES:
         raise ValueError(f"unknown similarity {kind!r}; known: {SIMILARITIES}")
     extra = ["topic"] if by_topic else []
     queries = queries.select("query_id", "embedding", *extra)
     docs = docs.select("doc_id", "embedding", *extra)
-    size = queries.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(0)).alias("dim")
-    ).first()
-    if 8 * size["n"] * size["dim"] <= broadcast_bytes:
-        return _broadcast_top_k(queries, docs, k, kind, by_topic)
-    return _blocked_top_k(queries, docs, k, kind, by_topic, size, broadcast_bytes)
-
-
-def _broadcast_top_k(queries, docs, k, kind, by_topic) -> DataFrame:
-    rows = queries.toPandas()  # size checked by the caller
-    if rows.empty:
-        return queries.sparkSession.createDataFrame([], HITS + ", rank int")
-    qids, qvecs = rows["query_id"].to_numpy(), _matrix(rows["embedding"])
-    qtopics = rows["topic"].to_numpy() if by_topic else None
-    shared = queries.sparkSession.sparkContext.broadcast((qids, qvecs, qtopics))
+    blocks = max(1, -(-queries.count() // at_once))
+    hits = []
+    for block in range(blocks):
+        rows = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == block).toArrow()
+        if rows.num_rows or blocks == 1:
+            hits.append(_scan(docs, rows.combine_chunks(), k, kind, by_topic))
+    return _keep_best(reduce(DataFrame.union, hits), k)
+
+
+def _scan(docs: DataFrame, rows: pa.Table, k: int, kind: str, by_topic: bool) -> DataFrame:
+    """Top-k lists of one block of queries, one for each task with documents."""
+    n = rows.num_rows
+    columns = [rows.column(c).combine_chunks() if n else None for c in rows.column_names]
+    ids = columns[0].to_numpy() if n else np.zeros(0, np.int64)
+    vectors = _matrix(columns[1]) if n else np.zeros((0, 0))
+    topics = columns[2].to_numpy(zero_copy_only=False) if n and by_topic else None
+    shared = docs.sparkSession.sparkContext.broadcast((ids, vectors, topics))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, vectors, topics = shared.value
-        best = None
+        scores, best = np.full((len(ids), k), -np.inf), np.full((len(ids), k), -1, np.int64)
         for batch in batches:
-            if not batch.num_rows:
+            if not batch.num_rows or not len(ids):
                 continue
-            dids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            # The vectors of a batch lie one after the other in a single buffer.
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            dvecs = flat.astype("float64").reshape(len(dids), -1)
-            dtopics = batch.column("topic").to_numpy(zero_copy_only=False) if by_topic else None
-            found = list(_block_hits(ids, vectors, topics, dids, dvecs, dtopics, k, kind))
-            best = pd.concat(found if best is None else [best, *found])
-            best = best.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-            best = best.groupby("query_id", sort=False).head(k)
-        if best is not None:
-            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
-
-    return _keep_best(docs.mapInArrow(scan, HITS), k)
-
-
-def _blocked_top_k(queries, docs, k, kind, by_topic, size, block_bytes) -> DataFrame:
-    n_blocks = -(-8 * size["n"] * size["dim"] // block_bytes)
-    n_slices = max(1, -(-8 * docs.count() * size["dim"] // SLICE_BYTES))
-
-    def place(column: str, n: int):
-        return F.pmod(F.xxhash64(column), F.lit(n))
-
-    def copies(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-
-    blocked = queries.withColumn("block", place("query_id", n_blocks)).withColumn(
-        "slice", copies(n_slices)
-    )
-    sliced = docs.withColumn("slice", place("doc_id", n_slices)).withColumn(
-        "block", copies(n_blocks)
-    )
-
-    def meet(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or d.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
-        topics = (q["topic"].to_numpy(), d["topic"].to_numpy()) if by_topic else (None, None)
-        found = _block_hits(
-            q["query_id"].to_numpy(),
-            _matrix(q["embedding"]),
-            topics[0],
-            d["doc_id"].to_numpy(),
-            _matrix(d["embedding"]),
-            topics[1],
-            k,
-            kind,
-        )
-        return pd.concat([pd.DataFrame({"query_id": [], "doc_id": [], "score": []}), *found])
-
-    keys = ["block", "slice"]
-    hits = blocked.groupBy(*keys).cogroup(sliced.groupBy(*keys)).applyInPandas(meet, HITS)
-    return _keep_best(hits, k)
+            doc_ids, doc_vectors = batch.column("doc_id").to_numpy(), _matrix(batch.column("embedding"))
+            if topics is None:
+                pairs = [(slice(None), slice(None))]
+            else:
+                own = batch.column("topic").to_numpy(zero_copy_only=False)
+                pairs = [(topics == t, own == t) for t in np.unique(topics) if (own == t).any()]
+            for q, d in pairs:
+                found = _best(vectors[q], doc_ids[d], doc_vectors[d], k, kind)
+                scores[q], best[q] = _merged(scores[q], best[q], *found)
+        real = scores > -np.inf
+        columns = [np.repeat(ids, k)[real.ravel()], best[real], scores[real]]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "doc_id", "score"])
+
+    return docs.mapInArrow(scan, HITS)
 
 
 def passages(hits: DataFrame, chunks: DataFrame) -> DataFrame:

@@ -5,10 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Iterable, Mapping
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from moodtide.functions import text as T
@@ -80,14 +77,16 @@ def join_sentiment(features: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def build_features(
-    silver: DataFrame, posts: DataFrame, severe: Iterable[str] = T.SEVERE_TERMS
+    silver: DataFrame, scores: DataFrame, severe: Iterable[str] = T.SEVERE_TERMS
 ) -> DataFrame:
     """Feature row per post; the acute phrases are left out on purpose.
 
-    Texts are reduced to numbers before the join, so only those are shuffled.
+    ``scores`` holds post_id and sentiment_score: the score table itself or the
+    per-post table. Texts are reduced to numbers before the join, so only those
+    are shuffled.
     """
-    require_sentiment(posts)
-    return join_sentiment(token_densities(silver, severe), posts).select("post_id", *FEATURES)
+    require_sentiment(scores)
+    return join_sentiment(token_densities(silver, severe), scores).select("post_id", *FEATURES)
 
 
 def training_rows(
@@ -106,17 +105,25 @@ def training_rows(
 # --- split and scaling ------------------------------------------------------------
 
 
-def stratified_split(df: DataFrame, label: str = "label", seed: int = 7) -> DataFrame:
-    """Add ``is_train``: 80 % of every label, exactly, chosen by a hash of the id.
+def _hashed(df: DataFrame, seed: int) -> DataFrame:
+    """Adds ``_h``, by which rows are put in order: md5 of id and seed, then the id."""
+    salted = F.concat_ws(":", F.col("post_id").cast("string"), F.lit(str(seed)))
+    return df.withColumn("_h", F.struct(F.md5(salted).alias("h"), F.col("post_id").alias("id")))
+
 
-    Ranking a whole label in one task would not scale. The last training row of
-    each label is found on a histogram of hash prefixes (65,536 per label); only
-    the prefix it falls into is ranked row by row. The rows themselves are then
-    compared with it in one pass that shuffles nothing.
+def _by_label(rows: DataFrame, label: str, value: str) -> Column:
+    """A look-up with one entry per label, instead of a join on so few keys."""
+    return rows.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
+
+
+def last_training_rows(df: DataFrame, label: str = "label", seed: int = 7) -> DataFrame:
+    """(label, _h) of the last training row of each label.
+
+    Ranking a whole label in one task would not scale. The row is found on a
+    histogram of hash prefixes (65,536 per label); only the prefix it falls into is
+    ranked row by row.
     """
-    salted = F.concat_ws(":", F.col("post_id").cast("string"), F.lit(str(seed)))
-    hashed = df.withColumn("_h", F.struct(F.md5(salted).alias("h"), F.col("post_id").alias("id")))
-    prefixed = hashed.select(label, "_h", F.substring("_h.h", 1, 4).alias("_p"))
+    prefixed = _hashed(df, seed).select(label, "_h", F.substring("_h.h", 1, 4).alias("_p"))
     histogram = prefixed.groupBy(label, "_p").agg(F.count(F.lit(1)).alias("_c"))
 
     # Per-label quotas by largest remainder, so that they add up to 80 % of all.
@@ -143,22 +150,27 @@ def stratified_split(df: DataFrame, label: str = "label", seed: int = 7) -> Data
         .select(label, "_p", (F.col("_quota") - F.col("_upto") + F.col("_c")).alias("_nth"))
     )
     nth = F.row_number().over(Window.partitionBy(label).orderBy("_h"))
-
-    def by_label(rows: DataFrame, value: str) -> Column:
-        """A look-up with one entry per label, instead of a join on so few keys."""
-        return rows.agg(F.map_from_entries(F.collect_list(F.struct(label, value)))).scalar()
-
     edge = last_prefix.withColumn("_e", F.struct("_p", "_nth"))
-    last_rows = (
-        prefixed.withColumn("_e", F.try_element_at(by_label(edge, "_e"), F.col(label)))
+    return (
+        prefixed.withColumn("_e", F.try_element_at(_by_label(edge, label, "_e"), F.col(label)))
         .where(F.col("_p") == F.col("_e._p"))
         .withColumn("_n", nth)
         .where(F.col("_n") == F.col("_e._nth"))
+        .select(label, "_h")
     )
-    cuts = by_label(last_rows, "_h")
+
+
+def stratified_split(df: DataFrame, label: str = "label", seed: int = 7, cuts: Column | None = None) -> DataFrame:
+    """Add ``is_train``: 80 % of every label, exactly, chosen by a hash of the id.
+
+    Rows are compared with the last training row of their label in one pass that
+    shuffles nothing; ``cuts`` names those rows where they are known already.
+    """
+    cuts = _by_label(last_training_rows(df, label, seed), label, "_h") if cuts is None else cuts
     is_train = F.col("_h") <= F.try_element_at(F.col("_cuts"), F.col(label))
     return (
-        hashed.withColumn("_cuts", cuts)
+        _hashed(df, seed)
+        .withColumn("_cuts", cuts)
         .withColumn("is_train", F.coalesce(is_train, F.lit(False)))
         .select(*df.columns, "is_train")
     )
@@ -193,27 +205,35 @@ def standardize(
 
 @dataclass(frozen=True)
 class Classifier:
-    """A fitted model with the moments its inputs were scaled by."""
+    """Weights of the scaled features, with the moments their inputs are scaled by."""
 
-    model: LogisticRegressionModel
+    coefficients: tuple[float, ...]
+    intercept: float
     moments: DataFrame
 
+    def margin(self) -> Column:
+        """Of scaled features."""
+        return _margin((*self.coefficients, self.intercept))
+
     def predict(self, features: DataFrame) -> DataFrame:
         """Adds ``p``, the unrounded probability of the signal."""
-        scaled = _assemble(standardize(features, FEATURES, self.moments))
-        return self.model.transform(scaled).withColumn(
-            "p", vector_to_array("probability")[1]
-        ).drop("_x", "rawPrediction", "probability", "prediction")
+        scaled = standardize(features, FEATURES, self.moments).withColumn("p", _sigmoid(self.margin()))
+        return scaled
 
     def importances(self) -> DataFrame:
         """Coefficients of the scaled features, by size."""
         spark = self.moments.sparkSession
-        rows = [(f, round(float(c), 4)) for f, c in zip(FEATURES, self.model.coefficients)]
+        rows = [(f, round(c, 4)) for f, c in zip(FEATURES, self.coefficients)]
         return rank_coefficients(spark.createDataFrame(rows, "feature string, coefficient double"))
 
 
-def _assemble(df: DataFrame) -> DataFrame:
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="_x").transform(df)
+def _margin(weights: Iterable[float]) -> Column:
+    *slopes, intercept = weights
+    return sum((F.lit(float(w)) * F.col(f) for f, w in zip(FEATURES, slopes)), F.lit(float(intercept)))
+
+
+def _sigmoid(margin: Column) -> Column:
+    return 1 / (1 + F.exp(-margin))
 
 
 def rank_coefficients(coefficients: DataFrame) -> DataFrame:
@@ -221,11 +241,42 @@ def rank_coefficients(coefficients: DataFrame) -> DataFrame:
     return coefficients.orderBy(F.desc(F.abs("coefficient")), "feature")
 
 
+NEWTON_STEPS = 50
+NEWTON_STEP_SIZE = 1e-11  # of the last step, at which the weights stand still
+
+
+def penalised_gradient(rows: DataFrame, weights: Iterable[float], c: float = 1.0) -> DataFrame:
+    """loss, gradient g0..g5 and Hessian h00..h55 of the objective at ``weights``, as one row.
+
+    ``rows`` holds scaled features, ``_y`` and ``_w``. The objective is
+    ``sum(w * loss) + |slopes|^2 / (2c)``; the sums are Spark's, over any number of
+    rows in one pass.
+    """
+    weights = [float(w) for w in weights]
+    k = len(weights)
+    inputs = [F.col(f) for f in FEATURES] + [F.lit(1.0)]
+    m = F.col("_m")
+    prepared = rows.withColumn("_m", _margin(weights)).withColumn("_p", _sigmoid(m))
+    prepared = prepared.withColumns({"_r": F.col("_w") * (F.col("_p") - F.col("_y")), "_c": F.col("_w") * F.col("_p") * (1 - F.col("_p"))})
+    loss = F.sum(F.col("_w") * (F.log1p(F.exp(-F.abs(m))) + F.greatest(m, F.lit(0.0)) - F.col("_y") * m))
+    ridge = [1 / c] * (k - 1) + [0.0]
+    gradient = [(F.sum(F.col("_r") * inputs[i]) + ridge[i] * weights[i]).alias(f"g{i}") for i in range(k)]
+    hessian = [
+        (F.sum(F.col("_c") * inputs[i] * inputs[j]) + (ridge[i] if i == j else 0.0)).alias(f"h{i}{j}")
+        for i in range(k)
+        for j in range(i + 1)
+    ]
+    size = sum(w * w for w in weights[:-1]) / (2 * c)
+    return prepared.agg((loss + F.lit(size)).alias("loss"), *gradient, *hessian)
+
+
 def train_classifier(train: DataFrame, label: str = "label", c: float = 1.0) -> Classifier:
-    """L2 logistic regression with classes weighted to equal mass.
+    """L2 logistic regression with classes weighted to equal mass, by Newton's method.
 
-    The penalty 1/(c * n) and population scaling give the usual
-    ``sum(loss) + |w|^2 / (2c)`` objective, fitted by distributed L-BFGS.
+    Each step is one pass of sums over the rows and a solve of six unknowns on the
+    driver; a step that does not lower the objective is halved. The minimum is
+    unique and reached to the last digits, so the fit does not depend on the
+    solver's settings.
     """
     moments = feature_moments(train)
     frozen = train.sparkSession.createDataFrame(moments.collect(), moments.schema)  # one row
@@ -234,27 +285,40 @@ def train_classifier(train: DataFrame, label: str = "label", c: float = 1.0) ->
     if len(sizes) != 2:
         raise ValueError("training needs posts of both classes")
     weight = F.when(F.col(label) == 1, n / (2 * sizes[1])).otherwise(n / (2 * sizes[0]))
-    scaled = standardize(train, FEATURES, frozen).withColumn("_w", weight)
-    prepared = _assemble(scaled).withColumn("_y", F.col(label).cast("double")).select("_x", "_y", "_w")
-    estimator = LogisticRegression(
-        featuresCol="_x",
-        labelCol="_y",
-        weightCol="_w",
-        regParam=1 / (c * n),
-        elasticNetParam=0.0,
-        standardization=False,
-        maxIter=1000,
-        tol=1e-6,
-    )
-    return Classifier(estimator.fit(prepared), frozen)
-
-
-def holdout_auc(predicted: DataFrame, label: str = "label") -> float:
-    """Exact area under the curve on unrounded scores (no down-sampling)."""
-    ready = predicted.select(
-        F.col("p").alias("rawPrediction"), F.col(label).cast("double").alias("label")
+    rows = standardize(train, FEATURES, frozen).select(*FEATURES, F.col(label).cast("double").alias("_y"), weight.alias("_w"))
+    k = len(FEATURES) + 1
+    weights, step = np.zeros(k), np.zeros(k)
+    reached = np.inf
+    for _ in range(NEWTON_STEPS):
+        at = penalised_gradient(rows, weights + step, c).first()
+        if at["loss"] > reached + 1e-9 * abs(reached):
+            step = step / 2
+            continue
+        weights, reached = weights + step, at["loss"]
+        hessian = np.array([[at[f"h{max(i, j)}{min(i, j)}"] for j in range(k)] for i in range(k)])
+        step = -np.linalg.solve(hessian, [at[f"g{i}"] for i in range(k)])
+        if np.abs(step).max() < NEWTON_STEP_SIZE:
+            break
+    final = [float(x) for x in weights + step]
+    return Classifier(tuple(final[:-1]), final[-1], frozen)
+
+
+def exact_auc(predicted: DataFrame, score: str = "p", label: str = "label") -> DataFrame:
+    """Area under the curve on unrounded scores, ties counted half, as one row ``auc``.
+
+    Negatives below a score are those of lower published scores (a histogram of at
+    most 10,001 rows) and those below it among distinct scores that round alike, so
+    no sort runs over all rows.
+    """
+    counted = predicted.groupBy(round_even(score, SCORE_DECIMALS).alias("_b"), F.col(score).alias("_s")).agg(
+        F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
-    return BinaryClassificationEvaluator(numBins=0).evaluate(ready)
+    before = lambda w: F.coalesce(F.sum("_neg").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    buckets = counted.groupBy("_b").agg(F.sum("_neg").alias("_neg"))
+    offsets = buckets.select("_b", before(Window.orderBy("_b")).alias("_lower"))
+    placed = counted.withColumn("_inside", before(Window.partitionBy("_b").orderBy("_s"))).join(offsets, "_b")
+    wins = F.sum(F.col("_pos") * (F.col("_lower") + F.col("_inside") + F.col("_neg") / 2))
+    return placed.agg(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))
 
 
 def flag_scores(
@@ -289,17 +353,19 @@ def fit_and_score(
     """(scores of all posts, one-row holdout report, importances).
 
     ``rows`` holds post_id, the features and ``label``. They are written to the
-    shared folder, with and without the split: the fit passes over them many
-    times, and those passes should read a few numbers per post, not derive them
-    from text or look for the cut again.
+    shared folder once: the fit passes over them many times, and those passes
+    should read a few numbers per post, not derive them from text. The rows at
+    which the split is cut, one for each label, are looked up once too. Scores and
+    report are lazy.
     """
     narrow = materialize(rows.select("post_id", *FEATURES, "label"), "training")
-    split = materialize(stratified_split(narrow, "label", seed), "split")
+    last = last_training_rows(narrow, "label", seed).collect()
+    point = lambda r: F.struct(F.lit(r["_h"]["h"]).alias("h"), F.lit(r["_h"]["id"]).alias("id"))
+    cuts = F.create_map(*(x for r in last for x in (F.lit(r["label"]), point(r))))
+    split = stratified_split(narrow, "label", seed, cuts)
     fitted = train_classifier(split.where("is_train"))
     holdout = fitted.predict(split.where("NOT is_train"))
-    report = classifier_metrics(holdout, "p", "label", threshold).withColumn(
-        "auc", F.lit(holdout_auc(holdout))
-    )
+    report = classifier_metrics(holdout, "p", "label", threshold).withColumn("auc", exact_auc(holdout).scalar())
     return flag_scores(fitted.predict(narrow), threshold), report, fitted.importances()
 
 

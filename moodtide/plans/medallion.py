@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from moodtide.operators import gold, silver as sv
-from moodtide.schemas import GOLD_POSTS, GOLD_WEEKLY, SILVER
+from moodtide.schemas import GOLD_POSTS, GOLD_WEEKLY, SILVER, conform
 from moodtide.sources import layers
 
 
@@ -24,17 +25,30 @@ def weekly_path(root: str) -> str:
 def run(bronze: DataFrame, root: str, salt: str) -> DataFrame:
     """Publish Silver, per-post Gold and weekly Gold; returns the run report.
 
+    A post in which a pattern is still found after the scrub (one may arise where
+    another was cut out) goes to quarantine: without its text, so that nothing raw
+    is written, and counted in the report. One odd post thus stops no run.
+
     Silver is staged and verified there: the checks read the written rows once
-    instead of recomputing the scrub, and a leak stops the run before anything
-    is published.
+    instead of recomputing the scrub. If they fail, the staged rows are removed
+    before the error goes on, and nothing is published.
     """
-    spark = bronze.sparkSession
-    version, staged = layers.stage(sv.bronze_to_silver(bronze, salt), silver_path(root))
-    sv.assert_anonymized(staged, sv.distinct_authors(bronze))
-    layers.point_to(spark, silver_path(root), version)
+    spark, path = bronze.sparkSession, silver_path(root)
+    version = layers.next_version(spark, path)
+    marked = sv.quarantined(sv.bronze_to_silver(bronze, salt))
+    try:
+        marked.write.partitionBy("quarantine").parquet(f"{path}/{version}")
+        both = spark.read.schema(marked.schema).parquet(f"{path}/{version}")
+        staged = both.where("NOT quarantine").select(*conform(SILVER))
+        sv.assert_anonymized(staged, sv.distinct_authors(bronze))
+    except BaseException:
+        layers.discard(spark, path, version)
+        raise
+    layers.point_to(spark, path, version)
     layers.publish(gold.gold_posts(staged), posts_path(root))
     publish_weekly(spark, root)
-    return sv.run_report(bronze, staged)
+    odd = both.where("quarantine").agg(F.count(F.lit(1))).scalar()
+    return sv.run_report(bronze, staged).withColumn("quarantined", odd)
 
 
 def publish_weekly(spark: SparkSession, root: str) -> None:
@@ -51,8 +65,18 @@ def refresh_scores(
     publish_weekly(spark, root)
 
 
+def _silver_and_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    with_mark = StructType([*SILVER.fields, StructField("quarantine", BooleanType())])
+    return layers.read_layer(spark, silver_path(root), with_mark)
+
+
 def read_silver(spark: SparkSession, root: str) -> DataFrame:
-    return layers.read_layer(spark, silver_path(root), SILVER)
+    return _silver_and_quarantine(spark, root).where("NOT quarantine").select(*conform(SILVER))
+
+
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Posts kept out of Silver, without their texts."""
+    return _silver_and_quarantine(spark, root).where("quarantine").drop("quarantine", "text")
 
 
 def read_posts(spark: SparkSession, root: str) -> DataFrame:

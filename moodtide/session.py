@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -37,7 +39,8 @@ def build_session(app: str = "moodtide", master: str | None = None, **conf: str)
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` where it is set.
 
-    Only a local session may fall back to a temporary folder of its own.
+    Only a local session may fall back to a temporary folder of its own, which is
+    removed when the process ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(LOCAL_ROOT, None)
     if root:
@@ -45,6 +48,7 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     root = tempfile.mkdtemp(prefix="moodtide-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     spark.conf.set(LOCAL_ROOT, root)
     return root
 

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
-from typing import Iterator, Sequence
-from urllib.parse import quote
+from typing import Sequence
+from urllib.parse import unquote
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from moodtide.functions.text import derive_post_id
 from moodtide.schemas import BRONZE, conform
 
 RAW_COLUMNS = ("subreddit", "author", "date", "post")
-FILE_SUFFIX = "_posts.csv"
-_READ_BYTES = 1 << 20
+FILE_SUFFIX = "_posts.csv"  # of the corpus files, where a caller names no other
 
 
 def file_path() -> Column:
@@ -80,11 +77,11 @@ def land_csv(spark: SparkSession, *paths: str, ingested_at: Column | None = None
 
 
 def wanted_pairs(
-    spark: SparkSession, subreddits: Sequence[str], periods: Sequence[str]
+    spark: SparkSession, subreddits: Sequence[str], periods: Sequence[str], suffix: str = FILE_SUFFIX
 ) -> DataFrame:
-    """Requested files in request order, from two short configuration lists."""
+    """Requested files ``<community>_<period><suffix>`` in request order, from two configuration lists."""
     rows = [
-        (i * len(periods) + j, s.lower(), p.lower(), f"{s}_{p}{FILE_SUFFIX}")
+        (i * len(periods) + j, s.lower(), p.lower(), f"{s}_{p}{suffix}")
         for i, s in enumerate(subreddits)
         for j, p in enumerate(periods)
     ]
@@ -101,7 +98,8 @@ def missing_pairs(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
 
 def select_files(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
     """Catalog entry of every requested pair; fails when one is missing."""
-    missing = missing_pairs(wanted, catalog).orderBy("position").limit(20).collect()
+    # As long as the request at most, which the caller holds in memory.
+    missing = missing_pairs(wanted, catalog).orderBy("position").collect()
     if missing:
         pairs = [(r["file_subreddit"], r["file_period"]) for r in missing]
         raise ValueError(f"corpus has no file for: {pairs}")
@@ -110,12 +108,18 @@ def select_files(wanted: DataFrame, catalog: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, *paths: str) -> DataFrame:
-    """Path, name, size and time of non-empty files; contents are not read."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    )
+    """Path, name, size and time of all files; contents are not read.
+
+    The scan leaves empty files out. They are in the file index, which the driver
+    holds anyway, and are listed with length 0 and no time.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    # Local files are file:///x in the index and file:/x in the scan.
+    indexed = [(re.sub("^file:/+", "file:/", unquote(p)),) for p in found.inputFiles()]
+    sized = found.select("path", "length", "modificationTime")
+    listing = spark.createDataFrame(indexed, "path string").join(sized, "path", "left")
     name = F.element_at(F.split("path", "/"), -1)
-    return listing.select("path", name.alias("name"), "length", "modificationTime")
+    return listing.select("path", name.alias("name"), F.coalesce("length", F.lit(0)).alias("length"), "modificationTime")
 
 
 def expected_files(wanted: DataFrame, listing: DataFrame) -> DataFrame:
@@ -132,7 +136,7 @@ def expected_files(wanted: DataFrame, listing: DataFrame) -> DataFrame:
 def require_files(wanted: DataFrame, listing: DataFrame) -> DataFrame:
     """``expected_files`` that raises when a file is missing."""
     expected = expected_files(wanted, listing)
-    missing = expected.where("n_files = 0").orderBy("position").limit(20).collect()
+    missing = expected.where("n_files = 0").orderBy("position").collect()
     if missing:
         raise FileNotFoundError(f"expected {[r['expected'] for r in missing]}")
     return expected
@@ -141,30 +145,17 @@ def require_files(wanted: DataFrame, listing: DataFrame) -> DataFrame:
 # --- checksums ------------------------------------------------------------------
 
 
-def file_digests(listing: DataFrame) -> DataFrame:
-    """MD5 of every listed file, read in pieces on the executors.
+def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
+    """Path, name, size and MD5 of every file, empty ones included.
 
-    A file never has to fit into one cell, which a ``content`` column would need.
+    One task hashes one file's content, which must fit into a cell (2 GB); corpus
+    files are far below that, larger ones are folders of part files.
     """
-
-    def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        for batch in batches:
-            sums = []
-            for path in batch["path"]:
-                # Listed paths are neither URL-encoded nor, for local files, full URIs.
-                uri = re.sub(r"^file:/+", "file:///", quote(path, safe=":/@?&=+"))
-                system, inner = fs.FileSystem.from_uri(uri)
-                md5 = hashlib.md5()
-                with system.open_input_stream(inner) as stream:
-                    while piece := stream.read(_READ_BYTES):
-                        md5.update(piece)
-                sums.append(md5.hexdigest())
-            yield batch[["path", "name", "length"]].assign(md5=sums)
-
-    spread = listing.select("path", "name", "length").repartition("path")
-    return spread.mapInPandas(digest, "path string, name string, length bigint, md5 string")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    hashed = found.select("path", F.md5("content").alias("md5"))
+    nothing = F.md5(F.lit("").cast("binary"))
+    listed = list_files(spark, *paths).join(hashed, "path", "left")
+    return listed.select("path", "name", "length", F.coalesce("md5", nothing).alias("md5"))
 
 
 def verify_checksums(files: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import StructType
 from moodtide.schemas import BRONZE, GOLD_WEEKLY, conform
 
 POINTER = "_CURRENT"
+# The names of the Gold tables.
 POSTS_TABLE, WEEKLY_TABLE = "gold_posts_features", "gold_subreddit_weekly"
 LIVE, FALLBACK = "live", "fallback"
 
@@ -84,20 +86,39 @@ def publish(df: DataFrame, root: str) -> str:
     return version
 
 
+def next_version(spark: SparkSession, root: str) -> str:
+    """``v<number>-<random>``: two writers at the same time never share a folder."""
+    current = current_version(spark, root)
+    number = int(current[1:].split("-")[0]) + 1 if current else 1
+    return f"v{number:06d}-{uuid.uuid4().hex[:8]}"
+
+
 def stage(df: DataFrame, root: str) -> tuple[str, DataFrame]:
     """Write the next version without publishing it; returns its name and rows."""
     spark = df.sparkSession
-    current = current_version(spark, root)
-    target = f"v{int(current[1:]) + 1 if current else 1:06d}"
-    df.write.mode("overwrite").parquet(f"{root}/{target}")
+    target = next_version(spark, root)
+    df.write.parquet(f"{root}/{target}")
     return target, spark.read.schema(df.schema).parquet(f"{root}/{target}")
 
 
+def discard(spark: SparkSession, root: str, version: str) -> None:
+    """Remove a version that was never published."""
+    system, handle = _hadoop_path(spark, f"{root}/{version}")
+    system.delete(handle, True)
+
+
 def point_to(spark: SparkSession, root: str, version: str) -> None:
-    system, handle = _hadoop_path(spark, f"{root}/{POINTER}")
-    out = system.create(handle, True)
+    """Publish a staged version: a new pointer takes the old one's place in one rename."""
+    system, fresh = _hadoop_path(spark, f"{root}/{POINTER}.{uuid.uuid4().hex}")
+    out = system.create(fresh, False)
     out.write(bytearray(version.encode()))
     out.close()
+    jvm = spark._jvm
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fresh.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(fresh, _hadoop_path(spark, f"{root}/{POINTER}")[1], options)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -111,11 +132,12 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         stream.close()
 
 
-def read_layer(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+def read_layer(spark: SparkSession, root: str, schema: StructType, part: str = "") -> DataFrame:
+    """The published version, or one of the tables that it holds."""
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"no published version under {root}")
-    return spark.read.schema(schema).parquet(f"{root}/{version}")
+    return spark.read.schema(schema).parquet(f"{root}/{version}{part and '/' + part}")
 
 
 def save_bucketed(df: DataFrame, table: str, key: str = "post_id", buckets: int = 200) -> None:
@@ -165,10 +187,11 @@ def read_export(spark: SparkSession, path: str, schema: StructType) -> DataFrame
 
 
 def weekly_source(spark: SparkSession, gold: str, fallback: DataFrame) -> tuple[str, DataFrame]:
-    """Live weekly table when any parquet lies below the Gold folder, else the fallback."""
-    if not has_parquet(spark, gold):
+    """The weekly table once a version of it is published, else the fallback."""
+    table = f"{gold}/{WEEKLY_TABLE}"
+    if current_version(spark, table) is None:
         return FALLBACK, fallback
-    return LIVE, read_layer(spark, f"{gold}/{WEEKLY_TABLE}", GOLD_WEEKLY)
+    return LIVE, read_layer(spark, table, GOLD_WEEKLY)
 
 
 def replace_if_any(df: DataFrame, root: str) -> bool:
@@ -179,6 +202,7 @@ def replace_if_any(df: DataFrame, root: str) -> bool:
     """
     version, staged = stage(df, root)
     if staged.isEmpty():
+        discard(df.sparkSession, root, version)
         return False
     point_to(df.sparkSession, root, version)
     return True

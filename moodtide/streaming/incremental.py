@@ -1,19 +1,16 @@
-"""Checkpointed landing and scoring.
+"""Checkpointed landing.
 
-Both run as ``availableNow`` file streams: a run handles the files that arrived
-since the last one and stops. Progress is kept in the checkpoint folder, so a
-killed run goes on where it was and no row is scored twice.
+An ``availableNow`` file stream: a run handles the files that arrived since the
+last one and stops. Progress is kept in the checkpoint folder, so a killed run
+goes on where it was. Scoring resumes in batch (``plans.scoring``).
 """
 
 from __future__ import annotations
 
-from typing import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from moodtide.schemas import SILVER
 from moodtide.sources.landing import csv_reader, file_path, to_bronze
 
 
@@ -30,29 +27,3 @@ def land_new_files(
         .trigger(availableNow=True)
         .start(bronze)
     )
-
-
-def score_new_posts(
-    spark: SparkSession,
-    silver: str,
-    scores: str,
-    checkpoint: str,
-    score: Callable[[DataFrame], DataFrame],
-    files_per_batch: int = 1000,
-) -> StreamingQuery:
-    """Score Silver files not scored before, appending to the score table.
-
-    ``score`` must be a per-row transformation (the batch scorers are).
-    """
-    posts = (
-        spark.readStream.schema(SILVER)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(silver)
-    )
-    return (
-        score(posts.select("post_id", "text"))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(scores)
-    )

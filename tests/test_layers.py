@@ -22,20 +22,27 @@ from moodtide.session import scratch_dir
 from moodtide.sources import landing, layers
 from moodtide.streaming import incremental
 
-SALT = "test-salt-not-secret"
-AUTHORS = ("jane_doe", "john_roe", "third_user")
-NOW = dt.datetime(2024, 5, 1)
+SALT = "pepper and salt"
+AUTHORS = ("lee_park", "kim_w", "ola")
+NOW = dt.datetime(2023, 9, 3)
+
+# What the rows exercise: a post in two periods (the lower period stays), identifiers
+# of three kinds, a post without author, both removal markers, blanks, no text, two bad dates.
+WALK = "Walked  twice\tthis\nMonday"
 
 
 def bronze_rows():
     rows = [
-        ("p1", "anxiety", "jane_doe", "2019/01/07", "Feeling  better\nthis week", "pre"),
-        ("p2", "anxiety", "john_roe", "2019/01/08", "Contact a@b.com or u/jane_doe", "pre"),
-        ("p3", "depression", "third_user", "2020/02/03", "Long   day. www.example.com", "post"),
-        ("p1", "anxiety", "jane_doe", "2019/01/07", "Feeling  better\nthis week", "2019"),
-        ("p4", "anxiety", "jane_doe", "2019/01/09", "[deleted]", "pre"),
-        ("p5", "anxiety", "jane_doe", "2019/01/09", "   ", "pre"),
-        ("p6", "anxiety", "jane_doe", "not-a-date", "valid text here", "pre"),
+        ("m1", "sleep", "lee_park", "2021/05/10", WALK, "pre"),
+        ("m1", "sleep", "lee_park", "2021/05/10", WALK, "2020"),
+        ("m2", "sleep", "kim_w", "2021/05/16", "Write x.y@mail.example or /u/lee_park", "pre"),
+        ("m3", "running", None, "2021/06/02", "A  slow day, http://run.example/42 has it", "post"),
+        ("m4", "running", "ola", "2021/06/03", " [removed] ", "post"),
+        ("m5", "sleep", "ola", "2021/06/03", "[deleted]", "pre"),
+        ("m6", "sleep", "ola", "2021/06/04", "\t \n", "pre"),
+        ("m7", "sleep", "ola", "2021/06/04", None, "pre"),
+        ("m8", "sleep", "ola", "2021/13/04", "month thirteen", "pre"),
+        ("m9", "sleep", "ola", None, "no day at all", "pre"),
     ]
     return [(i, s, a, d, p, w, f"{s}_{w}.csv", NOW) for i, s, a, d, p, w in rows]
 
@@ -53,18 +60,19 @@ def silver(bronze):
 def test_silver_rows_and_schema(silver):
     assert [(f.name, f.dataType) for f in silver.schema] == [(f.name, f.dataType) for f in SILVER]
     rows = {r["post_id"]: r for r in silver.collect()}
-    assert set(rows) == {"p1", "p2", "p3"}
-    assert rows["p1"]["period"] == "2019" and rows["p1"]["text"] == "Feeling better this week"
-    assert rows["p1"]["author_hash"] == hashlib.sha256(f"{SALT}:jane_doe".encode()).hexdigest()
+    assert set(rows) == {"m1", "m2", "m3"}
+    assert rows["m1"]["period"] == "2020" and rows["m1"]["text"] == "Walked twice this Monday"
+    assert rows["m1"]["author_hash"] == hashlib.sha256(f"{SALT}:lee_park".encode()).hexdigest()
+    assert rows["m3"]["author_hash"] is None
     blob = str(rows)
-    for secret in (*AUTHORS, "a@b.com", "www.example.com"):
+    for secret in (*AUTHORS, "x.y@mail", "run.example"):
         assert secret not in blob
 
 
 def test_audit(bronze):
     assert sv.drop_audit(bronze).first().asDict() == {
-        "empty_or_deleted_text": 2,
-        "unparseable_date": 1,
+        "empty_or_deleted_text": 4,
+        "unparseable_date": 2,
         "duplicate_post_id": 1,
     }
 
@@ -97,33 +105,32 @@ def test_missing_and_empty_authors_have_no_hash(spark):
 
 def test_anonymize_frame_drops_identifiers(spark):
     df = spark.createDataFrame(
-        [("p1", "jane_doe", "t2_abc", "email me a@b.com")],
+        [("q", "kim_w", "t9", "to c.d@site.example now")],
         "post_id string, author string, author_fullname string, post string",
     )
     out = sv.anonymize_frame(df, SALT)
     assert out.columns == ["post_id", "post", "author_hash"]
-    assert out.first()["post"] == "email me [REDACTED:email]"
+    assert out.first()["post"] == "to [REDACTED:email] now"
 
 
 def test_verification(spark, bronze, silver):
     authors = sv.distinct_authors(bronze)
     sv.assert_anonymized(silver, authors)
-    with pytest.raises(AssertionError, match="column"):
-        sv.assert_anonymized(bronze, authors, ("post",))
-    unhashed = silver.withColumn("author_hash", F.lit("jane_doe"))
-    with pytest.raises(AssertionError, match="author_hash"):
+    assert set(sv.assert_anonymized(silver, authors).values()) == {0, 3}
+    unhashed = silver.withColumns({"author_hash": F.lit("kim_w"), "author": F.lit("kim_w")})
+    with pytest.raises(AssertionError, match=r"author_collisions \(1 rows\), column author \(3 rows\)"):
         sv.assert_anonymized(unhashed, authors)
-    unscrubbed = silver.withColumn("text", F.lit("contact me: leak@example.com"))
-    with pytest.raises(AssertionError, match="3 unscrubbed email"):
+    unscrubbed = silver.withColumn("text", F.lit("see www.a.example or b@c.example"))
+    with pytest.raises(AssertionError, match=r"text_email \(3 rows\), text_url \(3 rows\)"):
         sv.assert_anonymized(unscrubbed, authors)
 
 
 def test_gold_features(silver):
     posts = gold.gold_posts(silver)
     assert posts.schema.names == GOLD_POSTS.names
-    p1 = posts.where("post_id = 'p1'").first()
-    assert (p1["n_words"], p1["n_chars"]) == (4, len("Feeling better this week"))
-    assert p1["week"].weekday() == 0
+    walk = posts.where("post_id = 'm1'").first()
+    assert (walk["n_words"], walk["n_chars"]) == (4, len("Walked twice this Monday"))
+    assert walk["week"] == dt.date(2021, 5, 10)
     unscored = posts.where(
         "sentiment_score IS NULL AND sentiment_label IS NULL AND crisis_score IS NULL AND crisis_flag IS NULL"
     )
@@ -133,7 +140,8 @@ def test_gold_features(silver):
 def test_weekly_unscored_is_null(silver):
     weekly = gold.weekly_rollup(gold.gold_posts(silver))
     assert weekly.schema.names == GOLD_WEEKLY.names
-    row = weekly.where("subreddit = 'anxiety'").first()
+    assert weekly.where("subreddit = 'running'").first()["n_active_authors"] == 0
+    row = weekly.where("subreddit = 'sleep'").first()
     assert (row["n_posts"], row["n_active_authors"]) == (2, 2)
     assert row["sentiment"] is None and row["crisis_count"] is None and row["crisis_rate"] is None
 
@@ -164,11 +172,11 @@ def test_distinct_authors_of_a_hot_week_are_spread(spark, plan_of):
 
 def test_scores_merge_left_and_refuse_duplicates(spark, silver):
     posts = gold.gold_posts(silver)
-    scores = spark.createDataFrame([("p1", 0.5, "positive")], SENTIMENT_SCORES)
+    scores = spark.createDataFrame([("m1", 0.25, "positive")], SENTIMENT_SCORES)
     merged = gold.apply_scores(posts, scores, gold.SENTIMENT_COLUMNS)
     assert merged.columns == posts.columns
     got = {r["post_id"]: r["sentiment_score"] for r in merged.collect()}
-    assert got == {"p1": 0.5, "p2": None, "p3": None}
+    assert got == {"m1": 0.25, "m2": None, "m3": None}
     with pytest.raises(PySparkException, match="more than one score"):
         gold.apply_scores(posts, scores.union(scores), gold.SENTIMENT_COLUMNS).collect()
 
@@ -177,7 +185,7 @@ def test_bucketed_tables_merge_without_a_shuffle(spark, silver, plan_of):
     posts = gold.gold_posts(silver)
     layers.save_bucketed(posts, "bucketed_posts", buckets=4)
     layers.save_bucketed(
-        spark.createDataFrame([("p1", 0.5, "positive")], SENTIMENT_SCORES), "bucketed_scores", buckets=4
+        spark.createDataFrame([("m1", 0.25, "positive")], SENTIMENT_SCORES), "bucketed_scores", buckets=4
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -232,22 +240,38 @@ def test_catalog(spark):
     catalog = spark.createDataFrame([(k,) for k in keys], "key string")
     picked = landing.select_files(landing.wanted_pairs(spark, ["Anxiety"], ["pre", "post"]), catalog)
     assert [r["key"] for r in picked.collect()] == keys[:2]
-    with pytest.raises(ValueError, match="depression"):
-        landing.select_files(landing.wanted_pairs(spark, ["depression"], ["pre", "post"]), catalog)
+    many = [f"c{i:02d}" for i in range(25)]
+    with pytest.raises(ValueError) as lost:
+        landing.select_files(landing.wanted_pairs(spark, many, ["pre"]), catalog)
+    assert all(f"('{c}', 'pre')" in str(lost.value) for c in many)
+    other = landing.wanted_pairs(spark, ["Sleep"], ["Pre"], suffix="_features.csv").first()
+    assert (other["expected"], other["file_subreddit"]) == ("Sleep_Pre_features.csv", "sleep")
 
 
 def test_expected_files(spark, corpus_dir):
     files = landing.list_files(spark, corpus_dir)
     wanted = landing.wanted_pairs(spark, ["depression"], ["post"])
     assert landing.require_files(wanted, files).first()["n_files"] == 2
-    with pytest.raises(FileNotFoundError, match="depression_pre"):
-        landing.require_files(landing.wanted_pairs(spark, ["depression"], ["pre"]), files)
+    many = [f"c{i:02d}" for i in range(25)]
+    with pytest.raises(FileNotFoundError) as lost:
+        landing.require_files(landing.wanted_pairs(spark, many, ["pre"]), files)
+    assert all(f"{c}_pre_posts.csv" in str(lost.value) for c in many)
+
+
+def test_empty_files_are_listed(spark, tmp_path):
+    (tmp_path / "a b_pre_posts.csv").write_text("")
+    (tmp_path / "c_pre_posts.csv").write_text("x")
+    files = {r["name"]: r["length"] for r in landing.list_files(spark, str(tmp_path)).collect()}
+    assert files == {"a b_pre_posts.csv": 0, "c_pre_posts.csv": 1}
+    wanted = landing.wanted_pairs(spark, ["a b"], ["pre"])
+    assert landing.require_files(wanted, landing.list_files(spark, str(tmp_path))).first()["n_files"] == 1
+    assert {r["md5"] for r in landing.file_digests(spark, str(tmp_path)).where("length = 0").collect()} == {hashlib.md5(b"").hexdigest()}
 
 
 def test_digests_and_manifest(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"x" * 3_000_000)
     (tmp_path / "b %b.csv").write_bytes(b"y")
-    files = landing.file_digests(landing.list_files(spark, str(tmp_path))).withColumnRenamed("name", "key")
+    files = landing.file_digests(spark, str(tmp_path)).withColumnRenamed("name", "key")
     manifest = spark.createDataFrame(
         [
             ("a.csv", hashlib.md5(b"x" * 3_000_000).hexdigest()),
@@ -263,10 +287,10 @@ def test_digests_and_manifest(spark, tmp_path):
 def test_bronze_partitions_are_replaced_one_by_one(spark, bronze, tmp_path):
     path = str(tmp_path / "bronze")
     counts = {r["source_file"]: r["n_rows"] for r in layers.write_bronze(bronze, path).collect()}
-    assert counts == {"anxiety_pre.csv": 5, "anxiety_2019.csv": 1, "depression_post.csv": 1}
-    layers.write_bronze(bronze.where("period = '2019'").withColumn("post", F.lit("new")), path)
+    assert counts == {"sleep_pre.csv": 7, "sleep_2020.csv": 1, "running_post.csv": 2}
+    layers.write_bronze(bronze.where("period = '2020'").withColumn("post", F.lit("new")), path)
     again = layers.read_bronze(spark, path)
-    assert again.count() == 7 and again.where("post = 'new'").count() == 1
+    assert again.count() == 10 and again.where("post = 'new'").count() == 1
     with pytest.raises(FileNotFoundError):
         layers.read_bronze(spark, str(tmp_path / "nothing"))
 
@@ -276,11 +300,13 @@ def test_bronze_partitions_are_replaced_one_by_one(spark, bronze, tmp_path):
 
 def test_publish_and_rewrite_from_itself(spark, tmp_path):
     root = str(tmp_path / "layer")
-    assert layers.publish(spark.range(5), root) == "v000001"
+    assert layers.publish(spark.range(5), root).startswith("v000001-")
     schema = spark.range(1).schema
     doubled = layers.read_layer(spark, root, schema)
-    assert layers.publish(doubled.union(doubled), root) == "v000002"
+    assert layers.publish(doubled.union(doubled), root).startswith("v000002-")
     assert layers.read_layer(spark, root, schema).count() == 10
+    assert sorted(p.name for p in tmp_path.joinpath("layer").iterdir() if p.name.startswith("_")) == ["_CURRENT"]
+    assert layers.next_version(spark, root) != layers.next_version(spark, root)
 
 
 def test_failed_publish_keeps_the_old_version(spark, tmp_path):
@@ -311,6 +337,10 @@ def test_warehouse_load(spark, silver, tmp_path):
 def test_source_fallback(spark, silver, tmp_path):
     weekly = gold.weekly_rollup(gold.gold_posts(silver))
     assert layers.weekly_source(spark, str(tmp_path / "none"), weekly)[0] == layers.FALLBACK
+    # Staged but never published, and another table that is: still the fallback.
+    layers.stage(weekly, f"{tmp_path}/gold/{layers.WEEKLY_TABLE}")
+    layers.publish(gold.gold_posts(silver), f"{tmp_path}/gold/{layers.POSTS_TABLE}")
+    assert layers.weekly_source(spark, f"{tmp_path}/gold", weekly)[0] == layers.FALLBACK
     layers.publish(weekly, f"{tmp_path}/gold/{layers.WEEKLY_TABLE}")
     label, live = layers.weekly_source(spark, f"{tmp_path}/gold", weekly)
     assert label == layers.LIVE and live.count() == 2
@@ -322,19 +352,19 @@ def test_source_fallback(spark, silver, tmp_path):
 def test_medallion_and_scoring_run(spark, bronze, tmp_path):
     root = str(tmp_path)
     report = medallion.run(bronze, root, SALT).first()
-    assert (report["bronze_rows"], report["raw_authors"], report["silver_rows"]) == (7, 3, 3)
-    assert (report["weeks"], report["communities"]) == (2, 2)
+    assert (report["bronze_rows"], report["raw_authors"], report["silver_rows"]) == (10, 3, 3)
+    assert (report["weeks"], report["communities"], report["quarantined"]) == (2, 2, 0)
     calls = []
 
     def score(posts):
         calls.append(posts.count())
-        return scoring.score_with_lexicon(posts, ("better",), ("day",))
+        return scoring.score_with_lexicon(posts, ("twice",), ("slow",))
 
     scoring_plan.score_sentiment(spark, root, score)
     scoring_plan.score_sentiment(spark, root, score)
     assert calls == [3, 0]
     scores = {r["post_id"]: r["sentiment_score"] for r in medallion.read_posts(spark, root).collect()}
-    assert scores == {"p1": 0.5, "p2": 0.0, "p3": -0.5}
+    assert scores == {"m1": 0.5, "m2": 0.0, "m3": -0.5}
     weekly = medallion.read_weekly(spark, root)
     assert weekly.where("sentiment IS NULL").count() == 0
     assert weekly.agg(F.sum("n_posts")).first()[0] == 3
@@ -345,12 +375,25 @@ def test_leak_stops_the_run(spark, bronze, tmp_path, monkeypatch):
         "post_id", "subreddit", F.lit(None).cast("date").alias("created_date"),
         F.col("author").alias("author_hash"), F.col("post").alias("text"),
         "period", "source_file", "ingested_at"))
-    with pytest.raises(AssertionError):
+    with pytest.raises(AssertionError, match="author_collisions"):
         medallion.run(bronze, str(tmp_path), SALT)
     assert layers.current_version(spark, medallion.silver_path(str(tmp_path))) is None
+    assert not list(tmp_path.rglob("*.parquet"))
 
 
-def test_incremental_landing_and_scoring(spark, corpus_dir, tmp_path):
+def test_glued_identifiers_go_to_quarantine(spark, bronze, tmp_path):
+    """Cutting the number out makes a mention of what follows; the run goes on without that post."""
+    odd = spark.createDataFrame([("m0", "sleep", "ola", "2021/05/11", "try 5550001111@rest then", "pre", "sleep_pre.csv", NOW)], BRONZE)
+    report = medallion.run(bronze.unionByName(odd), str(tmp_path), SALT).first()
+    assert (report["silver_rows"], report["quarantined"]) == (3, 1)
+    assert medallion.read_silver(spark, str(tmp_path)).where("post_id = 'm0'").count() == 0
+    kept = medallion.read_quarantine(spark, str(tmp_path))
+    assert [r["post_id"] for r in kept.collect()] == ["m0"] and "text" not in kept.columns
+    everything = spark.read.parquet(f"{medallion.silver_path(str(tmp_path))}/v*")
+    assert everything.where("text LIKE '%@rest%'").count() == 0
+
+
+def test_incremental_landing(spark, corpus_dir, tmp_path):
     out, mark = str(tmp_path / "bronze_out"), str(tmp_path / "mark")
     header = "flesch string, subreddit string, author string, date string, post string, tfidf_x string"
     from pyspark.sql.types import _parse_datatype_string
@@ -365,16 +408,7 @@ def test_incremental_landing_and_scoring(spark, corpus_dir, tmp_path):
     with open(f"{source}/adhd_pre_posts.csv", "w") as new:
         new.write("flesch,subreddit,author,date,post,tfidf_x\n1,adhd,z,2020/01/01,new post,0\n")
     incremental.land_new_files(spark, source, out, mark, schema).awaitTermination()
-    bronze = layers.read_bronze(spark, out)
-    assert bronze.count() == 5
-
-    posts, scores, mark2 = (str(tmp_path / n) for n in ("silver", "scores", "mark2"))
-    sv.bronze_to_silver(bronze, SALT).write.parquet(posts)
-    for _ in range(2):
-        incremental.score_new_posts(
-            spark, posts, scores, mark2, lambda df: scoring.score_with_lexicon(df, ("new",), ("text",))
-        ).awaitTermination()
-    assert spark.read.parquet(scores).count() == 5
+    assert layers.read_bronze(spark, out).count() == 5
 
 
 # --- quality ----------------------------------------------------------------------
@@ -382,10 +416,11 @@ def test_incremental_landing_and_scoring(spark, corpus_dir, tmp_path):
 
 def test_quality_checks(spark, bronze):
     nulls = {r["column"]: r["failures"] for r in quality.null_counts(bronze, ["post_id", "post"]).collect()}
-    assert nulls == {"post_id": 0, "post": 0}
-    assert [tuple(r) for r in quality.duplicate_keys(bronze, "post_id").collect()] == [("p1", 2)]
-    odd = quality.unexpected_values(bronze, "subreddit", ["anxiety"])
-    assert [tuple(r) for r in odd.collect()] == [("depression", 1)]
+    assert nulls == {"post_id": 0, "post": 1}
+    assert [tuple(r) for r in quality.duplicate_keys(bronze, "post_id").collect()] == [("m1", 2)]
+    assert quality.duplicate_keys(bronze, "post_id", "period").count() == 0
+    odd = quality.unexpected_values(bronze, "subreddit", ["sleep"])
+    assert [tuple(r) for r in odd.collect()] == [("running", 2)]
     values = spark.createDataFrame([(0.5,), (1.5,), (None,)], "v double")
     assert quality.out_of_bounds(values, {"v": (-1, 1)}).first()["failures"] == 1
 
@@ -393,5 +428,5 @@ def test_quality_checks(spark, bronze):
 def test_reconcile(spark, bronze):
     same = quality.reconcile(bronze, bronze, "subreddit", "created_date")
     assert same.where("NOT matches").count() == 0
-    fewer = quality.reconcile(bronze, bronze.where("subreddit = 'anxiety'"), "subreddit", "created_date")
-    assert [r["subreddit"] for r in fewer.where("NOT matches").collect()] == ["depression"]
+    fewer = quality.reconcile(bronze, bronze.where("subreddit = 'sleep'"), "subreddit", "created_date")
+    assert [r["subreddit"] for r in fewer.where("NOT matches").collect()] == ["running"]

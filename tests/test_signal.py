@@ -10,17 +10,17 @@ from moodtide.operators import scoring, signal
 
 class FakeScorer:
     def score_texts(self, texts):
-        table = {"good": [0.05, 0.15, 0.80], "bad": [0.80, 0.15, 0.05]}
-        return np.array([table.get(t, [0.10, 0.80, 0.10]) for t in texts])
+        table = {"sunny": [0.125, 0.25, 0.625], "rainy": [0.5, 0.25, 0.25]}
+        return np.array([table.get(t, [0.25, 0.5, 0.25]) for t in texts])
 
 
 def test_batch_scorer(spark):
-    texts = ["good", "bad", None, "whatever " * 50, "good"] * 20
+    texts = ["sunny", "rainy", None, "cloudy " * 50, "sunny"] * 20
     posts = spark.createDataFrame([(f"p{i}", t) for i, t in enumerate(texts)], "post_id string, text string")
     rows = {r["post_id"]: r for r in scoring.score_posts(posts, FakeScorer, batch_rows=7).collect()}
     assert len(rows) == 100
     for i, t in enumerate(texts):
-        expected = {"good": (0.75, "positive"), "bad": (-0.75, "negative")}.get(t, (0.0, "neutral"))
+        expected = {"sunny": (0.5, "positive"), "rainy": (-0.25, "negative")}.get(t, (0.0, "neutral"))
         assert (rows[f"p{i}"]["sentiment_score"], rows[f"p{i}"]["sentiment_label"]) == expected
 
 
@@ -38,7 +38,7 @@ def test_tasks_see_posts_by_length(spark):
 
 
 def test_resume_scores_only_what_is_missing(spark):
-    posts = spark.createDataFrame([("a", "good"), ("b", "bad"), ("c", "x")], "post_id string, text string")
+    posts = spark.createDataFrame([("a", "sunny"), ("b", "rainy"), ("c", "x")], "post_id string, text string")
     done = spark.createDataFrame([("a", 9.0, "old")], "post_id string, sentiment_score double, sentiment_label string")
     seen = []
 
@@ -47,7 +47,7 @@ def test_resume_scores_only_what_is_missing(spark):
         return scoring.score_posts(rows, FakeScorer)
 
     scores = {r["post_id"]: r["sentiment_score"] for r in scoring.resume_scoring(posts, done, score).collect()}
-    assert sorted(seen) == ["b", "c"] and scores == {"a": 9.0, "b": -0.75, "c": 0.0}
+    assert sorted(seen) == ["b", "c"] and scores == {"a": 9.0, "b": -0.25, "c": 0.0}
 
 
 def test_label_ties_go_to_the_earlier_class(spark):
@@ -149,8 +149,7 @@ def test_classifier_equals_newton(labelled):
     df, x, y = labelled
     fitted = signal.train_classifier(df)
     expected = newton(x, y)
-    got = np.r_[fitted.model.coefficients.toArray(), fitted.model.intercept]
-    assert np.allclose(got, expected, atol=2e-4)
+    assert np.allclose([*fitted.coefficients, fitted.intercept], expected, atol=1e-8)
     ranked = [r["coefficient"] for r in fitted.importances().collect()]
     assert [abs(c) for c in ranked] == sorted((abs(c) for c in ranked), reverse=True)
 
@@ -165,6 +164,16 @@ def test_train_and_score(labelled):
     assert held["auc"] > 0.75 and 0 < held["precision"] <= 1 and importances.count() == 5
 
 
+def test_gradient_is_zero_at_the_fit(labelled):
+    df, x, y = labelled
+    fitted = signal.train_classifier(df)
+    n1 = int(y.sum())
+    weight = F.when(F.col("label") == 1, len(y) / (2 * n1)).otherwise(len(y) / (2 * (len(y) - n1)))
+    rows = signal.standardize(df, signal.FEATURES, fitted.moments).select(*signal.FEATURES, F.col("label").cast("double").alias("_y"), weight.alias("_w"))
+    at = signal.penalised_gradient(rows, (*fitted.coefficients, fitted.intercept)).first()
+    assert max(abs(at[f"g{i}"]) for i in range(6)) < 1e-8
+
+
 def test_one_class_is_refused(labelled):
     with pytest.raises(ValueError, match="both classes"):
         signal.train_classifier(labelled[0].where("label = 0"))
@@ -188,8 +197,9 @@ def test_metrics_equal_brute_force(spark):
     assert row["precision"] == pytest.approx(tp / sum(flagged))
     assert row["recall"] == pytest.approx(tp / sum(labels))
     assert row["f1"] == pytest.approx(2 * tp / (sum(flagged) + sum(labels)))
-    exact = signal.holdout_auc(df.withColumnsRenamed({"s": "p", "y": "label"}))
-    assert exact == pytest.approx(brute_auc(scores, labels))
+    close = [s + 1e-5 * (i % 7) for i, s in enumerate(scores)]  # distinct, but many round alike
+    exact = signal.exact_auc(spark.createDataFrame(list(zip(close, labels)), "p double, label int")).first()["auc"]
+    assert exact == pytest.approx(brute_auc(close, labels))
     none = signal.classifier_metrics(df, "s", "y", 2.0).first()
     assert none["precision"] == none["recall"] == none["f1"] == 0.0
 
