@@ -1125,7 +1125,7 @@ class LexiconScorer:
 
 @query("score_posts_batched", "SELECT * FROM lexicon_scores")
 def score_posts_batched(spark, sf_dir):
-    return scoring.score_posts(V.silver(spark, sf_dir), LexiconScorer)
+    return scoring.score_posts(V.silver(spark, sf_dir), LexiconScorer, by_length=False)
 
 
 _EVENT_P = """SELECT event_id, 1 / (1 + value / 100) AS a, (value / 100) / (1 + value / 100) AS b, event_id % 7 AS m FROM events"""
