@@ -6,7 +6,7 @@ from dataclasses import dataclass
 from typing import Iterable, Mapping
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from moodtide.functions import text as T
 from moodtide.functions.numbers import round_even
@@ -187,12 +187,16 @@ def feature_moments(df: DataFrame, columns: Iterable[str] = FEATURES) -> DataFra
 
 
 def standardize(
-    df: DataFrame, columns: Iterable[str] = FEATURES, moments: DataFrame | None = None
+    df: DataFrame, columns: Iterable[str] = FEATURES, moments: Mapping[str, tuple[float, float]] | None = None
 ) -> DataFrame:
-    """z-scores with the population deviation; a constant column becomes 0."""
+    """z-scores with the population deviation; a constant column becomes 0.
+
+    By the frame's own moments, or by given (mean, deviation) pairs.
+    """
     columns = tuple(columns)
-    moments = feature_moments(df, columns) if moments is None else moments
-    one = moments.select(F.struct(*columns)).scalar()
+    if moments is not None:
+        return df.withColumns({c: (F.col(c) - F.lit(moments[c][0])) / F.lit(moments[c][1] or 1.0) for c in columns})
+    one = feature_moments(df, columns).select(F.struct(*columns)).scalar()
     scaled = {}
     for c in columns:
         mean, std = F.col(f"_m.{c}.mean"), F.col(f"_m.{c}.std")
@@ -209,7 +213,7 @@ class Classifier:
 
     coefficients: tuple[float, ...]
     intercept: float
-    moments: DataFrame
+    moments: Mapping[str, tuple[float, float]]
 
     def margin(self) -> Column:
         """Of scaled features."""
@@ -220,9 +224,8 @@ class Classifier:
         scaled = standardize(features, FEATURES, self.moments).withColumn("p", _sigmoid(self.margin()))
         return scaled
 
-    def importances(self) -> DataFrame:
+    def importances(self, spark: SparkSession) -> DataFrame:
         """Coefficients of the scaled features, by size."""
-        spark = self.moments.sparkSession
         rows = [(f, round(c, 4)) for f, c in zip(FEATURES, self.coefficients)]
         return rank_coefficients(spark.createDataFrame(rows, "feature string, coefficient double"))
 
@@ -278,8 +281,7 @@ def train_classifier(train: DataFrame, label: str = "label", c: float = 1.0) ->
     unique and reached to the last digits, so the fit does not depend on the
     solver's settings.
     """
-    moments = feature_moments(train)
-    frozen = train.sparkSession.createDataFrame(moments.collect(), moments.schema)  # one row
+    frozen = {name: (m["mean"], m["std"]) for name, m in feature_moments(train).first().asDict().items()}
     sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # one per class
     n = sum(sizes.values())
     if len(sizes) != 2:
@@ -366,7 +368,7 @@ def fit_and_score(
     fitted = train_classifier(split.where("is_train"))
     holdout = fitted.predict(split.where("NOT is_train"))
     report = classifier_metrics(holdout, "p", "label", threshold).withColumn("auc", exact_auc(holdout).scalar())
-    return flag_scores(fitted.predict(narrow), threshold), report, fitted.importances()
+    return flag_scores(fitted.predict(narrow), threshold), report, fitted.importances(rows.sparkSession)
 
 
 def train_and_score(

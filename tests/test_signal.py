@@ -150,7 +150,7 @@ def test_classifier_equals_newton(labelled):
     fitted = signal.train_classifier(df)
     expected = newton(x, y)
     assert np.allclose([*fitted.coefficients, fitted.intercept], expected, atol=1e-8)
-    ranked = [r["coefficient"] for r in fitted.importances().collect()]
+    ranked = [r["coefficient"] for r in fitted.importances(df.sparkSession).collect()]
     assert [abs(c) for c in ranked] == sorted((abs(c) for c in ranked), reverse=True)
 
 
