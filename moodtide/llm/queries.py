@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,7 +21,8 @@ def vocabulary_path() -> str:
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return urls.filter_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    judged = urls.filter_urls(read_table(spark, sf_dir, "pages"), read_table(spark, sf_dir, "labels"))
+    return judged.withColumn("purity", F.round("purity", 9))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +81,70 @@ QUERIES: dict[str, Query] = {
     "op10_token_counts": op10_token_counts,
 }
 
+def url_twin() -> str:
+    """The template tree with its levels written out."""
+    bound = repr(math.sqrt(0.5 * math.log(2 / urls.ALPHA)))
+
+    def differs(a: str, n_a: str, b: str, n_b: str) -> str:
+        apart = f"abs(({a}) / nullif({n_a}, 0)::DOUBLE - ({b}) / nullif({n_b}, 0)::DOUBLE)"
+        return f"coalesce({apart} > {bound} * (1 / sqrt(nullif({n_a}, 0)::DOUBLE) + 1 / sqrt(nullif({n_b}, 0)::DOUBLE)), false)"
+
+    def fits(host: str, path: str) -> str:
+        return f"(host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}')"
+
+    longest = sorted(urls.RULES, key=lambda r: -len(r[1] + r[2]))
+    rule = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for _, h, p in longest) + " END"
+    ruled = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in longest) + " END"
+    parts = "list_filter(string_split(shape, '/'), lambda s: s <> '')"
+    steps = []
+    for k in range(urls.LEVELS):
+        at = f"segments[{k + 1}]"
+        own = " OR ".join(
+            ["siblings = 1", differs("b.bad", "b.labelled", "a.bad - b.bad", "a.labelled - b.labelled"), differs("b.ends", "b.n", "a.ends - b.ends", "a.n - b.n")]
+        )
+        steps += [
+            f"""b{k} AS (SELECT node, {at} AS segment, sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad,
+                    sum(CASE WHEN len(segments) = {k + 1} THEN n ELSE 0 END) AS ends
+                FROM t{k} WHERE len(segments) > {k} GROUP BY ALL)""",
+            f"""a{k} AS (SELECT node, sum(n) AS n, sum(labelled) AS labelled, sum(bad) AS bad, sum(ends) AS ends, count(*) AS siblings
+                FROM b{k} GROUP BY node)""",
+            f"""m{k} AS (SELECT b.node, b.segment, CASE WHEN {own} THEN b.segment ELSE '*' END AS name FROM b{k} b JOIN a{k} a USING (node))""",
+            f"""t{k + 1} AS (SELECT t.* REPLACE (coalesce(t.node || '/' || m.name, t.node) AS node)
+                FROM t{k} t LEFT JOIN m{k} m ON m.node = t.node AND m.segment = t.{at} AND len(t.segments) > {k})""",
+        ]
+    last = f"t{urls.LEVELS}"
+    return rf"""
+        WITH after AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+        cut AS (
+            SELECT page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}'), '') AS host,
+                   coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM after),
+        p AS (
+            SELECT *, array_to_string(list_filter(string_split(regexp_replace(path, '[0-9]+', '#', 'g'), '/'), lambda s: s <> ''), '/') AS shape
+            FROM cut),
+        marks AS (
+            SELECT doc_id, max(CAST(coalesce(quality = 0 OR toxic = 1, quality = 0, toxic = 1, false) AS INT)) AS bad
+            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        shapes AS (
+            SELECT host, shape, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
+            FROM p LEFT JOIN marks ON doc_id = page_id GROUP BY ALL),
+        t0 AS (
+            SELECT *, host AS node, CASE WHEN len({parts}) > {urls.LEVELS}
+                THEN list_append({parts}[1:{urls.LEVELS - 1}], '**') ELSE {parts} END AS segments FROM shapes),
+        {", ".join(steps)},
+        hosts AS (
+            SELECT host, (sum(bad) + {urls.WEIGHT} * prior) / (sum(labelled) + {urls.WEIGHT}) AS host_purity
+            FROM {last}, (SELECT sum(bad) / greatest(sum(labelled), 1)::DOUBLE AS prior FROM {last}) GROUP BY host, prior),
+        nodes AS (
+            SELECT host, node, (sum(bad) + {urls.WEIGHT} * host_purity) / (sum(labelled) + {urls.WEIGHT}) AS purity
+            FROM {last} JOIN hosts USING (host) GROUP BY host, node, host_purity)
+        SELECT page_id, p.host, p.path, {rule.replace('host', 'p.host').replace('path', 'p.path')} AS rule,
+               coalesce({ruled.replace('host', 'p.host').replace('path', 'p.path')},
+                        CASE WHEN purity >= {urls.REJECT} THEN 'block' ELSE 'allow' END) AS verdict,
+               t.node AS template, round(purity, 9) AS purity
+        FROM p JOIN {last} t USING (host, shape) JOIN nodes n ON n.host = t.host AND n.node = t.node"""
+
+
 def license_twin() -> str:
     known = licenses.Templates.of(licenses.TEMPLATES, licenses.COSINE)
     idf = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in sorted(known.idf.items()))
@@ -129,6 +195,7 @@ def license_twin() -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op1_url_filter": url_twin(),
     "op5_license_scan": license_twin(),
     "op8_chat_format": r"""
         WITH m AS (
