@@ -251,31 +251,39 @@ def shared(raw: bytes) -> Bpe:
     return Bpe(raw)
 
 
-def encode(docs: DataFrame, path: str, text_col: str = "text", ids: str = "ids", packed: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame, path: str, text_col: str = "text", ids: str = "ids", packed: bool = False, decoded: str | None = None
+) -> DataFrame:
     """All rows and columns of ``docs`` and ``ids``: array<int>, or their little-endian bytes if ``packed``.
 
+    With a name for ``decoded`` the ids are decoded again in the same pass, as by ``decode``.
+
     As the tokenizers library with the file at ``path`` and no added special
     tokens: strings of special tokens inside a text become their ids. A text is
     split into pre-tokens; each distinct one is encoded by a segment tree over the
     ranks of its adjacent pairs, whose root is the leftmost pair of lowest rank: a
     merge updates three leaves, until no pair can merge. Workers remember a bounded
-    number of pre-tokens. Null and empty texts give no ids. A column called
-    ``ids`` is replaced. No shuffle; a long text needs its own ids in memory only.
+    number of pre-tokens. Null and empty texts give no ids. Columns called ``ids`` or
+    ``decoded`` are replaced. No shuffle; a long text needs its own ids in memory only.
     """
-    kept = [c for c in docs.columns if c != ids]
+    new = [ids, decoded] if decoded else [ids]
+    kept = [c for c in docs.columns if c not in new]
     source = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = [t or "" for t in batch.column(text_col).to_pylist()]
-        coded = pa.array(shared(source.value).encode_batch(texts), pa.binary())
+        bpe = shared(source.value)
+        rows = bpe.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
+        back = [pa.array([bpe.decode(np.frombuffer(r, "<u4").tolist()) for r in rows], pa.string())] if decoded else []
+        coded = pa.array(rows, pa.binary())
         if not packed:
             _, offsets, data = coded.buffers()
             ends = np.frombuffer(offsets, "<i4", len(coded) + 1)
             flat = pa.array(np.frombuffer(data, "<i4") if data is not None and data.size else np.zeros(0, np.int32))
             coded = pa.ListArray.from_arrays(pa.array(ends // 4, pa.int32()), flat.slice(0, ends[-1] // 4))
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), coded], [*kept, ids])
+        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), coded, *back], [*kept, *new])
 
-    return map_batches(docs, run, _schema(docs, kept, f"`{ids}` {'binary' if packed else 'array<int>'}"), text_col)
+    more = f"`{ids}` {'binary' if packed else 'array<int>'}" + (f", `{decoded}` string" if decoded else "")
+    return map_batches(docs, run, _schema(docs, kept, more), text_col)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -302,8 +310,7 @@ def _schema(docs: DataFrame, kept: list[str], more: str) -> str:
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_tokens, ids_sha256, decoded_sha256 of each row; the digest of ``encode`` and ``decode``."""
-    coded = encode(docs.select(id_col, text_col), path, text_col, "__ids", packed=True).select(id_col, "__ids")
-    return decode(coded, path, "__ids", "__decoded").select(
+    return encode(docs.select(id_col, text_col), path, text_col, "__ids", packed=True, decoded="__decoded").select(
         id_col,
         (F.octet_length("__ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("__ids", 256).alias("ids_sha256"),
