@@ -55,6 +55,8 @@ def test_arrays_columns_and_empty_tables(spark, library):
     df = spark.createDataFrame([(1, "To be, or", "x", "y"), (2, None, None, None)], "doc_id long, text string, ids string, decoded string")
     coded = bpe.encode(df, PATH)
     assert {r.doc_id: r.ids for r in coded.collect()} == {1: library.encode("To be, or").ids, 2: []}
+    both = bpe.encode(df, PATH, decoded="decoded")
+    assert {r.doc_id: (r.ids, r.decoded) for r in both.collect()} == {1: (library.encode("To be, or").ids, "To be, or"), 2: ([], "")}
     back = bpe.decode(coded, PATH)
     assert {r.doc_id: r.decoded for r in back.collect()} == {1: "To be, or", 2: ""}
     assert back.columns == ["doc_id", "text", "ids", "decoded"]
