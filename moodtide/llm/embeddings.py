@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from moodtide.llm.components import components, unite
@@ -64,9 +65,9 @@ class Quantizer:
     def index(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
         """List, code, error of the code, lists to probe, for each unit vector.
 
-        A vector within ``radius`` of x that lies in list b has x at most
-        ``radius`` from the plane half way between x's own centre and b's, so
-        these probes miss none.
+        The plane half way between two centres parts their lists, so of two vectors
+        of different lists within ``radius`` of each other one is at most half of
+        that from the plane. Probing all lists that are no farther misses no pair.
         """
         own, d = nearest(unit, self.coarse)
         residual = unit - self.coarse[own]
@@ -75,7 +76,7 @@ class Quantizer:
             codes[:, s] = nearest(residual[:, columns], book)[0]
             residual[:, columns] -= book[codes[:, s]]
         apart = np.sqrt(squared(self.coarse, self.coarse))[own]
-        probed = d - d[np.arange(len(own)), own][:, None] <= 2 * self.radius * apart + SLACK
+        probed = d - d[np.arange(len(own)), own][:, None] <= self.radius * apart + SLACK
         probed[np.arange(len(own)), own] = True
         error = np.sqrt((residual**2).sum(1))
         return own, codes, error, [np.flatnonzero(p) for p in probed]
@@ -100,8 +101,12 @@ def vectors_of(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> pa.Table:
-    """Of one list's block of members and block of queries: for each query the number
-    of vectors it links with, and links that join all that are linked here."""
+    """Of one list's block of members and block of queries: for each vector the number
+    of links found here, and links that join all that are linked here.
+
+    A list's own vectors ask it too. A pair from two lists may be met in both, and
+    then counts in the later one.
+    """
     is_member = cell.column("member").to_numpy(zero_copy_only=False)
     members, queries = cell.filter(pa.array(is_member)), cell.filter(pa.array(~is_member))
     which = int(cell.column("at")[0].as_py())
@@ -109,12 +114,15 @@ def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> p
     m_norm, q_norm = np.sqrt((m**2).sum(1)), np.sqrt((q**2).sum(1))
     codes = np.frombuffer(b"".join(members.column("code").to_pylist()), np.uint8).reshape(len(m), -1)
     error = members.column("error").to_numpy()
-    copies = members.column("copies").to_numpy()
+    m_copies, q_copies = (t.column("copies").to_numpy() for t in (members, queries))
+    home = queries.column("home").to_numpy()
+    asks = np.zeros((len(m), len(quantizer.coarse)), bool)
+    asks[np.repeat(np.arange(len(m)), pc.list_value_length(members.column("probes")).to_numpy()), pc.list_flatten(members.column("probes")).to_numpy()] = True
     names = [(t.column("id").to_pylist(), t.column("h").to_pylist()) for t in (queries, members)]
     number: dict = {}
     q_node, m_node = (np.array([number.setdefault(x, len(number)) for x in zip(*n)], np.int64) for n in names)
     root = np.arange(len(number))
-    n_links = np.zeros(len(q), np.int64)
+    n_links = np.zeros(len(number), np.int64)
     for a in range(0, len(q), STEP):
         flags = quantizer.candidates(q[a : a + STEP] / q_norm[a : a + STEP, None], which, codes, error)
         rows, cols = np.nonzero(flags)
@@ -124,8 +132,11 @@ def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> p
             i, j = rows[b : b + 65_536], cols[b : b + 65_536]
             keep[b : b + 65_536] = np.einsum("ij,ij->i", q[i], m[j]) / (q_norm[i] * m_norm[j]) >= cosine
         keep &= q_node[rows] != m_node[cols]
+        keep &= (home[rows] <= which) | ~asks[cols, home[rows]]
         rows, cols = rows[keep], cols[keep]
-        np.add.at(n_links, rows, copies[cols])
+        np.add.at(n_links, q_node[rows], m_copies[cols])
+        other = home[rows] != which
+        np.add.at(n_links, m_node[cols[other]], q_copies[rows[other]])
         unite(root, q_node[rows], m_node[cols])
     names = list(number)
     linked = np.flatnonzero(root != np.arange(len(root)))
@@ -134,8 +145,8 @@ def links_of(cell: pa.Table, quantizer: Quantizer, dim: int, cosine: float) -> p
     none = [None] * len(counted)
     return pa.table(
         {
-            "id": pa.array(take(q_node[counted], 0) + take(linked, 0), pa.int64()),
-            "h": pa.array(take(q_node[counted], 1) + take(linked, 1), pa.int64()),
+            "id": pa.array(take(counted, 0) + take(linked, 0), pa.int64()),
+            "h": pa.array(take(counted, 1) + take(linked, 1), pa.int64()),
             "n": pa.array(n_links[counted].tolist() + [0] * len(linked), pa.int64()),
             "to_id": pa.array(none + take(root[linked], 0), pa.int64()),
             "to_h": pa.array(none + take(root[linked], 1), pa.int64()),
@@ -219,10 +230,10 @@ def _marked(rows: DataFrame, nodes: DataFrame, dim: int, n: int, cosine: float,
     )
     spread = lambda seed, n: F.pmod(F.xxhash64("h", "id", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    fields = ["label", "at", "m", "q", "member", "id", "h", "vec", "copies", "code", "error"]
-    members = indexed.withColumnRenamed("list", "at").join(parts, ["label", "at"]).withColumns({"m": spread(1, "m_parts"), "q": every("q_parts"), "member": F.lit(True)})
-    bare = {"code": F.lit(None).cast("binary"), "error": F.lit(None).cast("float"), "member": F.lit(False)}
-    queries = indexed.select("label", "id", "h", "vec", "copies", F.explode("probes").alias("at")).join(parts, ["label", "at"])
+    fields = ["label", "at", "m", "q", "member", "id", "h", "vec", "copies", "code", "error", "probes", "home"]
+    members = indexed.withColumnRenamed("list", "at").join(parts, ["label", "at"]).withColumns({"m": spread(1, "m_parts"), "q": every("q_parts"), "member": F.lit(True), "home": F.col("at")})
+    bare = {"code": F.lit(None).cast("binary"), "error": F.lit(None).cast("float"), "probes": F.lit(None).cast("array<int>"), "member": F.lit(False)}
+    queries = indexed.select("label", "id", "h", "vec", "copies", F.col("list").alias("home"), F.explode("probes").alias("at")).join(parts, ["label", "at"])
     queries = queries.withColumns({"q": spread(2, "q_parts"), "m": every("m_parts"), **bare})
     cells = members.select(*fields).union(queries.select(*fields))
     found = cells.groupBy("label", "at", "m", "q").applyInArrow(

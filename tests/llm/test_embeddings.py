@@ -61,9 +61,9 @@ def test_probes_and_bounds_lose_nothing():
     pairs = np.argwhere((x @ x.T >= 0.93) & ~np.eye(len(x), dtype=bool))
     assert len(pairs) > 500
     for a, b in pairs:
-        assert own[b] in probes[a]
+        assert own[b] in probes[a] or own[a] in probes[b]
         assert quantizer.candidates(x[a : a + 1], own[b], codes[b : b + 1], error[b : b + 1]).all()
-    assert np.mean([len(p) for p in probes]) < 30
+    assert np.mean([len(p) for p in probes]) < 15
 
 
 def test_empty_tables_and_clashing_columns(spark):
