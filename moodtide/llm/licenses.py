@@ -40,32 +40,24 @@ def tokens(text: Column) -> Column:
 
 @dataclass
 class Templates:
-    """Weights of bounded, given templates: idf over them, unit vectors, and the tokens a similar text must hold one of."""
+    """Weights of bounded, given templates: idf over them and unit vectors."""
 
     idf: dict[str, float]
     unseen: float
     vectors: dict[str, dict[str, float]]
-    anchors: list[str]
 
     @classmethod
-    def of(cls, templates: Sequence[tuple[str, str]], cosine: float) -> Templates:
+    def of(cls, templates: Sequence[tuple[str, str]]) -> Templates:
         counts = [(name, Counter(tokens_of(text))) for name, text in templates]
         held = Counter(t for _, c in counts for t in c)
         weigh = lambda n: math.log((1 + len(counts)) / (1 + n)) + 1
         idf = {t: weigh(n) for t, n in held.items()}
-        vectors, anchors = {}, set()
+        vectors = {}
         for name, c in counts:
             raw = {t: n * idf[t] for t, n in c.items()}
             norm = math.sqrt(sum(x * x for x in raw.values())) or 1.0
             vectors[name] = {t: x / norm for t, x in raw.items()}
-            # A text without the heaviest tokens has at most the norm of the others as its cosine.
-            rest = 1.0
-            for t, x in sorted(vectors[name].items(), key=lambda p: (-p[1], p[0])):
-                if math.sqrt(max(rest, 0.0)) < cosine - 1e-6:
-                    break
-                anchors.add(t)
-                rest -= x * x
-        return cls(idf, weigh(0), vectors, sorted(anchors))
+        return cls(idf, weigh(0), vectors)
 
 
 def similar_lines(docs: DataFrame, key: Sequence[str], text: str, known: Templates, cosine: float) -> DataFrame:
@@ -75,8 +67,15 @@ def similar_lines(docs: DataFrame, key: Sequence[str], text: str, known: Templat
     vectors = spark.createDataFrame(
         [(t, name, x) for name, v in known.vectors.items() for t, x in v.items()], "token string, license string, weight double"
     )
-    anchors = F.array(*(F.lit(a) for a in known.anchors))
-    near = lambda c: F.arrays_overlap(c, anchors)
+    words = F.array(*(F.lit(t) for t in sorted(known.idf)))
+
+    def near(held: Column) -> Column:
+        """Whether some template's weight among the tokens shared allows the cosine, which is at most that weight's root."""
+        weight = lambda shared, v: sum((F.when(F.array_contains(shared, t), x * x).otherwise(0.0) for t, x in v.items()), F.lit(0.0))
+        enough = lambda shared: F.greatest(*(weight(shared, v) for v in known.vectors.values()), F.lit(0.0)) >= cosine**2 - 1e-6
+        # Bound as a lambda's variable, the shared tokens are found once.
+        return F.exists(F.array(F.array_intersect(held, words)), enough)
+
     held = docs.select(*key, text).where(near(tokens(F.col(text))))
     lines = F.concat(
         F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), tokens(x).alias("tokens"))),
@@ -122,8 +121,9 @@ def scan_licenses(
     or above its own, distance counting the steps up. Of several, the highest
     cosine (6 decimals) wins, then the last license by name.
 
-    Texts that hold none of the templates' heaviest tokens cannot reach ``cosine``
-    and are left out before anything is counted; nothing else is. Only the
+    The tokens that a text shares with a template bound its cosine; texts and lines
+    that cannot reach ``cosine`` are left out before anything is counted, nothing
+    else is. Only the
     templates, a parameter, are broadcast. Inheritance joins distinct directories
     with those that have a licence, so a directory with a third of all rows is one
     row; the join back has unique directories on one side.
@@ -132,7 +132,7 @@ def scan_licenses(
     directory. Rows that share id, path and text are judged alike and each returned;
     other columns are not looked at; an empty table gives an empty table.
     """
-    known = Templates.of(templates, cosine)
+    known = Templates.of(templates)
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"))
     rows = rows.withColumns({"h": F.xxhash64("text"), "dir": F.when(F.col("path").isNotNull(), parent(F.concat(F.lit(ROOT), "path")))})
     keys = ["id", "path", "h"]

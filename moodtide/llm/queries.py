@@ -146,7 +146,7 @@ def url_twin() -> str:
 
 
 def license_twin() -> str:
-    known = licenses.Templates.of(licenses.TEMPLATES, licenses.COSINE)
+    known = licenses.Templates.of(licenses.TEMPLATES)
     idf = ", ".join(f"('{t}', {x!r}::DOUBLE)" for t, x in sorted(known.idf.items()))
     vectors = ", ".join(f"('{n}', '{t}', {x!r}::DOUBLE)" for n, v in known.vectors.items() for t, x in v.items())
     return rf"""

@@ -74,16 +74,6 @@ def test_equals_brute_force(spark):
     assert {r[4] for r in got} == {"file", "header", "inherited", None}
 
 
-def test_anchors_lose_nothing():
-    rng = random.Random(2)
-    known = L.Templates.of(L.TEMPLATES, L.COSINE)
-    for _ in range(3000):
-        words = rng.choice(L.TEMPLATES)[1].split()
-        text = " ".join(w for w in words if rng.random() < 0.8) + rng.choice(["", " work", " the of"])
-        if best(text):
-            assert set(L.tokens_of(text)) & set(known.anchors)
-
-
 def test_native_and_empty(spark, plan_of):
     df = spark.createDataFrame([(1, "Released under the MIT License.", "a/b", "x", 1.0)], SCHEMA + ", token string, cosine double")
     out = L.scan_licenses(df, F.col("where"))
