@@ -195,14 +195,14 @@ def sample(
 ) -> tuple[list[bytes], list[str]]:
     """Pieces of at most ``n_docs`` texts of each language, by least hash of the id: what the driver holds is bounded.
 
-    A hash threshold taken from the counts leaves about four times as many rows
-    as wanted, so a language with most of all rows sends no more than a rare one.
+    A hash threshold taken from the counts of the rows that may be learned from
+    leaves about four times as many of them as wanted, so a language with most of all rows sends no more than a rare one.
     """
     rows = docs.where(F.col(lang_col).isNotNull() & ~held_out(id_col)).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), has_letter(text_col).alias("ok")
     )
     rows = rows.where("ok").withColumn("hash", F.xxhash64("id", F.lit(11)))
-    counts = {r["lang"]: r["count"] for r in docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return [], []
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * n_docs / n))))

@@ -89,3 +89,14 @@ def test_nothing_to_learn(spark):
     out = langid.identify(df, langid.learn(df)).collect()
     assert {(r.doc_id, r.lang_pred, r.score) for r in out} == {(1, "und", 0.0), (2, "und", 0.0)}
     assert langid.identify(df.limit(0), langid.learn(df.limit(0))).count() == 0
+
+
+def test_rows_that_nothing_is_learned_from_do_not_thin_the_sample(spark):
+    rows = [(i, f"text number {i}" if i < 200 else "12 34", "en") for i in range(20_000)]
+    learnable = sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(200))
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert len(langid.sample(df, "doc_id", "text", "lang", n_docs=50)[0]) == 50
+    more = [(10**6 + i, "held out", "en") for i in range(20_000) if zlib.crc32(str(10**6 + i).encode()) % 4 == 2]
+    both = df.union(spark.createDataFrame(more, SCHEMA))
+    assert langid.sample(both, "doc_id", "text", "lang", n_docs=50) == langid.sample(df, "doc_id", "text", "lang", n_docs=50)
+    assert len(langid.sample(df, "doc_id", "text", "lang", n_docs=300)[0]) == learnable
