@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from moodtide.llm import words as W
-from moodtide.llm.frames import map_batches, text_buffers
+from moodtide.llm.frames import map_batches, materialize, text_buffers
 
 ERROR_RATE = 0.2  # edits, as a share of an item's words, up to which a passage is the item
 ITEMS_AT_ONCE = 5_000  # items that travel to the tasks together; more items take more passes
@@ -72,6 +72,7 @@ class Items:
     ids: list
     words: list[list[bytes]]
     budgets: list[int]
+    times: list[int] = field(default_factory=list)
     lengths: list[int] = field(default_factory=list)
     flags: dict[int, np.ndarray] = field(default_factory=dict)
     hashes: dict[int, np.ndarray] = field(default_factory=dict)
@@ -79,11 +80,11 @@ class Items:
     offsets: dict[int, np.ndarray] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, rows: list[tuple[object, str]], rate: float) -> Items:
-        found = plain_words(pa.array([t for _, t in rows], pa.string()))
+    def of(cls, rows: list[tuple[object, str, int]], rate: float) -> Items:
+        found = plain_words(pa.array([t for _, t, _ in rows], pa.string()))
         text, hashes = found.raw.tobytes(), found.hashes()
         items, pieces = cls([], [], []), {}
-        for k, (item, _) in enumerate(rows):
+        for k, (item, _, times) in enumerate(rows):
             a, b = int(found.first[k]), int(found.first[k + 1])
             if a == b:
                 continue
@@ -92,6 +93,7 @@ class Items:
             for low, high in zip(cuts, cuts[1:]):
                 pieces.setdefault(high - low, []).append((W.gram_hashes(hashes[low:high], high - low)[0], len(items.ids), low - a))
             items.ids.append(item)
+            items.times.append(times)
             items.words.append([text[x:y] for x, y in zip(found.starts[a:b].tolist(), found.ends[a:b].tolist())])
             items.budgets.append(budget)
         for size, own in sorted(pieces.items()):
@@ -145,8 +147,9 @@ class Items:
 
 
 def item_blocks(items: DataFrame, item_col: str, item_text: str, rate: float, at_once: int) -> Iterator[Broadcast]:
-    """All items in blocks of about ``at_once``; only one block passes through the driver at a time."""
+    """All distinct items, with how often each comes, in blocks of about ``at_once``; only one block passes through the driver at a time."""
     wanted = items.select(F.col(item_col).alias("item"), F.col(item_text).alias("text")).where(F.length("text") > 0)
+    wanted = materialize(wanted.groupBy("item", "text").agg(F.count("*").alias("times")), "items")
     blocks = max(1, -(-wanted.count() // at_once))
     for block in range(blocks):
         rows = wanted.where(F.pmod(F.xxhash64("text", "item"), F.lit(blocks)) == block).collect()
@@ -166,7 +169,7 @@ def benchmark_matches(
 
     An item is cut into budget + 1 pieces, one of which any such stretch holds
     intact; rolling hashes find pieces in whole texts, and each place found is
-    verified by Myers' bit-parallel distance. Rows stay where they are; items
+    verified by Myers' bit-parallel distance. Rows stay where they are; distinct items
     travel to them in blocks of ``at_once``, one pass for each block, so memory is
     bounded however many items there are.
 
@@ -174,7 +177,7 @@ def benchmark_matches(
     items give repeated matches. Other columns are not looked at.
     """
     kind, item_kind = (df.schema[c].dataType.simpleString() for df, c in ((docs, id_col), (items, item_col)))
-    schema = f"`{id_col}` {kind}, `{item_col}` {item_kind}, distance int, n_words int, last_word int"
+    schema = f"`{id_col}` {kind}, `{item_col}` {item_kind}, distance int, n_words int, last_word int, __times long"
     texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")).where(F.length("__text") > 0)
 
     def scan(shared: Broadcast) -> DataFrame:
@@ -186,11 +189,13 @@ def benchmark_matches(
             names = pa.array([own.ids[k] for k in item], ARROW.get(item_kind, pa.string()))
             ids = batch.column("__id").take(pa.array(row, pa.int64()))
             rest = (pa.array(x, pa.int32()) for x in (distance, size, last))
-            return pa.RecordBatch.from_arrays([ids, names, *rest], [id_col, item_col, "distance", "n_words", "last_word"])
+            times = pa.array([own.times[k] for k in item], pa.int64())
+            return pa.RecordBatch.from_arrays([ids, names, *rest, times], [id_col, item_col, "distance", "n_words", "last_word", "__times"])
 
         return map_batches(texts, run, schema, "__text")
 
-    return reduce(DataFrame.union, map(scan, item_blocks(items, item_col, item_text, rate, at_once)))
+    found = reduce(DataFrame.union, map(scan, item_blocks(items, item_col, item_text, rate, at_once)))
+    return found.withColumn("__times", F.explode(F.array_repeat(F.lit(True), F.col("__times").cast("int")))).drop("__times")
 
 
 def without_benchmarks(

@@ -76,3 +76,14 @@ def test_columns_and_empty_tables(spark):
     assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]
     assert D.benchmark_matches(docs.limit(0), items).count() == 0 and D.benchmark_matches(docs, items.limit(0)).count() == 0
     assert D.without_benchmarks(docs, items.limit(0)).count() == 2
+
+
+def test_repeated_items_travel_once(spark):
+    text = "one two three four five six"
+    items = spark.createDataFrame([(1, text)] * 40 + [(2, text + " seven")], "item_id long, text string")
+    blocks = [b.value for b in D.item_blocks(items, "item_id", "text", 0.2, 4)]
+    assert sorted((i, n) for b in blocks for i, n in zip(b.ids, b.times)) == [(1, 40), (2, 1)]
+    docs = spark.createDataFrame([(7, f"so {text} go")], "doc_id long, text string")
+    found = D.benchmark_matches(docs, items, at_once=4)
+    assert found.columns == ["doc_id", "item_id", "distance", "n_words", "last_word"]
+    assert sorted(r.item_id for r in found.collect()) == [1] * 40 + [2]
