@@ -5,11 +5,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from moodtide.llm.license_blocks import FILES, HEADERS, OPENINGS
+
 # (license, text) of headers and of the first lines of licence files.
 TEMPLATES = (
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -25,6 +28,9 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0 Universal."),
 )
+RESERVED = "(all rights reserved)"
+TEMPLATES = (*TEMPLATES, (RESERVED, "All rights reserved."))
+SPDX = r"SPDX-License-Identifier:[ \t]*([A-Za-z0-9.+()-]+(?:[ \t]+(?:AND|OR|WITH)[ \t]+[A-Za-z0-9.+()-]+)*)"
 COSINE = 0.8
 ROOT = "/"
 
@@ -60,8 +66,39 @@ class Templates:
         return cls(idf, weigh(0), vectors)
 
 
-def similar_lines(docs: DataFrame, key: Sequence[str], text: str, known: Templates, cosine: float) -> DataFrame:
-    """(*key, whole, license, cosine) of every line, and every whole text, of cosine at least ``cosine`` to a template."""
+def lines_of(text: Column) -> Column:
+    """(line, tokens) of every line, and as line -1 of the whole text."""
+    lines = F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), tokens(x).alias("tokens")))
+    return F.concat(lines, F.array(F.struct(F.lit(-1).alias("line"), tokens(text).alias("tokens"))))
+
+
+def windows_of(text: Column, sizes: Sequence[int], opening: bool) -> Column:
+    """(line, tokens) of the next n tokens from every line on, for each n of ``sizes``, and as line -1 of the whole text.
+
+    If ``opening``, of the first n tokens of the text only, as lines below 0.
+    """
+    every = tokens(text)
+    whole = F.array(F.struct(F.lit(-1).alias("line"), every.alias("tokens")))
+    if opening:
+        first = [F.struct(F.lit(-1 - k).alias("line"), F.slice(every, 1, n).alias("tokens")) for k, n in enumerate(sizes, 1)]
+        return F.concat(whole, F.array(*first))
+    counts = F.transform(F.split(text, "\n"), lambda x: F.size(tokens(x)))
+    start = lambda i, own: F.aggregate(F.slice(own, F.lit(1), i), F.lit(0), lambda a, n: a + n) + 1
+    # Bound as lambda variables, tokens and counts are found once.
+    each = lambda own: F.transform(
+        own["counts"],
+        lambda n, i: F.array(
+            *(F.struct((i * len(sizes) + k).alias("line"), F.slice(own["every"], start(i, own["counts"]), size).alias("tokens")) for k, size in enumerate(sizes))
+        ),
+    )
+    windows = F.flatten(F.flatten(F.transform(F.array(F.struct(every.alias("every"), counts.alias("counts"))), each)))
+    return F.concat(windows, whole)
+
+
+def similar_units(
+    docs: DataFrame, key: Sequence[str], text: str, known: Templates, cosine: float, units_of: Callable[[Column], Column] = lines_of
+) -> DataFrame:
+    """(*key, whole, license, cosine) of every unit (a line, by default), and every whole text, of cosine at least ``cosine`` to a template."""
     spark = docs.sparkSession
     vocabulary = spark.createDataFrame(sorted(known.idf.items()), "token string, idf double")
     vectors = spark.createDataFrame(
@@ -77,11 +114,7 @@ def similar_lines(docs: DataFrame, key: Sequence[str], text: str, known: Templat
         return F.exists(F.array(F.array_intersect(held, words)), enough)
 
     held = docs.select(*key, text).where(near(tokens(F.col(text))))
-    lines = F.concat(
-        F.transform(F.split(text, "\n"), lambda x, i: F.struct(i.alias("line"), tokens(x).alias("tokens"))),
-        F.array(F.struct(F.lit(-1).alias("line"), tokens(F.col(text)).alias("tokens"))),
-    )
-    units = held.select(*key, F.explode(lines).alias("u")).select(*key, "u.line", "u.tokens").where(near(F.col("tokens")))
+    units = held.select(*key, F.explode(units_of(F.col(text))).alias("u")).select(*key, "u.line", "u.tokens").where(near(F.col("tokens")))
     counted = units.select(*key, "line", F.explode("tokens").alias("token")).groupBy(*key, "line", "token").agg(F.count("*").alias("n"))
     weighed = counted.join(F.broadcast(vocabulary), "token", "left").withColumn("x", F.col("n") * F.coalesce("idf", F.lit(known.unseen)))
     norms = weighed.groupBy(*key, "line").agg(
@@ -92,7 +125,20 @@ def similar_lines(docs: DataFrame, key: Sequence[str], text: str, known: Templat
     dots = norms.select(*key, "line", "norm", F.explode("own").alias("o")).join(F.broadcast(vectors), F.col("o.token") == F.col("token"))
     scores = dots.groupBy(*key, "line", "license").agg((F.sum(F.col("o.x") * F.col("weight")) / F.first("norm")).alias("cosine"))
     rounded = F.round("cosine", 6)
-    return scores.select(*key, (F.col("line") == -1).alias("whole"), "license", rounded.alias("cosine")).where(F.col("cosine") >= cosine)
+    return scores.select(*key, (F.col("line") < 0).alias("whole"), "license", rounded.alias("cosine")).where(F.col("cosine") >= cosine)
+
+
+def similar_blocks(docs: DataFrame, key: Sequence[str], text: str, cosine: float) -> DataFrame:
+    """As ``similar_units``, of neighbouring lines and whole texts with FILES, of neighbouring lines with HEADERS, of how texts open with OPENINGS, and of SPDX tags."""
+    out = []
+    for given, opening in ((FILES + HEADERS, False), (OPENINGS, True)):
+        known = Templates.of([(f"{name}#{k}", x) for k, (name, x) in enumerate(given)])
+        sizes = sorted({len(tokens_of(x)) for _, x in given})
+        found = similar_units(docs, key, text, known, cosine, lambda t, n=sizes, o=opening: windows_of(t, n, o))
+        of_file = F.lit(opening) | (F.substring_index("license", "#", -1).cast("int") < len(FILES))
+        out.append(found.where(~F.col("whole") | of_file).withColumn("license", F.substring_index("license", "#", 1)))
+    tags = docs.where(F.col(text).contains("SPDX-License-Identifier:")).select(*key, F.explode(F.regexp_extract_all(text, F.lit(SPDX), F.lit(1))).alias("license"))
+    return reduce(DataFrame.union, [*out, tags.select(*key, F.lit(False).alias("whole"), "license", F.lit(1.0).alias("cosine"))])
 
 
 def parent(path: Column) -> Column:
@@ -115,11 +161,13 @@ def scan_licenses(
 
     Every line and every whole text is compared with ``templates`` by cosine of
     TF-IDF vectors (tokens are runs of a-z0-9 in lower case; idf over the
-    templates, tokens in none weigh most). A row whose whole text is similar is a
-    licence file and stands for its directory; one with a similar line has a
-    header; any other inherits from the licence file in the nearest directory at
+    templates, tokens in none weigh most). So are whole texts, and from every line on
+    as many tokens as a block has, with FILES and (not whole texts) HEADERS, and the
+    first tokens of a text with OPENINGS of long licence files; an SPDX tag names its licence. A row
+    whose whole text or opening is similar is a licence file and stands for its
+    directory; one with a similar line or block has a header; any other inherits from the licence file in the nearest directory at
     or above its own, distance counting the steps up. Of several, the highest
-    cosine (6 decimals) wins, then the last license by name.
+    cosine (6 decimals) wins, then the last license by name; RESERVED only if alone.
 
     The tokens that a text shares with a template bound its cosine; texts and lines
     that cannot reach ``cosine`` are left out before anything is counted, nothing
@@ -136,13 +184,14 @@ def scan_licenses(
     rows = docs.select(F.col(id_col).alias("id"), path.alias("path"), F.col(text_col).alias("text"))
     rows = rows.withColumns({"h": F.xxhash64("text"), "dir": F.when(F.col("path").isNotNull(), parent(F.concat(F.lit(ROOT), "path")))})
     keys = ["id", "path", "h"]
-    lines = similar_lines(rows, keys, "text", known, cosine)
-    top = lambda whole: F.max(F.when(F.col("whole") == whole, F.struct("cosine", "license")))
+    lines = similar_units(rows, keys, "text", known, cosine).union(similar_blocks(rows, keys, "text", cosine))
+    rank = F.struct((F.col("license") != RESERVED).alias("named"), "cosine", "license")
+    top = lambda whole: F.max(F.when(F.col("whole") == whole, rank))
     own = lines.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(top(True).alias("file"), top(False).alias("header"))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     marked = rows.drop("text").join(own, same, "left").drop(*(f"_{k}" for k in keys))
     files = own.where("file is not null").select(
-        parent(F.concat(F.lit(ROOT), "_path")).alias("above"), F.struct(F.col("file.cosine"), F.col("file.license")).alias("file")
+        parent(F.concat(F.lit(ROOT), "_path")).alias("above"), "file"
     )
     licensed = files.where("above is not null").groupBy("above").agg(F.max("file").alias("from"))
     reach = rows.select("dir").where("dir is not null").distinct().select("dir", F.explode(ancestors(F.col("dir"))).alias("a"))

@@ -80,3 +80,55 @@ def test_native_and_empty(spark, plan_of):
     assert "Python" not in plan_of(out) and "Arrow" not in plan_of(out)
     assert tuple(out.first()) == (1, "a/b", "MIT", 1.0, "file", None)
     assert L.scan_licenses(df.limit(0), F.col("where")).count() == 0
+
+
+APACHE = """# Copyright 2020 The Authors
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+int main() { return 0; }
+"""
+GPL = """// This program is free software: you can redistribute it and/or modify
+// it under the terms of the GNU General Public License as published by
+// the Free Software Foundation, either version 3 of the License, or
+// (at your option) any later version.
+int x;
+"""
+GPL_FILE = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+""" + "  The licenses for most software are designed to take away your freedom to share.\n" * 50
+
+
+def test_licence_files_and_wrapped_headers(spark):
+    mit = "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + L.FILES[0][1].split("\n", 1)[1].replace(". ", ".\n\n")
+    rows = [
+        (1, mit, "m/LICENSE"), (2, "print(1)", "m/src/a"), (3, APACHE, "m/src/b"), (4, MPL, "c"), (5, GPL, "d"), (6, GPL_FILE, "g/COPYING"), (7, "x", "g/y"),
+        (8, "# SPDX-License-Identifier: GPL-2.0-only OR MIT\ncode", "e"), (9, "Copyright 2001 X\nAll rights reserved.\n", "f"),
+        (10, APACHE + "All rights reserved.\n", "h"), (11, "plain text of no licence", "i"),
+    ]
+    got = {r.doc_id: (r.license, r.found) for r in L.scan_licenses(spark.createDataFrame(rows, SCHEMA), F.col("where")).collect()}
+    assert got == {
+        1: ("MIT", "file"), 2: ("MIT", "inherited"), 3: ("Apache-2.0", "header"), 4: ("MPL-2.0", "header"), 5: ("GPL-3.0", "header"),
+        6: ("GPL-3.0", "file"), 7: ("GPL-3.0", "inherited"), 8: ("GPL-2.0-only OR MIT", "header"), 9: (L.RESERVED, "header"),
+        10: ("Apache-2.0", "header"), 11: (None, None),
+    }
