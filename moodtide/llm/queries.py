@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from moodtide.llm import bpe, chat, decontaminate, embeddings, langid, licenses, simhash, substrings, token_counts, urls
+from moodtide.llm import bpe, chat, decontaminate, embeddings, importance, langid, licenses, one_bit, simhash, substrings, token_counts, urls, vector_codes
 from moodtide.llm.frames import read_table
+from moodtide.llm.twins import codes_twin, nearest_twin, resample_twin
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return one_bit.nearest(vectors.where(F.col("vec_id") % 20 == 0), vectors)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_bpe": op2_bpe,
@@ -79,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 def url_twin() -> str:
@@ -232,4 +249,7 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
                sha256(coalesce(text, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (r)""",
+    "op11_nearest_neighbours": nearest_twin(),
+    "op12_importance_resampling": resample_twin(),
+    "op13_vector_codes": codes_twin(),
 }
