@@ -24,7 +24,7 @@ from moodtide.operators import (
 from moodtide.plans import guidance
 from moodtide.schemas import GOLD_POSTS, GOLD_POSTS_REQUIRED, GOLD_WEEKLY, GOLD_WEEKLY_REQUIRED, SILVER
 from moodtide.session import materialize, scratch_dir
-from moodtide.sources import landing, layers, payloads as cache
+from moodtide.sources import landing, layers, payloads as cache, split_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,7 +97,7 @@ def _write_corpus(spark: SparkSession, sf_dir: str, single: bool = False) -> str
     "SELECT post_id, subreddit, nullif(author, '') AS author, created_date, post, period, source_file FROM bronze",
 )
 def csv_landing(spark, sf_dir):
-    return landing.land_csv(spark, _write_corpus(spark, sf_dir)).drop("ingested_at")
+    return split_csv.land(spark, _write_corpus(spark, sf_dir)).drop("ingested_at")
 
 
 @query(

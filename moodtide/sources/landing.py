@@ -66,8 +66,8 @@ def land_csv(spark: SparkSession, *paths: str, ingested_at: Column | None = None
     """Corpus CSV files as Bronze rows.
 
     Files are read by header, all strings; selecting the four raw columns lets
-    the parser skip the hundreds of feature columns. One task parses one file,
-    so write Bronze out (``write_bronze``) before working on it.
+    the parser skip the hundreds of feature columns. One task parses one file;
+    ``split_csv.land`` reads large ones by many tasks.
     """
     raw = csv_reader(spark.read).csv(list(paths))
     return to_bronze(raw, file_path(), ingested_at)
