@@ -148,8 +148,8 @@ def require_files(wanted: DataFrame, listing: DataFrame) -> DataFrame:
 def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
     """Path, name, size and MD5 of every file, empty ones included.
 
-    One task hashes one file's content, which must fit into a cell (2 GB); corpus
-    files are far below that, larger ones are folders of part files.
+    One task hashes one file's content, which must fit into a cell (2 GB); larger
+    corpus files are folders of part files of bounded size (see ``digest_roots``).
     """
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
     hashed = found.select("path", F.md5("content").alias("md5"))
@@ -158,6 +158,64 @@ def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
     return listed.select("path", "name", "length", F.coalesce("md5", nothing).alias("md5"))
 
 
+def part_digests(files: DataFrame) -> DataFrame:
+    """key, part, length, md5 of each of ``file_digests``: the corpus file, and the name below it (its own if it is one file)."""
+    key = source_name(F.col("path"))
+    below = F.call_function("substring_index", F.col("path"), F.concat(key, F.lit("/")), F.lit(-1))
+    part = F.when(F.col("path").endswith(F.concat(F.lit("/"), key)), key).otherwise(below)
+    return files.select(key.alias("key"), part.alias("part"), "length", "md5").where("key <> ''")
+
+
+def digest_roots(parts: DataFrame) -> DataFrame:
+    """key, n_parts, length, md5 of each corpus file: one digest over those of its parts.
+
+    A plain file keeps its own MD5, the one that an archive publishes. A folder's is
+    the root of a tree: parts are dealt to 4,096 inner nodes by a hash of their
+    names, a node digests its parts' names, lengths and MD5s in order of names, the
+    root the nodes in their order. So no content becomes one cell, and no list is
+    longer than a 4,096th of the parts.
+    """
+    own = F.concat_ws(":", "part", "length", "md5")
+    nodes = parts.groupBy("key", F.substring(F.md5("part"), 1, 3).alias("node")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("length").alias("length"),
+        F.md5(F.array_join(F.array_sort(F.collect_list(own)), "\n")).alias("digest"),
+        F.max(F.when(F.col("part") == F.col("key"), F.col("md5"))).alias("plain"),
+    )
+    tree = F.md5(F.array_join(F.array_sort(F.collect_list(F.concat("node", F.lit(":"), "digest"))), "\n"))
+    plain = F.when(F.sum("n") == 1, F.max("plain"))
+    return nodes.groupBy("key").agg(
+        F.sum("n").alias("n_parts"), F.sum("length").alias("length"), F.coalesce(plain, tree).alias("md5")
+    )
+
+
+def verify_parts(parts: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Each corpus file of a manifest of parts: key, status (verified, mismatch or missing) and the parts that differ.
+
+    Roots are compared first; only files whose roots differ are looked into. ``changed``,
+    ``lost`` and ``added`` count their parts. Where they are: ``changed_parts``.
+    """
+    ours, theirs = digest_roots(parts), digest_roots(manifest).withColumnRenamed("md5", "wanted")
+    status = (
+        F.when(F.col("md5").isNull(), "missing").when(F.col("md5") == F.col("wanted"), "verified").otherwise("mismatch")
+    )
+    roots = theirs.select("key", "wanted").join(ours.select("key", "md5"), "key", "left").withColumn("status", status)
+    counts = changed_parts(parts, manifest, roots.where("status = 'mismatch'").select("key")).groupBy("key").agg(
+        *[F.count_if(F.col("change") == c).alias(c) for c in ("changed", "lost", "added")]
+    )
+    zero = {c: F.coalesce(c, F.lit(0)) for c in ("changed", "lost", "added")}
+    return roots.select("key", "status").join(counts, "key", "left").withColumns(zero)
+
+
+def changed_parts(parts: DataFrame, manifest: DataFrame, keys: DataFrame) -> DataFrame:
+    """key, part, change (changed, lost or added) of the parts of ``keys`` that differ from the manifest."""
+    ours = parts.join(keys, "key", "left_semi").select("key", "part", F.struct("length", "md5").alias("ours"))
+    theirs = manifest.join(keys, "key", "left_semi").select("key", "part", F.struct("length", "md5").alias("theirs"))
+    change = F.when(F.col("ours").isNull(), "lost").when(F.col("theirs").isNull(), "added").otherwise("changed")
+    both = ours.join(theirs, ["key", "part"], "full").where(~F.col("ours").eqNullSafe(F.col("theirs")))
+    return both.select("key", "part", change.alias("change"))
+
+
 def verify_checksums(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Each manifest entry (key, md5): verified, mismatch or missing."""
     actual = files.select("key", F.col("md5").alias("actual"))

@@ -2,6 +2,8 @@
 
 import datetime as dt
 import hashlib
+import os
+from collections import defaultdict
 
 import pytest
 from pyspark.errors import PySparkException
@@ -268,6 +270,51 @@ def test_empty_files_are_listed(spark, tmp_path):
     assert {r["md5"] for r in landing.file_digests(spark, str(tmp_path)).where("length = 0").collect()} == {hashlib.md5(b"").hexdigest()}
 
 
+@pytest.fixture
+def hot_corpus(spark, tmp_path):
+    """Three corpus files as folders of part files of 50 rows; the first holds a third of all rows and more."""
+    rows = spark.range(3000).selectExpr("id", "concat('text ', id) AS post", "CASE WHEN id % 3 = 0 THEN 'hot_pre_posts.csv' ELSE concat('c', id % 7, '_pre_posts.csv') END AS source_file")
+    path = str(tmp_path / "corpus")
+    rows.repartition(4).write.partitionBy("source_file").option("maxRecordsPerFile", 50).option("header", True).csv(path)
+    return path
+
+
+def test_roots_of_part_files(spark, hot_corpus, tmp_path, plan_of):
+    parts = landing.part_digests(landing.file_digests(spark, hot_corpus)).where("part LIKE '%.csv'")
+    roots = {r["key"]: r for r in landing.digest_roots(parts).collect()}
+    assert len(roots) == 8 and roots["hot_pre_posts.csv"]["n_parts"] >= 20
+    leaves = defaultdict(list)
+    for r in parts.where("key = 'hot_pre_posts.csv'").collect():
+        leaves[hashlib.md5(r["part"].encode()).hexdigest()[:3]].append(f"{r['part']}:{r['length']}:{r['md5']}")
+    inner = sorted(f"{n}:{hashlib.md5(chr(10).join(sorted(x)).encode()).hexdigest()}" for n, x in leaves.items())
+    assert roots["hot_pre_posts.csv"]["md5"] == hashlib.md5("\n".join(inner).encode()).hexdigest()
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a_pre_posts.csv").write_bytes(b"x,y\n")
+    plain = landing.digest_roots(landing.part_digests(landing.file_digests(spark, str(tmp_path / "plain")))).first()
+    assert (plain["key"], plain["n_parts"], plain["md5"]) == ("a_pre_posts.csv", 1, hashlib.md5(b"x,y\n").hexdigest())
+
+
+def test_a_flipped_byte_in_one_part_is_found(spark, hot_corpus):
+    read = lambda: landing.part_digests(landing.file_digests(spark, hot_corpus)).where("part LIKE '%.csv'")
+    stored = spark.createDataFrame(read().collect(), read().schema)
+    assert {r["status"] for r in landing.verify_parts(read(), stored).collect()} == {"verified"}
+    folder = f"{hot_corpus}/source_file=hot_pre_posts.csv"
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".csv"))
+    with open(f"{folder}/{files[3]}", "r+b") as f:
+        f.seek(20)
+        byte = f.read(1)
+        f.seek(20)
+        f.write(bytes([byte[0] ^ 1]))
+    os.remove(f"{folder}/{files[5]}")
+    os.remove(f"{folder}/.{files[3]}.crc")
+    open(f"{hot_corpus}/source_file=c1_pre_posts.csv/part-new.csv", "w").write("x")
+    got = {r["key"]: tuple(r)[1:] for r in landing.verify_parts(read(), stored).collect()}
+    assert got.pop("hot_pre_posts.csv") == ("mismatch", 1, 1, 0) and got.pop("c1_pre_posts.csv") == ("mismatch", 0, 0, 1)
+    assert set(got.values()) == {("verified", 0, 0, 0)}
+    keys = spark.createDataFrame([("hot_pre_posts.csv",)], "key string")
+    assert {(r["part"], r["change"]) for r in landing.changed_parts(read(), stored, keys).collect()} == {(files[3], "changed"), (files[5], "lost")}
+
+
 def test_digests_and_manifest(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"x" * 3_000_000)
     (tmp_path / "b %b.csv").write_bytes(b"y")
