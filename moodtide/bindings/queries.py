@@ -14,6 +14,7 @@ from moodtide.operators import (
     corpus,
     gold,
     metrics,
+    pivots,
     quality,
     retrieval,
     scoring,
@@ -1231,7 +1232,8 @@ _RANK = "row_number() OVER (PARTITION BY query_id ORDER BY {s} DESC, doc_id)"
         QUALIFY {_RANK.format(s='cosine')} <= 5""",
 )
 def topk_retrieval(spark, sf_dir):
-    return rounded(retrieval.top_k(_topic_queries(spark, sf_dir), V.passages(spark, sf_dir), 5))
+    """By the stored index of pivots, which skips most documents; ``topk_by_topic`` compares all of a topic."""
+    return rounded(pivots.search(_topic_queries(spark, sf_dir), pivots.build(V.passages(spark, sf_dir)), 5))
 
 
 @query(
@@ -1316,7 +1318,7 @@ def retrieval_eval(spark, sf_dir):
     queries, docs = _topic_queries(spark, sf_dir), V.passages(spark, sf_dir)
     backends = ["cosine", "euclidean"]
     runs = [
-        retrieval.top_k(queries, docs, 10, kind).withColumn("backend", F.lit(kind))
+        pivots.search(queries, pivots.build(docs, kind), 10).withColumn("backend", F.lit(kind))
         for kind in backends
     ]
     evaluation = retrieval.evaluate(

@@ -7,7 +7,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HITS = "query_id bigint, doc_id bigint, score double"
 SIMILARITIES = ("cosine", "dot", "euclidean")
@@ -65,10 +65,26 @@ def _merged(scores: np.ndarray, ids: np.ndarray, more_scores: np.ndarray, more_i
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """The vectors of a batch lie one after the other in a single buffer."""
+def usable(name: str) -> Column:
+    """Whether a vector can be compared: not null, and no null or non-finite component."""
+    vector = F.col(name)
+    fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(fine, F.lit(False))
+
+
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of a batch as doubles, shorter ones filled up with zeros, longer ones cut."""
+    size = column.value_lengths().to_numpy()
     flat = column.flatten().to_numpy(zero_copy_only=False)
-    return flat.astype("float64").reshape(len(column), -1)
+    if len(size) and (size == dim).all():
+        return flat.astype("float64").reshape(len(column), dim)
+    out = np.zeros((len(column), max(dim, int(size.max(initial=0)))))
+    out[np.arange(out.shape[1]) < size[:, None]] = flat
+    return out[:, :dim]
+
+
+def _widest(column: pa.Array, dim: int) -> int:
+    return max(dim, int(column.value_lengths().to_numpy().max(initial=0)))
 
 
 def _keep_best(hits: DataFrame, k: int) -> DataFrame:
@@ -92,12 +108,16 @@ def top_k(
     Documents stay where they are, none is copied or shuffled: queries travel to
     them in blocks of ``at_once``, one pass over the documents for each block. A
     task keeps the k best of each query and compares by matrix product.
+
+    Queries and documents whose vector is null or holds null or non-finite components
+    take no part; shorter vectors count as filled up with zeros. ``pivots`` has a
+    stored index that skips most documents.
     """
     if kind not in SIMILARITIES:
         raise ValueError(f"unknown similarity {kind!r}; known: {SIMILARITIES}")
     extra = ["topic"] if by_topic else []
-    queries = queries.select("query_id", "embedding", *extra)
-    docs = docs.select("doc_id", "embedding", *extra)
+    queries = queries.select("query_id", "embedding", *extra).where(usable("embedding"))
+    docs = docs.select("doc_id", "embedding", *extra).where(usable("embedding"))
     blocks = max(1, -(-queries.count() // at_once))
     hits = []
     for block in range(blocks):
@@ -112,7 +132,7 @@ def _scan(docs: DataFrame, rows: pa.Table, k: int, kind: str, by_topic: bool) ->
     n = rows.num_rows
     columns = [rows.column(c).combine_chunks() if n else None for c in rows.column_names]
     ids = columns[0].to_numpy() if n else np.zeros(0, np.int64)
-    vectors = _matrix(columns[1]) if n else np.zeros((0, 0))
+    vectors = matrix(columns[1], _widest(columns[1], 0)) if n else np.zeros((0, 0))
     topics = columns[2].to_numpy(zero_copy_only=False) if n and by_topic else None
     shared = docs.sparkSession.sparkContext.broadcast((ids, vectors, topics))
 
@@ -122,7 +142,9 @@ def _scan(docs: DataFrame, rows: pa.Table, k: int, kind: str, by_topic: bool) ->
         for batch in batches:
             if not batch.num_rows or not len(ids):
                 continue
-            doc_ids, doc_vectors = batch.column("doc_id").to_numpy(), _matrix(batch.column("embedding"))
+            wide = _widest(batch.column("embedding"), vectors.shape[1])
+            vectors = np.pad(vectors, ((0, 0), (0, wide - vectors.shape[1])))
+            doc_ids, doc_vectors = batch.column("doc_id").to_numpy(), matrix(batch.column("embedding"), wide)
             if topics is None:
                 pairs = [(slice(None), slice(None))]
             else:
