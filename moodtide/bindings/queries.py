@@ -967,10 +967,19 @@ def append_scores(spark, sf_dir):
     return scoring.append_scores(_earlier_scores(posts), fresh.select(*reversed(fresh.columns)))
 
 
-@query("hash_intersection", "SELECT author_hash FROM silver WHERE author_hash IS NOT NULL INTERSECT SELECT author FROM bronze")
+@query(
+    "hash_intersection",
+    f"""SELECT 'silver' AS layer, author_hash FROM
+            (SELECT author_hash FROM silver WHERE author_hash IS NOT NULL INTERSECT SELECT author FROM bronze)
+        UNION ALL SELECT 'leaky', author_hash FROM
+            (SELECT {_LEAK} AS author_hash FROM bronze WHERE author <> '' INTERSECT SELECT author FROM bronze)""",
+)
 def hash_intersection(spark, sf_dir):
-    """Empty when the layer is clean."""
-    return sv.leaked_hashes(V.silver(spark, sf_dir), sv.distinct_authors(V.bronze(spark, sf_dir)))
+    """Of a clean layer, where it is empty, and of one in which an author was not hashed."""
+    authors = sv.distinct_authors(V.bronze(spark, sf_dir))
+    of = {"silver": V.silver(spark, sf_dir), "leaky": _leaky(spark, sf_dir)}
+    found = [sv.leaked_hashes(layer, authors).select(F.lit(name).alias("layer"), "author_hash") for name, layer in of.items()]
+    return found[0].union(found[1])
 
 
 @query("distinct_authors", "SELECT DISTINCT author FROM bronze WHERE author IS NOT NULL")
