@@ -13,6 +13,7 @@ from moodtide.functions import dates, text as T
 from moodtide.operators import (
     corpus,
     gold,
+    lexicon,
     metrics,
     pivots,
     quality,
@@ -1010,6 +1011,20 @@ def lexicon_count_hits(spark, sf_dir):
     )
 
 
+_LISTS = {"acute": T.ACUTE_PHRASES, "severe": T.SEVERE_TERMS, "first": T.FIRST_PERSON, "negation": T.NEGATION, "rude": V.NEGATIVE, "kind": V.POSITIVE}
+
+
+@query(
+    "lexicon_scan",
+    "SELECT doc_id, "
+    + ", ".join(f"CAST({S.distinct_hits('text', t)} AS BIGINT) AS {n}_distinct, CAST({S.count_hits('text', t)} AS BIGINT) AS {n}_count" for n, t in _LISTS.items())
+    + " FROM documents",
+)
+def lexicon_scan(spark, sf_dir):
+    """All lists in one pass over the texts."""
+    return lexicon.lexicon_hits(V.table(spark, sf_dir, "documents").select("doc_id", "text"), _LISTS).drop("text")
+
+
 @query("weak_labels", "SELECT * FROM weak")
 def weak_labels(spark, sf_dir):
     return V.labels(spark, sf_dir)

@@ -38,8 +38,8 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_plans_stay_in_the_jvm(spark, plan_of, name):
-    """Python only behind the pluggable scorer and the vector search; no cross joins."""
-    batches = {"score_posts_batched", "topk_retrieval", "topk_by_topic", "retrieval_eval", "retrieval_passages"}
+    """Python only behind the pluggable scorer, the vector search and the automaton of all lexicons; no cross joins."""
+    batches = {"lexicon_scan", "score_posts_batched", "topk_retrieval", "topk_by_topic", "retrieval_eval", "retrieval_passages"}
     plan = plan_of(driver.queries()[name](spark, SF_DIR))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     if name not in batches:
