@@ -23,7 +23,7 @@ from moodtide.operators import (
     silver as sv,
     trends,
 )
-from moodtide.plans import guidance
+from moodtide.plans import guidance, weekly_state
 from moodtide.schemas import GOLD_POSTS, GOLD_POSTS_REQUIRED, GOLD_WEEKLY, GOLD_WEEKLY_REQUIRED, SILVER
 from moodtide.session import materialize, scratch_dir
 from moodtide.sources import landing, layers, payloads as cache, split_csv
@@ -1201,6 +1201,20 @@ def refresh_gold(spark, sf_dir):
     return rounded(weekly)
 
 
+@query("incremental_weekly", WEEKLY_SQL)
+def incremental_weekly(spark, sf_dir):
+    """All orders in three batches, the last of late ones, scores for some weeks afterwards: as if rolled up at once."""
+    posts, root = V.scored_posts(spark, sf_dir), scratch_dir(spark, "weekly-state")
+    key = F.col("post_id").cast("long")
+    late, cut = key % 10 == 3, F.col("week") >= dt.date(1998, 1, 5)
+    unscored = posts.withColumn("sentiment_score", F.when(F.col("week") < WEEKS[0], F.lit(None).cast("double")).otherwise(F.col("sentiment_score")))
+    for name, chosen in (("first", ~cut & ~late), ("second", cut & ~late), ("late", late)):
+        weekly_state.add_batch(unscored.where(chosen), root, name, span="year")
+    scores = posts.where(F.col("week") < WEEKS[0]).select("post_id", "sentiment_score", "sentiment_label")
+    weekly_state.rescore(spark, root, scores, gold.SENTIMENT_COLUMNS)
+    return rounded(weekly_state.read_weekly(spark, root))
+
+
 # --- guidance corpus --------------------------------------------------------------
 
 
