@@ -591,6 +591,24 @@ def apply_scores(spark, sf_dir):
     )
 
 
+@query(
+    "bucketed_merge",
+    f"""SELECT g.post_id, subreddit, week, n_words, s.sentiment_score, s.sentiment_label
+       FROM gold_posts g LEFT JOIN (SELECT * FROM lexicon_scores WHERE post_id IN ({_DONE})) s USING (post_id)""",
+)
+def bucketed_merge(spark, sf_dir):
+    """The score merge on two tables bucketed by post: neither is shuffled."""
+    silver = V.stored_silver(spark, sf_dir)
+    stored = {}
+    for name, df in {"posts": gold.gold_posts(silver), "scores": _earlier_scores(silver)}.items():
+        path = scratch_dir(spark, f"bucketed-{name}")
+        table = path.rsplit("/", 1)[1].replace("-", "_")
+        layers.save_bucketed(df, table, buckets=16, path=path)
+        stored[name] = spark.table(table)
+    merged = gold.apply_scores(stored["posts"], stored["scores"], gold.SENTIMENT_COLUMNS)
+    return merged.select("post_id", "subreddit", "week", "n_words", "sentiment_score", "sentiment_label")
+
+
 @query(
     "features_join",
     f"""SELECT g.post_id, coalesce(s.sentiment_score, 0.0) AS sentiment_score
@@ -1431,6 +1449,30 @@ def dq_layers(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+_BOUNDS = {"silver": {}, "gold_posts": {"n_words": (2, 900)}, "weekly": {"crisis_rate": (0.0, 0.4)}}
+_KNOWN = {"silver": {"subreddit": SOURCES[:10]}, "gold_posts": {}, "weekly": {"subreddit": V.COMMUNITIES[:3]}}
+
+
+@query(
+    "dq_on_write",
+    " UNION ALL ".join(
+        [f"SELECT '{t}' AS layer, '*' AS \"column\", 'rows' AS test, count(*) AS failures FROM {t}" for t in _LAYERS]
+        + [f"SELECT '{t}', '{c}', 'not_null', count(*) FILTER ({c} IS NULL) FROM {t}" for t, columns in _NEVER_NULL.items() for c in columns]
+        + [f"SELECT '{t}', '{c}', 'bounds', count(*) FILTER ({c} NOT BETWEEN {low} AND {high}) FROM {t}" for t, b in _BOUNDS.items() for c, (low, high) in b.items()]
+        + [f"SELECT '{t}', '{c}', 'accepted', count(*) FILTER ({c} NOT IN ({S.values(v)})) FROM {t}" for t, k in _KNOWN.items() for c, v in k.items()]
+    ),
+)
+def dq_on_write(spark, sf_dir):
+    """The row checks of all layers, each counted by the job that writes the layer."""
+    tables = {"silver": V.silver(spark, sf_dir), "gold_posts": V.gold_posts(spark, sf_dir), "weekly": V.weekly(spark, sf_dir)}
+    parts = []
+    for name, df in tables.items():
+        rules = quality.Rules(_NEVER_NULL[name], _BOUNDS[name], _KNOWN[name])
+        path = scratch_dir(spark, f"checked-{name}")
+        parts.append(quality.write_checked(df, rules, lambda rows, path=path: rows.write.parquet(path)).withColumn("layer", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("dq_unique", "SELECT post_id, count(*) AS n FROM bronze GROUP BY post_id HAVING count(*) > 1")
 def dq_unique(spark, sf_dir):
     return quality.duplicate_keys(V.bronze(spark, sf_dir), "post_id")

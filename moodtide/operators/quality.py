@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass, field
 from functools import reduce
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
@@ -69,3 +71,42 @@ def reconcile(left: DataFrame, right: DataFrame, column: str, day: str) -> DataF
         "last_right",
         "matches",
     )
+
+
+@dataclass
+class Rules:
+    """What every row of a table has to keep; each rule counts the rows that break it."""
+
+    not_null: Sequence[str] = ()
+    bounds: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+    accepted: Mapping[str, Sequence[str]] = field(default_factory=dict)
+
+    def counts(self) -> dict[tuple[str, str], Column]:
+        """(column, test): the count of failures, as ``null_counts``, ``out_of_bounds`` and ``unexpected_values`` have it."""
+        out = {(c, "not_null"): F.count_if(F.col(c).isNull()) for c in self.not_null}
+        out |= {(c, "bounds"): F.count_if(~F.col(c).between(*ends)) for c, ends in self.bounds.items()}
+        known = {c: F.col(c).isNotNull() & ~F.col(c).isin(list(v)) for c, v in self.accepted.items()}
+        return out | {(c, "accepted"): F.count_if(odd) for c, odd in known.items()}
+
+
+def write_checked(df: DataFrame, rules: Rules, write: Callable[[DataFrame], None]) -> DataFrame:
+    """Writes ``df`` by ``write`` and counts, in the same job, the rows that break each rule: (column, test, failures).
+
+    The counts are observed metrics of the rows on their way to the files, so no row
+    is computed or read a second time. ``rows`` counts all. The caller publishes what
+    was written, or discards it, by the verdict (``require``).
+    """
+    spark, counts = df.sparkSession, rules.counts()
+    watch = Observation()
+    named = [c.alias(f"{k}") for k, c in enumerate(counts.values())]
+    write(df.observe(watch, F.count(F.lit(1)).alias("rows"), *named))
+    found = watch.get
+    rows = [("*", "rows", found["rows"]), *[(c, test, found[str(k)]) for k, (c, test) in enumerate(counts)]]
+    return spark.createDataFrame(rows, "`column` string, test string, failures bigint")
+
+
+def require(verdict: DataFrame) -> None:
+    """Raises, naming every rule that failed, unless no row breaks one."""
+    failed = verdict.where("test <> 'rows' AND failures > 0").orderBy("column", "test").collect()  # a row for each rule
+    if failed:
+        raise AssertionError("checks failed: " + ", ".join(f"{r['column']} {r['test']} ({r['failures']} rows)" for r in failed))

@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from moodtide.operators import quality
 from moodtide.schemas import BRONZE, GOLD_WEEKLY, conform
 
 POINTER = "_CURRENT"
@@ -140,12 +141,27 @@ def read_layer(spark: SparkSession, root: str, schema: StructType, part: str = "
     return spark.read.schema(schema).parquet(f"{root}/{version}{part and '/' + part}")
 
 
-def save_bucketed(df: DataFrame, table: str, key: str = "post_id", buckets: int = 200) -> None:
-    """Catalog table bucketed and sorted by its key.
+def publish_checked(df: DataFrame, root: str, rules: quality.Rules) -> DataFrame:
+    """``publish`` with the rules checked while the rows are written; what breaks one is not published but removed."""
+    spark = df.sparkSession
+    version = next_version(spark, root)
+    try:
+        verdict = quality.write_checked(df, rules, lambda rows: rows.write.parquet(f"{root}/{version}"))
+        quality.require(verdict)
+    except BaseException:
+        discard(spark, root, version)
+        raise
+    point_to(spark, root, version)
+    return verdict
+
+
+def save_bucketed(df: DataFrame, table: str, key: str = "post_id", buckets: int = 200, path: str | None = None) -> None:
+    """Catalog table bucketed and sorted by its key, in the warehouse or below ``path``.
 
     Score merges, anti-joins and feature joins on the key then need no shuffle.
     """
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
 
 
 # --- warehouse ------------------------------------------------------------------

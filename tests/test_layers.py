@@ -270,6 +270,40 @@ def test_empty_files_are_listed(spark, tmp_path):
     assert {r["md5"] for r in landing.file_digests(spark, str(tmp_path)).where("length = 0").collect()} == {hashlib.md5(b"").hexdigest()}
 
 
+def test_checks_run_with_the_write(spark, tmp_path):
+    root = str(tmp_path / "t")
+    df = spark.createDataFrame([("p1", "sleep", 3), ("p2", None, 50), (None, "golf", None), ("p4", "adhd", 7)], "post_id string, subreddit string, n_words int").repartition(3)
+    rules = quality.Rules(["post_id", "n_words"], {"n_words": (1, 10)}, {"subreddit": ["sleep", "adhd"]})
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    path = str(tmp_path / "w")
+    verdict = quality.write_checked(df.mapInArrow(count, df.schema), rules, lambda rows: rows.write.parquet(path))
+    got = {(r["column"], r["test"]): r["failures"] for r in verdict.collect()}
+    assert got == {("*", "rows"): 4, ("post_id", "not_null"): 1, ("n_words", "not_null"): 1, ("n_words", "bounds"): 1, ("subreddit", "accepted"): 1}
+    assert computed.value == 4 == spark.read.parquet(path).count()  # no row was computed twice
+    apart = {r["column"]: r["failures"] for r in quality.null_counts(df, ["post_id", "n_words"]).collect()}
+    assert apart == {"post_id": 1, "n_words": 1}
+    layers.publish_checked(df.where("post_id = 'p1'"), root, rules)
+    with pytest.raises(AssertionError, match=r"n_words bounds \(1 rows\)"):
+        layers.publish_checked(df, root, rules)
+    assert spark.read.parquet(f"{root}/{layers.current_version(spark, root)}").count() == 1
+    assert len([f for f in os.listdir(root) if f.startswith("v")]) == 1
+    assert quality.write_checked(df.limit(0), quality.Rules(["post_id"]), lambda rows: rows.write.parquet(str(tmp_path / "e"))).where("failures > 0").count() == 0
+
+
+def test_bucketed_merge_query_shuffles_neither_side(spark, plan_of):
+    from moodtide.bindings import queries as registry
+
+    plan = plan_of(registry.QUERIES["bucketed_merge"](spark, "/root/testdata/sf0.001"))
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+    assert "Exchange hashpartitioning" not in plan
+
+
 @pytest.fixture
 def hot_corpus(spark, tmp_path):
     """Three corpus files as folders of part files of 50 rows; the first holds a third of all rows and more."""
