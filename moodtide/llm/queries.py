@@ -98,8 +98,11 @@ QUERIES: dict[str, Query] = {
     "op13_vector_codes": op13_vector_codes,
 }
 
+TWIN_LEVELS = 8  # more than any path of the given tables has
+
+
 def url_twin() -> str:
-    """The template tree with its levels written out."""
+    """The template tree with the levels of the given tables written out."""
     bound = repr(math.sqrt(0.5 * math.log(2 / urls.ALPHA)))
 
     def differs(a: str, n_a: str, b: str, n_b: str) -> str:
@@ -114,7 +117,7 @@ def url_twin() -> str:
     ruled = "CASE " + " ".join(f"WHEN {fits(h, p)} THEN '{v}'" for v, h, p in longest) + " END"
     parts = "list_filter(string_split(shape, '/'), lambda s: s <> '')"
     steps = []
-    for k in range(urls.LEVELS):
+    for k in range(TWIN_LEVELS):
         at = f"segments[{k + 1}]"
         own = " OR ".join(
             ["siblings = 1", differs("b.bad", "b.labelled", "a.bad - b.bad", "a.labelled - b.labelled"), differs("b.ends", "b.n", "a.ends - b.ends", "a.n - b.n")]
@@ -129,7 +132,7 @@ def url_twin() -> str:
             f"""t{k + 1} AS (SELECT t.* REPLACE (coalesce(t.node || '/' || m.name, t.node) AS node)
                 FROM t{k} t LEFT JOIN m{k} m ON m.node = t.node AND m.segment = t.{at} AND len(t.segments) > {k})""",
         ]
-    last = f"t{urls.LEVELS}"
+    last = f"t{TWIN_LEVELS}"
     return rf"""
         WITH after AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
@@ -146,8 +149,7 @@ def url_twin() -> str:
             SELECT host, shape, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad
             FROM p LEFT JOIN marks ON doc_id = page_id GROUP BY ALL),
         t0 AS (
-            SELECT *, host AS node, CASE WHEN len({parts}) > {urls.LEVELS}
-                THEN list_append({parts}[1:{urls.LEVELS - 1}], '**') ELSE {parts} END AS segments FROM shapes),
+            SELECT *, host AS node, {parts} AS segments FROM shapes),
         {", ".join(steps)},
         hosts AS (
             SELECT host, (sum(bad) + {urls.WEIGHT} * prior) / (sum(labelled) + {urls.WEIGHT}) AS host_purity

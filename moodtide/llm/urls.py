@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,7 +19,6 @@ RULES = (
     (ALLOW, "com", "/fr/"),
     (BLOCK, "com", "/de/"),
 )
-LEVELS = 8  # segments that make a template; what lies deeper is one trailing **
 ALPHA = 0.05  # of the test whether two branches differ
 WEIGHT = 4.0  # labelled pages that the prior of a template's purity counts for
 REJECT = 0.5  # smoothed share of bad pages from which a template is rejected
@@ -58,16 +58,48 @@ def _differs(a: Column, n_a: Column, b: Column, n_b: Column) -> Column:
     return F.coalesce(apart, F.lit(False))
 
 
-def _grown(rows: DataFrame, level: int) -> DataFrame:
-    """Every row one level down the tree: to its own segment, or to * if its branch is like its siblings together.
+# Pages of a node up to which no two of its branches can differ: half and half, the bound is 1 here.
+TOO_FEW = math.floor(8 * 0.5 * math.log(2 / ALPHA))
+
+
+def _rest(depth: Column) -> Column:
+    return F.slice("segments", depth + 1, F.greatest(F.size("segments") - depth, F.lit(0)))
+
+
+def _under(node: Column, names: Column) -> Column:
+    return F.concat_ws("/", node, F.when(F.size(names) > 0, F.array_join(names, "/")))
+
+
+def _finished(rows: DataFrame) -> DataFrame:
+    """Rows of nodes with one shape or with too few pages to part any branches, at their ends at once.
+
+    A level at which all go on to the same segment keeps its name, any other is *.
+    At most TOO_FEW shapes of a node meet here.
+    """
+    longest = F.array_max(F.transform("shapes", F.size))
+    at = lambda i: F.array_distinct(F.filter(F.transform("shapes", lambda x: F.get(x, i)), lambda x: x.isNotNull()))
+    name = F.transform(F.sequence(F.lit(0), longest - 1), lambda i: F.when(F.size(at(i)) == 1, at(i)[0]).otherwise("*"))
+    names = rows.groupBy("node").agg(F.collect_list("rest").alias("shapes")).select("node", name.alias("names"))
+    done = rows.join(names, "node").withColumn("node", _under(F.col("node"), F.slice("names", 1, F.size("rest"))))
+    return done.withColumn("depth", F.size("segments"))
+
+
+def _grown(rows: DataFrame) -> DataFrame:
+    """Every row down the tree by the segments that all of its node share, and by one more: to its own segment, or
+    to * if its branch is like its siblings together.
 
     Branches differ if the share of bad pages among the labelled does, or the share
     of pages that end there. A rare segment cannot differ, so variable ones become *.
     """
-    open_rows = rows.where(F.size("segments") > level)
-    at = F.col("segments")[level]
-    ends = F.when(F.size("segments") == level + 1, F.col("n")).otherwise(0)
-    branches = open_rows.groupBy("node", at.alias("segment")).agg(
+    short = F.least(F.size("low"), F.size("high"))
+    same = F.transform(F.sequence(F.lit(0), F.greatest(short - 1, F.lit(0))), lambda i: F.get("low", i) == F.get("high", i))
+    shared = F.coalesce(F.nullif(F.array_position(same, False), F.lit(0)) - 1, short.cast("long")).cast("int")
+    # The least and the greatest row of a node agree in what all have in common; the last of it stays for the next step.
+    step = F.least(shared, F.size("low") - 1)
+    rows = rows.withColumn("node", _under(F.col("node"), F.slice("rest", F.lit(1), step))).withColumn("depth", F.col("depth") + step)
+    at = F.get("segments", F.col("depth"))
+    ends = F.when(F.size("segments") == F.col("depth") + 1, F.col("n")).otherwise(0)
+    branches = rows.groupBy("node", at.alias("segment")).agg(
         F.sum("n").alias("b_n"), F.sum("labelled").alias("b_labelled"), F.sum("bad").alias("b_bad"), F.sum(ends).alias("b_ends")
     )
     nodes = branches.groupBy("node").agg(
@@ -78,9 +110,19 @@ def _grown(rows: DataFrame, level: int) -> DataFrame:
     own = (F.col("siblings") == 1) | _differs(F.col("b_bad"), F.col("b_labelled"), rest("bad"), rest("labelled"))
     own = own | _differs(F.col("b_ends"), F.col("b_n"), rest("ends"), rest("n"))
     names = branches.join(nodes, "node").select("node", "segment", F.when(own, F.col("segment")).otherwise("*").alias("name"))
-    down = open_rows.withColumn("segment", at).join(names, ["node", "segment"])
-    down = down.withColumn("node", F.concat("node", F.lit("/"), "name")).select(rows.columns)
-    return down.union(rows.where(F.size("segments") <= level))
+    down = rows.withColumn("segment", at).join(names, ["node", "segment"])
+    return down.withColumns({"node": F.concat("node", F.lit("/"), "name"), "depth": F.col("depth") + 1})
+
+
+def _round(rows: DataFrame) -> DataFrame:
+    """One step for all rows that have segments left."""
+    rows_rest = rows.withColumn("rest", _rest(F.col("depth")))
+    stats = rows_rest.groupBy("node").agg(
+        F.sum("n").alias("pages"), F.count("*").alias("n_shapes"), F.min("rest").alias("low"), F.max("rest").alias("high")
+    )
+    placed = rows_rest.join(stats, "node")
+    few = (F.col("n_shapes") == 1) | (F.col("pages") <= TOO_FEW)
+    return _finished(placed.where(few)).select(rows.columns).union(_grown(placed.where(~few)).select(rows.columns))
 
 
 def shape(way: Column) -> Column:
@@ -88,21 +130,29 @@ def shape(way: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(way, "[0-9]+", "#"), "/"), lambda s: s != "")
 
 
-def templates(labelled_pages: DataFrame, levels: int = LEVELS) -> DataFrame:
+def templates(labelled_pages: DataFrame) -> DataFrame:
     """(host, shape, template, purity) of each distinct shape in (host, path, n, labelled, bad).
 
     purity is the share of bad pages among a template's labelled pages, smoothed
-    towards its host's share, and that towards the share of all.
+    towards its host's share, and that towards the share of all. The tree grows to
+    the last segment of every path. A round takes each node over all segments that
+    its rows share and one more; a node with one shape, or with too few pages for any
+    test, is done at once: there are as many rounds as nodes that really branch lie
+    above each other.
     """
     one = labelled_pages.withColumn("shape", F.array_join(shape(F.col("path")), "/"))
     counts = [F.sum(c).alias(c) for c in ("n", "labelled", "bad")]
     shapes = one.groupBy("host", "shape").agg(*counts)
     parts = F.filter(F.split("shape", "/"), lambda s: s != "")
-    folded = F.when(F.size(parts) > levels, F.concat(F.slice(parts, 1, levels - 1), F.array(F.lit("**")))).otherwise(parts)
-    rows = materialize(shapes.withColumns({"segments": folded, "node": F.col("host")}), "shapes")
-    deepest = rows.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(deepest):
-        rows = materialize(_grown(rows, level), "tree-level")
+    rows = materialize(shapes.withColumns({"segments": parts, "node": F.col("host"), "depth": F.lit(0)}), "shapes")
+    left = F.size("segments") > F.col("depth")
+    done = [rows.where(~left)]
+    rows = rows.where(left)
+    while not rows.isEmpty():
+        step = materialize(_round(rows), "tree-level")
+        done.append(step.where(~left))
+        rows = step.where(left)
+    rows = reduce(DataFrame.union, done)
     total = rows.agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")).first()
     prior = (total["bad"] or 0) / max(total["labelled"] or 0, 1)
     smooth = lambda towards: (F.sum("bad") + WEIGHT * towards) / (F.sum("labelled") + WEIGHT)
@@ -114,14 +164,14 @@ def templates(labelled_pages: DataFrame, levels: int = LEVELS) -> DataFrame:
 
 def filter_urls(
     pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES,
-    label_id: str = "doc_id", levels: int = LEVELS,
+    label_id: str = "doc_id",
 ) -> DataFrame:
     """id, host, path, rule, verdict, template, purity of each row of ``pages``.
 
     A rule fits a host, and all its subdomains, if the path starts with its path;
     the longest fitting rule gives the verdict. Any other page is judged by its
-    template: per host, paths form a tree whose levels are segments, with digits
-    as #; branches of a node that are statistically like their siblings are merged
+    template: per host, paths form a tree whose levels are all their segments, with
+    digits as #; branches of a node that are statistically like their siblings are merged
     into *, and a template is rejected if the smoothed share of bad pages (labelled
     with quality 0 or toxic 1) among its labelled ones reaches REJECT.
 
@@ -140,7 +190,7 @@ def filter_urls(
     known = rows.join(marks, "id", "left").select(
         "host", "path", F.lit(1).alias("n"), F.col("bad").isNotNull().cast("int").alias("labelled"), F.coalesce("bad", F.lit(0)).alias("bad")
     )
-    tree = templates(known, levels)
+    tree = templates(known)
     ruled = rows.withColumns(
         {
             "shape": F.array_join(shape(F.col("path")), "/"),

@@ -28,7 +28,7 @@ def differs(a, n_a, b, n_b):
     return bool(n_a and n_b and abs(a / n_a - b / n_b) > bound * (1 / math.sqrt(n_a) + 1 / math.sqrt(n_b)))
 
 
-def brute(pages, labels, levels):
+def brute(pages, labels):
     bad = {}
     for i, q, t in labels:
         if i is not None:
@@ -37,8 +37,6 @@ def brute(pages, labels, levels):
     for i, url in pages:
         own, way = parsed(url)
         segs = [s for s in re.sub("[0-9]+", "#", way).split("/") if s]
-        if len(segs) > levels:
-            segs = [*segs[: levels - 1], "**"]
         rows.append({"id": i, "host": own, "path": way, "segs": segs, "node": own, "lab": int(i in bad), "bad": bad.get(i, 0)})
     for level in range(max((len(r["segs"]) for r in rows), default=0)):
         branch = defaultdict(lambda: [0, 0, 0, 0])
@@ -92,13 +90,32 @@ def case():
     return pages, [*labels, (0, 1, 0), (0, 0, None), (1, None, None), (None, 0, 1)]
 
 
+def result(spark, pages, labels):
+    out = urls.filter_urls(spark.createDataFrame(pages, PAGES).repartition(3), spark.createDataFrame(labels, LABELS))
+    return sorted((tuple(r)[:6] + (round(r.purity, 9),) for r in out.collect()), key=str)
+
+
 def test_equals_brute_force(spark):
     pages, labels = case()
-    for levels in (8, 3):
-        out = urls.filter_urls(spark.createDataFrame(pages, PAGES).repartition(3), spark.createDataFrame(labels, LABELS), levels=levels)
-        got = sorted((tuple(r)[:6] + (round(r.purity, 9),) for r in out.collect()), key=str)
-        assert got == brute(pages, labels, levels)
-        assert {r[4] for r in got if r[3] is None} == {"allow", "block"}
+    got = result(spark, pages, labels)
+    assert got == brute(pages, labels)
+    assert {r[4] for r in got if r[3] is None} == {"allow", "block"}
+
+
+def test_branches_deep_in_a_path_are_told_apart(spark):
+    """Paths of up to 20 segments that branch at the 8th, the 15th and the last."""
+    rng = random.Random(8)
+    top = "/".join("abcdefg")
+    pages = [(i, f"http://h.net/{top}/{'bad' if i % 2 else 'good'}/x{i}") for i in range(400)]
+    middle = "/".join("abcdefghijklmn")
+    pages += [(1000 + i, f"http://k.net/{middle}/{rng.choice('uvw')}/{'/'.join(rng.choices('pq', k=rng.randrange(6)))}") for i in range(300)]
+    pages += [(2000 + i, "http://k.net/" + "/".join(rng.choices("rs", k=rng.randrange(20)))) for i in range(200)]
+    pages += [(3000 + i, f"http://n.net/{'/'.join(['z'] * (500 + i))}") for i in range(4)]  # few pages, very deep
+    labels = [(i, int(i % 2 == 0), 0) for i in range(400)] + [(i, int(u.split(middle)[1][1] != "u"), 0) for i, u in pages[400:700]]
+    got = result(spark, pages, labels)
+    assert got == brute(pages, labels)
+    verdicts = {(("/good/" in r[2]), r[4]) for r in got if r[1] == "h.net"}
+    assert verdicts == {(True, "allow"), (False, "block")}
 
 
 def test_templates_generalise(spark):
