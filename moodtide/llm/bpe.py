@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from moodtide.llm.frames import map_batches
+from moodtide.llm.frames import map_batches, plus
 
 # Fixed value: the pre-token pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -283,7 +283,7 @@ def encode(
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), coded, *back], [*kept, *new])
 
     more = f"`{ids}` {'binary' if packed else 'array<int>'}" + (f", `{decoded}` string" if decoded else "")
-    return map_batches(docs, run, _schema(docs, kept, more), text_col)
+    return map_batches(docs, run, plus(docs, kept, more), text_col)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -301,11 +301,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded")
         out = pa.array([None if r is None else bpe.decode(r) for r in rows], pa.string())
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), out], [*kept, text])
 
-    return map_batches(docs, run, _schema(docs, kept, f"`{text}` string"))
-
-
-def _schema(docs: DataFrame, kept: list[str], more: str) -> str:
-    return ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), more])
+    return map_batches(docs, run, plus(docs, kept, f"`{text}` string"))
 
 
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from moodtide.llm import words as W
-from moodtide.llm.frames import map_batches, materialize, text_buffers
+from moodtide.llm.frames import map_batches, materialize, plus, row_of, text_buffers
 
 ERROR_RATE = 0.2  # edits, as a share of an item's words, up to which a passage is the item
 ITEMS_AT_ONCE = 5_000  # items that travel to the tasks together; more items take more passes
@@ -207,8 +207,8 @@ def without_benchmarks(
     Decided row by row without a shuffle, so rows that share an id, or have none,
     stand for themselves. Rows with null or empty texts stay.
     """
-    left = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text_col).alias("__text"))
-    schema = f"__row {left.schema['__row'].dataType.simpleString()}, __text string"
+    left = docs.select(row_of(docs).alias("__row"), F.col(text_col).alias("__text"))
+    schema = plus(left, ["__row"], "__text string")
 
     def scan(rows: DataFrame, shared: Broadcast) -> DataFrame:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:

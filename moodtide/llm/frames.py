@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 from moodtide.session import materialize, scratch_dir
 
-__all__ = ["map_batches", "materialize", "read_table", "scratch_dir", "text_buffers", "whole_keys"]
+__all__ = ["columns", "map_batches", "materialize", "plus", "read_table", "row_of", "scratch_dir", "text_buffers", "whole_keys"]
 
 # Bytes of text that one numpy step works on; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
@@ -20,8 +21,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def columns(names: Iterable[str]) -> list[Column]:
+    """Top-level columns by their names, whatever characters these hold."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
+def row_of(df: DataFrame) -> Column:
+    """All columns as one struct, so that none can clash with a helper column; ``.select("<alias>.*")`` gives them back."""
+    return F.struct(*columns(df.columns))
+
+
+def plus(df: DataFrame, names: Iterable[str], more: str) -> StructType:
+    """The fields ``names`` of ``df`` and those of the schema string ``more``."""
+    return StructType([*(df.schema[n] for n in names), *StructType.fromDDL(more).fields])
+
+
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str, text: str | None = None
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema: str | StructType, text: str | None = None
 ) -> DataFrame:
     """``fn`` over Arrow batches, cut so that column ``text`` has about STEP_BYTES in each."""
 
@@ -31,7 +47,18 @@ def map_batches(
                 out = fn(part)
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
-    return df.mapInArrow(run, schema)
+    if all(name.isidentifier() for name in df.columns):
+        return df.mapInArrow(run, schema)
+    # Spark looks its input columns up by name, as if a dot or a backtick in one were syntax.
+    names, fields = df.columns, schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    wanted, plain = fields.names, [f"c{i}" for i in range(len(fields))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(pa.RecordBatch.from_arrays(b.columns, names) for b in batches):
+            yield pa.RecordBatch.from_arrays([out.column(out.schema.names.index(n)) for n in wanted], plain)
+
+    safe = StructType([StructField(p, f.dataType, f.nullable) for p, f in zip(plain, fields)])
+    return df.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(renamed, safe).toDF(*wanted)
 
 
 def cut(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:

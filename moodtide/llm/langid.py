@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from moodtide.llm.frames import map_batches, text_buffers
+from moodtide.llm.frames import columns, map_batches, plus, text_buffers
 
 UNKNOWN = "und"
 SAMPLE_DOCS = 300  # texts of each language that the network learns from, at most
@@ -255,11 +255,10 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", names
     """
     new = list(names)
     kept = [c for c in docs.columns if c not in new]
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept]
     small = net.compact() if net else None
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lettered = batch.column("__letters")
+        lettered = batch.column(len(kept))
         langs, scores, counts = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows, [None] * batch.num_rows
         at = np.flatnonzero(lettered.to_numpy(zero_copy_only=False))
         if small and len(at):
@@ -269,10 +268,11 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", names
             for k, j, m, n in zip(at.tolist(), mean.argmax(1).tolist(), mean.max(1).tolist(), count.tolist()):
                 langs[k], scores[k], counts[k] = small.labels[j], min(max(m, 0.0), 1.0), n
         columns = [pa.array(langs), pa.array(scores), pa.array(counts, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *columns], [*kept, *new])
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], *columns], [*kept, *new])
 
-    source = docs.select(*kept, has_letter(text_col).alias("__letters"))
-    return map_batches(source, run, ", ".join([*fields, f"`{new[0]}` string, `{new[1]}` double, `{new[2]}` array<bigint>"]), text_col)
+    free = next(n for k in range(len(kept) + 1) if (n := f"letters_{k}") not in kept)
+    source = docs.select(*columns(kept), has_letter(text_col).alias(free))
+    return map_batches(source, run, plus(docs, kept, f"`{new[0]}` string, `{new[1]}` double, `{new[2]}` array<bigint>"), text_col)
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:

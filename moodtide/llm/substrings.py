@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from moodtide.llm import words as W
-from moodtide.llm.frames import map_batches, text_buffers, whole_keys
+from moodtide.llm.frames import map_batches, plus, row_of, text_buffers, whole_keys
 
 WINDOW = 35  # words of a window
 MINIMISER = 8  # words of the grams among which a window's minimiser is chosen
 LONGEST_RUN = 64  # windows of one super-k-mer; a longer run becomes several
-HOT_RUNS = 20_000  # super-k-mers of one minimiser beyond which each window travels alone
+HOT_RUNS = 1_000  # super-k-mers of one minimiser beyond which each window travels alone
 BUCKET_ROWS = 4_000  # super-k-mers sorted at once, and at least one whole bucket
 
 RUNS = "__id {id}, __h long, start int, n int, key long, weight int"
@@ -73,14 +73,13 @@ def dedup_substrings(
     repeats = places.groupBy(F.col("__id").alias("i"), F.col("__h").alias("h")).agg(
         F.collect_set(F.struct("start", "cover")).alias("covers")
     )
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), *key, F.col(text_col).alias("__text"))
+    rows = docs.select(row_of(docs).alias("__row"), *key, F.col(text_col).alias("__text"))
     if set(docs.columns) == {id_col, text_col}:  # then the shuffle of the texts above serves here too
         rows = texts
     out = rows.join(repeats, met, "left")
     out = out.select(*([] if rows is texts else ["__row"]), "__id", "__text", "covers")
     body = out.schema.fieldNames()[:-1]
-    fields = ", ".join(f"{f} {out.schema[f].dataType.simpleString()}" for f in body)
-    done = map_batches(out, _removed, f"{fields}, n_words long, n_removed long, kept_text string", "__text")
+    done = map_batches(out, _removed, plus(out, body, "n_words long, n_removed long, kept_text string"), "__text")
     if rows is texts:
         names = {id_col: "__id", text_col: "__text"}
         return done.select(*(F.col(names[c]).alias(c) for c in docs.columns), "n_words", "n_removed", "kept_text")
