@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from moodtide.llm import bpe, decontaminate, langid, simhash, substrings
-from moodtide.llm.frames import materialize, read_table
+from moodtide.llm.frames import materialize, read_table, row_of
 from moodtide.llm.queries import vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,9 +20,9 @@ MIN_SCORE = 0.35
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; ``und`` and those it is not sure of go."""
-    marked = langid.identify(docs, langid.learn(docs), names=("__lang", "__score", "__positions"))
-    sure = (F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= MIN_SCORE)
-    return marked.where(sure).select(*docs.columns)
+    rows = docs.select(row_of(docs).alias("row"), "text")
+    marked = langid.identify(rows, langid.learn(docs))
+    return marked.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +32,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat; a text that has none stays as it is."""
-    done = substrings.dedup_substrings(docs)
-    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
-    return done.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    done = substrings.dedup_substrings(docs.select(row_of(docs).alias("row"), "doc_id", "text"))
+    row, cut = F.col("row"), F.col("n_removed") > 0
+    n_chars = F.when(cut, F.length("kept_text").cast("long")).otherwise(row["n_chars"])
+    row = row.withField("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text"))).withField("n_chars", n_chars)
+    return done.select(row.alias("row")).select("row.*")
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +46,10 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with token_ids, their number, and whether decoding gives the text back."""
-    back = bpe.encode(docs, vocabulary_path(), ids="token_ids", decoded="__decoded")
-    same = F.col("__decoded") == F.coalesce("text", F.lit(""))
-    return back.withColumn("n_tokens", F.size("token_ids").cast("long")).withColumn("round_trip", same).drop("__decoded")
+    docs = docs.drop("token_ids", "n_tokens", "round_trip")
+    back = bpe.encode(docs.select(row_of(docs).alias("row"), "text"), vocabulary_path(), ids="token_ids", decoded="decoded")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return back.select("row.*", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [
