@@ -1187,10 +1187,13 @@ def prob_to_label(spark, sf_dir):
     return scoring.score_probabilities(events)
 
 
-@query("length_batching", "SELECT post_id, CAST(length(text) AS INT) AS n_chars FROM silver")
+@query("length_batching", "SELECT post_id, CAST(length(text) AS INT) AS n_chars, true AS in_order FROM silver")
 def length_batching(spark, sf_dir):
+    """Each post with its length, and whether the one before it in its task is no longer."""
     ordered = scoring.length_ordered(V.silver(spark, sf_dir).select("post_id", "text"))
-    return ordered.select("post_id", F.length("text").alias("n_chars"))
+    placed = ordered.select("post_id", F.length("text").alias("n_chars"), F.monotonically_increasing_id().alias("at"))
+    before = F.lag("n_chars").over(Window.partitionBy(F.shiftright("at", 33)).orderBy("at"))  # the upper bits number the task
+    return placed.select("post_id", "n_chars", F.coalesce(before <= F.col("n_chars"), F.lit(True)).alias("in_order"))
 
 
 @query("incremental_scoring", "SELECT * FROM lexicon_scores")

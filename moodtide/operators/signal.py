@@ -308,17 +308,20 @@ def train_classifier(train: DataFrame, label: str = "label", c: float = 1.0) ->
 def exact_auc(predicted: DataFrame, score: str = "p", label: str = "label") -> DataFrame:
     """Area under the curve on unrounded scores, ties counted half, as one row ``auc``.
 
-    Negatives below a score are those of lower published scores (a histogram of at
-    most 10,001 rows) and those below it among distinct scores that round alike, so
-    no sort runs over all rows.
+    Equal scores become one row with counts. These rows, of which no two have the same
+    score, are written in even ranges of scores, however close together most of them
+    lie; negatives below a score are those of lower ranges, one running sum over as
+    many rows as there are ranges, and those below it in its own range. A null score
+    is in no range and takes no part.
     """
-    counted = predicted.groupBy(round_even(score, SCORE_DECIMALS).alias("_b"), F.col(score).alias("_s")).agg(
+    counted = predicted.where(F.col(score).isNotNull()).groupBy(F.col(score).alias("_s")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg")
     )
+    ranged = materialize(counted.repartitionByRange("_s").withColumn("_range", F.spark_partition_id()), "score-ranges")
     before = lambda w: F.coalesce(F.sum("_neg").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    buckets = counted.groupBy("_b").agg(F.sum("_neg").alias("_neg"))
-    offsets = buckets.select("_b", before(Window.orderBy("_b")).alias("_lower"))
-    placed = counted.withColumn("_inside", before(Window.partitionBy("_b").orderBy("_s"))).join(offsets, "_b")
+    totals = ranged.groupBy("_range").agg(F.sum("_neg").alias("_neg"))
+    offsets = totals.select("_range", before(Window.orderBy("_range")).alias("_lower"))
+    placed = ranged.withColumn("_inside", before(Window.partitionBy("_range").orderBy("_s"))).join(offsets, "_range")
     wins = F.sum(F.col("_pos") * (F.col("_lower") + F.col("_inside") + F.col("_neg") / 2))
     return placed.agg(F.try_divide(wins, F.sum("_pos").cast("double") * F.sum("_neg")).alias("auc"))
 

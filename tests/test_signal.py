@@ -229,3 +229,18 @@ def test_constant_column_is_standardised_to_zero(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     rows = sorted(tuple(r) for r in signal.standardize(df, ["a", "b"]).collect())
     assert rows == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+def test_exact_auc_of_scores_that_nearly_all_round_alike(spark):
+    """Most distinct scores lie in one published bucket; they are still spread over ranges of their own."""
+    rng = np.random.default_rng(4)
+    scores = np.concatenate([0.5 + rng.normal(size=6000) * 1e-7, rng.random(200), np.full(300, 0.5)])
+    labels = (rng.random(len(scores)) < 0.3 + 0.3 * (scores > 0.5)).astype(int)
+    df = spark.createDataFrame([(float(s), int(x)) for s, x in zip(scores, labels)] + [(None, 1)], "p double, label int").repartition(5)
+    pos, neg = scores[labels == 1], scores[labels == 0]
+    want = ((pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2) / (len(pos) * len(neg))
+    assert abs(signal.exact_auc(df).first()["auc"] - want) < 1e-12
+    spread = spark.createDataFrame([(float(s),) for s in scores], "s double").distinct().repartitionByRange(8, "s")
+    sizes = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * min(sizes)
+    assert signal.exact_auc(df.limit(0)).first()["auc"] is None
