@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,9 +55,44 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+# Set while a run has intermediate tables of its own (``run_scratch``).
+RUN = "moodtide.scratch.run"
+_leaving: set[str] = set()
+
+
+def _folder(spark: SparkSession) -> str:
+    """This application's intermediate tables; they go when its JVM ends."""
+    folder = f"{shared_root(spark)}/moodtide/{spark.sparkContext.applicationId}"
+    if folder not in _leaving:
+        handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = handle.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(handle)
+        system.deleteOnExit(handle)
+        _leaving.add(folder)
+    return folder
+
+
+@contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables written inside the block are removed at its end, for sessions that go on.
+
+    What a query returns reads such tables, so it has to be written or fetched inside too.
+    """
+    before, run = spark.conf.get(RUN, ""), f"run-{uuid.uuid4().hex}"
+    folder = f"{_folder(spark)}/{run}"
+    spark.conf.set(RUN, run)
+    try:
+        yield folder
+    finally:
+        spark.conf.set(RUN, before)
+        handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared root; never reused, so reruns cannot clash."""
-    return f"{shared_root(spark)}/moodtide/{name}-{uuid.uuid4().hex}"
+    run = spark.conf.get(RUN, "")
+    return "/".join([_folder(spark), *([run] if run else []), f"{name}-{uuid.uuid4().hex}"])
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -69,7 +69,7 @@ def compare(df, con, sql: str) -> list[str]:
 
 
 def main(argv: list[str]) -> int:
-    from moodtide.session import build_session
+    from moodtide.session import build_session, run_scratch
 
     import __spark_entry__ as entry
 
@@ -86,11 +86,12 @@ def main(argv: list[str]) -> int:
             continue
         start = time.time()
         try:
-            df = fn(spark, sf_dir)
-            if name in twins:
-                problems = compare(df, con, twins[name])
-            else:
-                problems = [] if df.count() else ["no rows"]
+            with run_scratch(spark):
+                df = fn(spark, sf_dir)
+                if name in twins:
+                    problems = compare(df, con, twins[name])
+                else:
+                    problems = [] if df.count() else ["no rows"]
         except Exception as exc:  # report and go on with the next query
             problems = [f"{type(exc).__name__}: {str(exc)[:700]}"]
         bad += bool(problems)
