@@ -71,3 +71,46 @@ def test_empty_tables_and_clashing_columns(spark):
     assert sorted(map(tuple, E.link_embeddings(df).collect())) == [(2, 1, 2, True), (5, 1, 2, False)]
     assert E.link_embeddings(df.limit(0)).count() == 0
     assert [tuple(r) for r in E.link_embeddings(df.where("vec_id = 5").withColumn("label", df.label * None)).collect()] == [(5, 0, 5, True)]
+
+
+def test_links_just_above_and_below_the_threshold(spark):
+    """Thousands of vectors, a third under one label: pairs at 0.929 to 0.931, chains of near pairs, copies. No link is lost or made up."""
+    rng = np.random.default_rng(9)
+    dim, rows = 32, []
+
+    def turned(v, cosine):
+        """A unit vector with this cosine to the unit vector v."""
+        w = rng.normal(size=dim)
+        w -= (w @ v) * v
+        return cosine * v + np.sqrt(1 - cosine**2) * w / np.linalg.norm(w)
+
+    label = lambda: 0 if rng.random() < 1 / 3 else int(rng.integers(1, 40))
+    for _ in range(900):
+        v, own = rng.normal(size=dim), label()
+        v /= np.linalg.norm(v)
+        rows += [(v * rng.uniform(0.1, 9), own), (turned(v, rng.uniform(0.929, 0.931)), own)]
+    for _ in range(40):  # chains, of which only neighbours are linked
+        v, own = rng.normal(size=dim), label()
+        v /= np.linalg.norm(v)
+        for _ in range(12):
+            rows.append((v, own))
+            v = turned(v, 0.94)
+    rows += [(rows[0][0], rows[0][1])] * 300
+    x = np.array([v for v, _ in rows], np.float32)
+    labels = np.array([own for _, own in rows])
+    ids = rng.permutation(len(rows))
+    df = spark.createDataFrame([(int(i), v.tolist(), int(k)) for i, v, k in zip(ids, x, labels)], SCHEMA).repartition(4)
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in E.link_embeddings(df).collect()}
+    unit = x.astype(float)
+    norm = np.sqrt((unit**2).sum(1))
+    linked = (unit @ unit.T / np.outer(norm, norm) >= E.COSINE) & (labels[:, None] == labels) & ~np.eye(len(x), dtype=bool)
+    assert {int(i): int(n) for i, n in zip(ids, linked.sum(1))} == {i: n for i, (n, _) in got.items()}
+    least = ids.copy()
+    while True:
+        best = np.minimum(least, np.where(linked, least, len(ids)).min(1))
+        if (best == least).all():
+            break
+        least = best
+    assert {int(i): int(c) for i, c in zip(ids, least)} == {i: c for i, (_, c) in got.items()}
+    near = linked[np.arange(0, 1800, 2), np.arange(1, 1800, 2)]
+    assert 300 < near.sum() < 600  # about half of the pairs at the threshold are linked
