@@ -13,6 +13,7 @@ from moodtide.llm.frames import columns, map_batches, plus, text_buffers
 UNKNOWN = "und"
 SAMPLE_DOCS = 300  # texts of each language that the network learns from, at most
 SAMPLE_CHARS = 1024  # characters taken from each, at a hashed place
+LANGUAGES = 500  # distinct values of lang, at most: each sends its pieces to the driver
 HIDDEN = 8
 BLOCK = 256  # bytes after which the state starts anew when texts are labelled
 SIDE_BY_SIDE = 2048  # blocks worked on in one step
@@ -195,6 +196,8 @@ def sample(
 ) -> tuple[list[bytes], list[str]]:
     """Pieces of at most ``n_docs`` texts of each language, by least hash of the id: what the driver holds is bounded.
 
+    More than LANGUAGES values of lang are an error: such a column names something else.
+
     A hash threshold taken from the counts of the rows that may be learned from
     leaves about four times as many of them as wanted, so a language with most of all rows sends no more than a rare one.
     """
@@ -202,7 +205,9 @@ def sample(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), has_letter(text_col).alias("ok")
     )
     rows = rows.where("ok").withColumn("hash", F.xxhash64("id", F.lit(11)))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"over {LANGUAGES} values of {lang_col}")
     if not counts:
         return [], []
     share = F.create_map(*(F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * n_docs / n))))

@@ -100,3 +100,15 @@ def test_rows_that_nothing_is_learned_from_do_not_thin_the_sample(spark):
     both = df.union(spark.createDataFrame(more, SCHEMA))
     assert langid.sample(both, "doc_id", "text", "lang", n_docs=50) == langid.sample(df, "doc_id", "text", "lang", n_docs=50)
     assert len(langid.sample(df, "doc_id", "text", "lang", n_docs=300)[0]) == learnable
+
+
+def test_too_many_languages_are_refused(spark, monkeypatch):
+    import pytest
+
+    from moodtide.llm import langid
+
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = spark.createDataFrame([(i, "some text", f"l{i % 9}") for i in range(90)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="over 3 values of lang"):
+        langid.learn(rows)
+    assert len(langid.learn(rows.where("lang in ('l1', 'l2')")).labels) == 2
