@@ -60,14 +60,22 @@ RUN = "moodtide.scratch.run"
 _leaving: set[str] = set()
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    """File system and path of a folder; none where the session has no JVM of its own."""
+    if not hasattr(spark, "_jvm"):
+        return None, None
+    handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
+
+
 def _folder(spark: SparkSession) -> str:
-    """This application's intermediate tables; they go when its JVM ends."""
-    folder = f"{shared_root(spark)}/moodtide/{spark.sparkContext.applicationId}"
+    """This application's intermediate tables; they go when its JVM ends, if it is this process's."""
+    folder = f"{shared_root(spark)}/moodtide/{spark.conf.get('spark.app.id', 'app')}"
     if folder not in _leaving:
-        handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        system = handle.getFileSystem(spark._jsc.hadoopConfiguration())
-        system.mkdirs(handle)
-        system.deleteOnExit(handle)
+        system, handle = _hadoop(spark, folder)
+        if system:
+            system.mkdirs(handle)
+            system.deleteOnExit(handle)
         _leaving.add(folder)
     return folder
 
@@ -85,8 +93,9 @@ def run_scratch(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         spark.conf.set(RUN, before)
-        handle = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        handle.getFileSystem(spark._jsc.hadoopConfiguration()).delete(handle, True)
+        system, handle = _hadoop(spark, folder)
+        if system:
+            system.delete(handle, True)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
