@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from moodtide.llm import bpe, decontaminate, langid, simhash, substrings
 from moodtide.llm.frames import materialize, read_table, row_of
@@ -18,11 +18,21 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 MIN_SCORE = 0.35
 
 
+def beside(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as one, so that none can clash with an operator's; ``whole`` undoes it."""
+    return docs.select(row_of(docs.drop("text")).alias("row"), "doc_id", "text")
+
+
+def whole(docs: DataFrame, **new: Column) -> list[Column]:
+    """The columns of ``docs`` in their order, those in ``new`` replaced."""
+    own = {"text": F.col("text")} | new
+    return [own.get(c, F.col("row")[c]).alias(c) for c in docs.columns]
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the network knows; ``und`` and those it is not sure of go."""
-    rows = docs.select(row_of(docs).alias("row"), "text")
-    marked = langid.identify(rows, langid.learn(docs))
-    return marked.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select("row.*")
+    marked = langid.identify(beside(docs), langid.learn(docs))
+    return marked.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*whole(docs))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,11 +42,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that repeat; a text that has none stays as it is."""
-    done = substrings.dedup_substrings(docs.select(row_of(docs).alias("row"), "doc_id", "text"))
-    row, cut = F.col("row"), F.col("n_removed") > 0
-    n_chars = F.when(cut, F.length("kept_text").cast("long")).otherwise(row["n_chars"])
-    row = row.withField("text", F.when(cut, F.col("kept_text")).otherwise(F.col("text"))).withField("n_chars", n_chars)
-    return done.select(row.alias("row")).select("row.*")
+    done, cut = substrings.dedup_substrings(beside(docs)), F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    n_chars = F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("row")["n_chars"])
+    return done.select(*whole(docs, text=text, n_chars=n_chars))
 
 
 def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,9 +56,9 @@ def no_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with token_ids, their number, and whether decoding gives the text back."""
     docs = docs.drop("token_ids", "n_tokens", "round_trip")
-    back = bpe.encode(docs.select(row_of(docs).alias("row"), "text"), vocabulary_path(), ids="token_ids", decoded="decoded")
+    back = bpe.encode(beside(docs), vocabulary_path(), ids="token_ids", decoded="decoded")
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return back.select("row.*", "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
+    return back.select(*whole(docs), "token_ids", F.size("token_ids").cast("long").alias("n_tokens"), same.alias("round_trip"))
 
 
 STAGES: list[tuple[str, Stage]] = [
