@@ -114,12 +114,13 @@ def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def training_rows_of(clean: DataFrame) -> DataFrame:
-    """Features and label per post, all from one pass over the texts."""
-    posts = scoring.with_lexicon_score(clean, POSITIVE, NEGATIVE)
-    labelled = posts.withColumn("label", signal.weak_label("text", ACUTE, SEVERE))
-    return signal.token_densities(labelled, SEVERE, keep=("sentiment_score", "label")).select(
-        "post_id", *signal.FEATURES, "label"
-    )
+    """Features and label per post, all from one pass over the texts.
+
+    In this order one projection has all searches for terms, so a text is lowered once.
+    """
+    numbers = signal.token_densities(clean, SEVERE, keep=("text",))
+    labelled = numbers.withColumn("label", signal.weak_label("text", ACUTE, SEVERE))
+    return scoring.with_lexicon_score(labelled, POSITIVE, NEGATIVE).select("post_id", *signal.FEATURES, "label")
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ ODD_SPACE = (
     r"[\u1680-\u3000&&[\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]]"
 )
 SPACE = " " + ODD_SPACE
+NO_SPACE = rf"\x21-\x7e[^{SPACE}]"
 DIGIT = r"0-9[\u0660-\x{10ffff}&&\p{Nd}]"
 WORD = r"A-Za-z0-9_[\xaa-\x{10ffff}&&[\p{L}\p{N}]]"
 LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
@@ -47,9 +48,12 @@ PII_PATTERNS = {
 # cheaper than starting the pattern at every character of a clean text.
 PII_HINTS = {
     "email": ("@",),
+    "url": ("://", "ww.", "wW.", "Ww.", "WW."),
     "handle": ("u/", "U/"),
     "mention": ("@",),
 }
+# No match of these kinds holds a space or looks across one, so words can be scrubbed one by one.
+PII_IN_WORDS = ("email", "url", "handle", "mention")
 
 # --- fixed values: distress lexicon --------------------------------------------
 ACUTE_PHRASES = (
@@ -128,11 +132,11 @@ def _col(c: Column | str) -> Column:
 def normalize_space(c: Column | str) -> Column:
     """Collapse whitespace runs to one space and trim; NULL stays NULL.
 
-    Lone spaces already are what they should be, so only longer runs and other
-    whitespace characters are rewritten.
+    Words with lone spaces between them already are what they should be and are
+    taken over in one piece, up to the next longer run or other whitespace character.
     """
-    pattern = rf"[{SPACE}]{{2,}}|[{ODD_SPACE}]"
-    return F.trim(F.regexp_replace(_col(c), pattern, " "))
+    pattern = rf"[{SPACE}]*([{NO_SPACE}]*(?: [{NO_SPACE}]+)*+)[{SPACE}]*"
+    return F.trim(F.regexp_replace(_col(c), pattern, "$1 "))
 
 
 def strip(c: Column | str) -> Column:
@@ -210,19 +214,23 @@ def scrub_text(c: Column | str) -> Column:
 
 
 def scrub_columns(df: DataFrame, *columns: str) -> DataFrame:
-    """``scrub_text`` over whole columns, skipping patterns that cannot match.
+    """``scrub_text`` over whole columns, skipping texts and words that cannot match.
 
     One projection per kind keeps each rewritten text evaluated once.
     """
+
+    def where_hinted(c: Column, kind: str, scrubbed: Column) -> Column:
+        hint = _hinted(c, kind)
+        return scrubbed if hint is None else F.when(hint, scrubbed).otherwise(c)
+
+    def scrubbed(c: Column, kind: str) -> Column:
+        if kind not in PII_IN_WORDS:
+            return scrub_kind(c, kind)
+        pieces = F.transform(F.split(c, " "), lambda w: where_hinted(w, kind, scrub_kind(w, kind)))
+        return F.array_join(pieces, " ")
+
     for kind in PII_PATTERNS:
-        rewritten = {}
-        for name in columns:
-            hint = _hinted(F.col(name), kind)
-            scrubbed = scrub_kind(name, kind)
-            rewritten[name] = (
-                scrubbed if hint is None else F.when(hint, scrubbed).otherwise(F.col(name))
-            )
-        df = df.withColumns(rewritten)
+        df = df.withColumns({c: where_hinted(F.col(c), kind, scrubbed(F.col(c), kind)) for c in columns})
     return df
 
 
@@ -259,14 +267,18 @@ def count_hits(c: Column | str, terms: Iterable[str]) -> Column:
 
 
 def count_tokens(c: Column | str, tokens: Iterable[str]) -> Column:
-    """Occurrences of whole tokens, any case, bounded by non-word characters."""
-    tokens = list(tokens)
-    heads = "".join(sorted({t[0].lower() + t[0].upper() for t in tokens}))
-    choice = "|".join(tokens)
-    return F.regexp_count(
-        _col(c),
-        F.lit(rf"(?=[{heads}\u0130\u0131\u017f\u212a])(?iu)(?<![{WORD}])(?:{choice})(?![{WORD}])"),
-    )
+    """Occurrences of whole tokens, any case, bounded by non-word characters.
+
+    The pattern takes a first letter before it looks back or at anything dearer. The four
+    characters that equal an ASCII letter in Unicode's upper or lower case only sit behind a range.
+    """
+    by_head: dict[str, list[str]] = {}
+    for token in tokens:
+        by_head.setdefault(token[0].lower(), []).append(token[1:])
+    ascii_heads = "".join(h + h.upper() for h in sorted(by_head))
+    head = rf"[{ascii_heads}[\u0130-\u212a&&[\u0130\u0131\u017f\u212a]]]"
+    choice = "|".join(rf"(?<={h})(?:{'|'.join(rests)})" for h, rests in by_head.items())
+    return F.regexp_count(_col(c), F.lit(rf"{head}(?iu)(?<![{WORD}]{head})(?:{choice})(?![{WORD}])"))
 
 
 def targets_individual(question: Column | str) -> Column:

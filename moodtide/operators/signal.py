@@ -48,17 +48,17 @@ def token_densities(
     posts: DataFrame, severe: Iterable[str] = T.SEVERE_TERMS, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """Hits per 100 words and log length; a post counts at least one word."""
-    body = posts.withColumn("_t", F.coalesce(F.col("text"), F.lit("")))
-    counted = body.withColumn("_n", F.greatest(T.word_count("_t"), F.lit(1)))
+    body = F.coalesce(F.col("text"), F.lit(""))
+    counted = posts.withColumn("_n", F.greatest(T.word_count(body), F.lit(1)))
 
     def per_100(hits: Column) -> Column:
         return 100 * hits / F.col("_n")
 
     return counted.select(
         "post_id",
-        per_100(T.count_hits("_t", severe)).alias("severe_density"),
-        per_100(T.count_tokens("_t", T.FIRST_PERSON)).alias("first_person_density"),
-        per_100(T.count_tokens("_t", T.NEGATION)).alias("negation_density"),
+        per_100(T.count_hits(body, severe)).alias("severe_density"),
+        per_100(T.count_tokens(body, T.FIRST_PERSON)).alias("first_person_density"),
+        per_100(T.count_tokens(body, T.NEGATION)).alias("negation_density"),
         F.log1p("_n").alias("log_n_words"),
         *keep,
     )
@@ -97,8 +97,8 @@ def training_rows(
 ) -> DataFrame:
     """Features and weak label of every post from one pass over the texts."""
     require_sentiment(posts)
-    labelled = silver.withColumn("label", weak_label("text", acute, severe))
-    numbers = token_densities(labelled, severe, keep=("label",))
+    # Densities first: their projection then takes in the label, and the text is lowered once for both.
+    numbers = token_densities(silver, severe, keep=("text",)).withColumn("label", weak_label("text", acute, severe))
     return join_sentiment(numbers, posts).select("post_id", *FEATURES, "label")
 
 

@@ -5,6 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from moodtide.bindings import views
 from moodtide.operators import scoring, signal
 
 
@@ -100,6 +101,16 @@ def test_features(spark):
     assert both == {"a": 0, "b": 0}
 
 
+def test_training_rows_lower_a_text_once(spark, plan_of):
+    """Label, sentiment and densities look for their terms in one projection."""
+    posts = spark.createDataFrame([("a", "Trash, with my IDIOT friend"), ("b", None)], "post_id string, text string")
+    rows = views.training_rows_of(posts)
+    assert sum("lower(" in line for line in plan_of(rows).splitlines()) == 1
+    got = {r["post_id"]: r for r in rows.collect()}
+    assert (got["a"]["label"], got["a"]["sentiment_score"], got["a"]["severe_density"]) == (1, -0.25, 40.0)
+    assert (got["a"]["first_person_density"], got["b"]["label"], got["b"]["sentiment_score"]) == (20.0, 0, 0.0)
+
+
 @pytest.mark.parametrize("sizes", [(80, 20), (997, 3), (1, 1), (0, 7), (333, 333)])
 def test_split_is_exact_per_label(spark, sizes):
     rows = [(f"{y}-{i}", y) for y, n in enumerate(sizes) for i in range(n)]

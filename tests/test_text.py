@@ -93,6 +93,16 @@ def test_guarded_scrub_equals_plain_scrub(spark):
     assert got == evaluate(spark, texts, T.scrub_text("t"))
 
 
+def test_scrub_of_words_equals_scrub_of_texts(spark):
+    """Kinds without spaces are scrubbed word by word, and only words with a hint of the kind."""
+    rng = random.Random(21)
+    parts = [" ", " ", "  ", "\u3000", "\n", "www.", "wWw.", "wwW.", "WWw.", "http://", "http\u017f://", "HTTPS://a", "a@b.com", "@b.de", ".org", "u/", "/U/", "@lee", "-_", "\xe9", "x", "555", "1234567", "\U0001d7d8", "("]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + ["", " ", None]
+    rows = T.scrub_columns(column(spark, texts), "t").collect()
+    assert [r["t"] for r in sorted(rows, key=lambda r: r["i"])] == evaluate(spark, texts, T.scrub_text("t"))
+    assert set(T.PII_PATTERNS) - set(T.PII_HINTS) == {"phone"}  # any digit may start one
+
+
 def test_sql_function_equals_column(spark):
     texts = [t for t, _ in LEAKS] + EDGES + noise(500, 13) + [None]
     T.register_scrub(spark)
@@ -154,6 +164,20 @@ def test_tokens_equal_python(spark):
         assert evaluate(spark, texts, T.count_tokens("t", tokens)) == expected
 
 
+def test_tokens_in_odd_letters(spark):
+    """The four characters that equal an ASCII letter in another case count as that letter."""
+    texts = ["\u0130 \u0131'm", "my\u017felf MY\u017fELF", "\u0130m i\u212a", "x\u0131 \u0131x _i i_ (i)", "m\u00e9 n\u0130 noth\u0131ng"]
+    assert evaluate(spark, texts, T.count_tokens("t", T.FIRST_PERSON)) == [2, 2, 1, 1, 0]
+    assert evaluate(spark, texts, T.count_tokens("t", T.NEGATION)) == [0, 0, 0, 0, 1]
+
+
+def test_very_long_texts(spark):
+    """Runs of words and of spaces are taken in loops, not by recursion, and once."""
+    texts = [" " * 300_000, "ab " * 300_000, "\n" * 300_000, "a\n" * 300_000, "a" * 500_000]
+    got = evaluate(spark, texts, F.length(T.normalize_space("t")))
+    assert got == [0, 899_999, 0, 599_999, 500_000]
+
+
 def test_markdown(spark):
     raw = (
         "## Sleeping well\n![moon](moon.svg) \n* [Top](#top)[Next](/2)\n\n\n\n\n"
