@@ -358,17 +358,17 @@ def fit_and_score(
     """(scores of all posts, one-row holdout report, importances).
 
     ``rows`` holds post_id, the features and ``label``. They are written to the
-    shared folder once: the fit passes over them many times, and those passes
-    should read a few numbers per post, not derive them from text. The rows at
-    which the split is cut, one for each label, are looked up once too. Scores and
-    report are lazy.
+    shared folder once, and so are the training rows without their ids: the fit
+    passes over those many times, and should read a few numbers per post, neither
+    derive them from text nor hash ids. The rows at which the split is cut, one for
+    each label, are looked up once too. Scores and report are lazy.
     """
     narrow = materialize(rows.select("post_id", *FEATURES, "label"), "training")
     last = last_training_rows(narrow, "label", seed).collect()
     point = lambda r: F.struct(F.lit(r["_h"]["h"]).alias("h"), F.lit(r["_h"]["id"]).alias("id"))
     cuts = F.create_map(*(x for r in last for x in (F.lit(r["label"]), point(r))))
     split = stratified_split(narrow, "label", seed, cuts)
-    fitted = train_classifier(split.where("is_train"))
+    fitted = train_classifier(materialize(split.where("is_train").select(*FEATURES, "label"), "fit"))
     holdout = fitted.predict(split.where("NOT is_train"))
     report = classifier_metrics(holdout, "p", "label", threshold).withColumn("auc", exact_auc(holdout).scalar())
     return flag_scores(fitted.predict(narrow), threshold), report, fitted.importances(rows.sparkSession)

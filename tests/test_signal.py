@@ -175,6 +175,19 @@ def test_train_and_score(labelled):
     assert held["auc"] > 0.75 and 0 < held["precision"] <= 1 and importances.count() == 5
 
 
+def test_passes_of_the_fit_hash_no_ids(labelled, plan_of, monkeypatch):
+    seen = []
+
+    def fit(rows, *args, train=signal.train_classifier):
+        seen.append((plan_of(rows), rows.count()))
+        return train(rows, *args)
+
+    monkeypatch.setattr(signal, "train_classifier", fit)
+    signal.fit_and_score(labelled[0])
+    [(plan, n)] = seen
+    assert n == 480 and "md5" not in plan and "post_id" not in plan
+
+
 def test_gradient_is_zero_at_the_fit(labelled):
     df, x, y = labelled
     fitted = signal.train_classifier(df)
